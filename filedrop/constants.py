@@ -16,7 +16,10 @@ GZ_SUFFIX = ".gz"
 END_SUFFIX = "_END"
 
 # Fixed value: the characters that whitespace stripping removes.
-WHITESPACE = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Fixed value: bytes per record.
 RECORD_BYTES = 520

@@ -13,8 +13,8 @@ def basename(path) -> Column:
 
 
 def strip(text) -> Column:
-    """Drop all leading and trailing whitespace (SQL ``trim`` drops spaces only)."""
-    return F.regexp_replace(text, f"^{C.WHITESPACE}+|{C.WHITESPACE}+$", "")
+    """Drop all leading and trailing whitespace (SQL ``trim`` alone drops spaces only)."""
+    return F.btrim(text, F.lit(C.WHITESPACE))
 
 
 def is_valid_name(filename) -> Column:

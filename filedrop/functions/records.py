@@ -49,24 +49,23 @@ def slice_fields(df: DataFrame, layout, rec: str = "rec", mode: str = "chars", k
     ``mode="chars"`` counts characters of the decoded record, so multibyte text shifts later fields.
     ``mode="bytes"`` counts bytes. Positions start at 1; a start past the end gives empty text.
 
-    Character slicing walks the text from its start for each field. A record without multibyte or dropped bytes
-    has as many characters as bytes, and is sliced by position instead.
+    Character slicing walks the text from its start for each field. As long as the bytes up to the last field's end
+    are plain ASCII, characters are bytes, and the record is sliced by position without being decoded at all.
     """
-    if mode == "bytes":
-        fields = [decode_lossy(F.substring(rec, f.start, f.length)).alias(f.name) for f in layout]
-        return df.select(*keep, *fields)
-    if mode != "chars":
+    if mode not in ("chars", "bytes"):
         raise ValueError(f"mode must be 'chars' or 'bytes', not {mode!r}")
-    text, plain = F.col("_text"), F.col("_plain")
-    decoded = df.select(*keep, F.col(rec).alias("_rec"), decode_lossy(rec).alias("_text"))
-    checked = decoded.withColumn("_plain", F.char_length(text) == F.octet_length("_rec"))
-    fields = [
-        F.when(plain, F.substring("_rec", f.start, f.length).cast("string"))
-        .otherwise(F.substring(text, f.start, f.length))
-        .alias(f.name)
-        for f in layout
-    ]
-    return checked.select(*keep, *fields)
+    used = F.substring(rec, 1, max(f.start + f.length - 1 for f in layout)).cast("string")
+    plain = F.is_valid_utf8(used) & (F.char_length(used) == F.octet_length(used))
+    sliced = df.select(*keep, F.col(rec).alias("_rec"), plain.alias("_plain"))
+    if mode == "chars":
+        sliced = sliced.withColumn("_text", F.when(~F.col("_plain"), decode_lossy("_rec")))
+
+    def field(f) -> Column:
+        piece = F.substring("_rec", f.start, f.length)
+        other = decode_lossy(piece) if mode == "bytes" else F.substring("_text", f.start, f.length)
+        return F.when(F.col("_plain"), piece.cast("string")).otherwise(other).alias(f.name)
+
+    return sliced.select(*keep, *[field(f) for f in layout])
 
 
 def trim_fields(df: DataFrame, layout) -> DataFrame:

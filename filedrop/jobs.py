@@ -21,7 +21,7 @@ from filedrop.plans.apply import apply_plan
 from filedrop.plans.moves import (
     archive_plan, archive_plan_hive, copy_plan, error_plan, merge_plans, quarantine_plan, quarantine_plan_flat,
 )
-from filedrop.session import use_utc
+from filedrop.session import prepare
 from filedrop.sinks.tables import append_audit, append_parsed, materialise, read_outcomes
 from filedrop.sources.layout import Layout
 from filedrop.sources.manifest import read_manifest, recent_files, with_prefix_and_suffix
@@ -82,7 +82,7 @@ def hourly_run(
     and read from there, so files that move meanwhile cannot change an earlier decision. Files are archived when
     their records are in the table; ``archive_failed`` archives the others too instead of quarantining them.
     """
-    use_utc(spark)
+    prepare(spark)
     started = time.monotonic()
     run = uuid.uuid4().hex
     work = f"{zones.work.rstrip('/')}/run-{run}"
@@ -106,7 +106,7 @@ def hourly_run(
 
     # The first run may have had nothing to parse; then there is no table to read.
     if counts["files"]:
-        outcomes = read_outcomes(spark, zones.table, layout, run).select("path", "status", "n_records")
+        outcomes = read_outcomes(spark, zones.table, layout, run_slot(as_of), run).select("path", "status", "n_records")
     else:
         outcomes = spark.createDataFrame([], "path string, status string, n_records bigint")
     logs.append(audit.audit_outcomes(outcomes, as_of))
@@ -149,7 +149,7 @@ def targeted_run(
 
     ``prefix`` narrows the listing, for instance to a month folder. Files that are no gzip count as they are.
     """
-    use_utc(spark)
+    prepare(spark)
     work = f"{zones.work.rstrip('/')}/run-{uuid.uuid4().hex}"
     listed = with_prefix_and_suffix(read_manifest(spark, zones.raw, depth), prefix)
     triaged = materialise(triage_targeted(pair_files(listed), date, hour), f"{work}/triage")

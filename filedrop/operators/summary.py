@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filedrop.functions.names import base_key, basename, file_kind, is_drop_file, is_file_key, is_valid_name, read_name
+from filedrop.functions.names import base_key, basename, file_kind, is_drop_file, is_valid_name, read_name
 from filedrop.operators.pairing import is_complete
 
 
@@ -47,11 +47,10 @@ def slot_summary(triaged: DataFrame) -> DataFrame:
 
 def run_counts(manifest: DataFrame, replace_all: bool = False) -> DataFrame:
     """One row: ``files, invalid_files, drop_files, pairs_found, valid_pairs``, from one pass over the listing."""
-    is_drop = is_file_key("path") & is_drop_file("path")
     keyed = manifest.select(
         "path",
         basename("path").alias("_name"),
-        F.when(is_drop, file_kind("path")).alias("_kind"),
+        F.when(is_drop_file("path"), file_kind("path")).alias("_kind"),
     ).select(
         "path", "_kind", F.when(F.col("_kind").isNotNull(), base_key("_name", replace_all)).alias("base"),
         (~is_valid_name("_name")).alias("_bad"),

@@ -61,19 +61,42 @@ def _parsed_schema(layout: Layout) -> T.StructType:
     return T.StructType(layout.table_schema.fields + T.StructType.fromDDL(extra).fields)
 
 
-def read_records(spark: SparkSession, root: str, layout: Layout, lineage: bool = False) -> DataFrame:
-    """The parsed table: fields, run date and hour; with ``lineage`` also the file and run of each row."""
-    table = spark.read.schema(_parsed_schema(layout)).parquet(root).filter(F.col("drop_kind") == "record")
+def _read_kind(spark: SparkSession, root: str, layout: Layout, kind: str, slot, run) -> DataFrame:
+    reader = spark.read.schema(_parsed_schema(layout))
+    if slot:
+        # Only this folder is listed, however many runs the table holds.
+        date, hour = slot
+        table = reader.option("basePath", root).parquet(f"{root}/drop_kind={kind}/date={date}/hour={hour}")
+    else:
+        table = reader.parquet(root).filter(F.col("drop_kind") == kind)
+    return table if run is None else table.filter(F.col("drop_run") == run)
+
+
+def read_records(
+    spark: SparkSession,
+    root: str,
+    layout: Layout,
+    slot: tuple[str, str] | None = None,
+    run: str | None = None,
+    lineage: bool = False,
+) -> DataFrame:
+    """The parsed table: fields, run date and hour; with ``lineage`` also the file and run of each row.
+
+    ``slot`` is the date and hour of one run, and must have been written.
+    """
     extra = ["drop_file", "drop_run"] if lineage else []
-    return table.select(*layout.names, "date", "hour", *extra)
+    return _read_kind(spark, root, layout, "record", slot, run).select(*layout.names, "date", "hour", *extra)
 
 
-def read_outcomes(spark: SparkSession, root: str, layout: Layout, run: str | None = None) -> DataFrame:
+def read_outcomes(
+    spark: SparkSession,
+    root: str,
+    layout: Layout,
+    slot: tuple[str, str] | None = None,
+    run: str | None = None,
+) -> DataFrame:
     """``path, status, n_records, date, hour, run``: what became of each file."""
-    table = spark.read.schema(_parsed_schema(layout)).parquet(root).filter(F.col("drop_kind") == "outcome")
-    if run is not None:
-        table = table.filter(F.col("drop_run") == run)
-    return table.select(
+    return _read_kind(spark, root, layout, "outcome", slot, run).select(
         F.col("drop_file").alias("path"),
         F.col("drop_status").alias("status"),
         F.col("drop_records").alias("n_records"),
@@ -81,17 +104,17 @@ def read_outcomes(spark: SparkSession, root: str, layout: Layout, run: str | Non
     )
 
 
-def reconcile(spark: SparkSession, root: str, layout: Layout) -> DataFrame:
+def reconcile(spark: SparkSession, root: str, layout: Layout, run: str | None = None) -> DataFrame:
     """``run, path, status, n_records, n_written, matches`` per file: rows decoded against rows in the table.
 
     Only the file and run columns of the records are read, and they are counted before the shuffle.
     """
     written = (
-        read_records(spark, root, layout, lineage=True)
+        read_records(spark, root, layout, run=run, lineage=True)
         .groupBy(F.col("drop_run").alias("run"), F.col("drop_file").alias("path"))
         .agg(F.count(F.lit(1)).alias("n_written"))
     )
-    outcomes = read_outcomes(spark, root, layout).select("run", "path", "status", "n_records")
+    outcomes = read_outcomes(spark, root, layout, run=run).select("run", "path", "status", "n_records")
     n = F.coalesce("n_written", F.lit(0).cast("bigint"))
     joined = outcomes.join(written, ["run", "path"], "full")
     return joined.select(

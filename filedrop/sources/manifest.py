@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from filedrop.functions.formats import to_utc
-from filedrop.functions.names import _col, is_drop_file, is_file_key
+from filedrop.functions.names import _col, is_drop_file
 from filedrop.sources import storage
 
 SCHEMA = "path string, modificationTime timestamp, length bigint"
@@ -101,8 +101,11 @@ def from_inventory(df: DataFrame, path: str = "path", time: str = "modificationT
 
 
 def drop_files(manifest: DataFrame) -> DataFrame:
-    """Data files and end markers; folder keys, blank keys and other files go."""
-    return manifest.filter(is_file_key("path") & is_drop_file("path"))
+    """Data files and end markers; folder keys, blank keys and other files go.
+
+    A key with either suffix is neither blank nor a folder, so the suffix test decides alone.
+    """
+    return manifest.filter(is_drop_file("path"))
 
 
 def with_prefix_and_suffix(manifest: DataFrame, prefix: str = "") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from filedrop.session import use_utc
+from filedrop.session import prepare
 
 QUERIES = {}
 ORACLES = {}
@@ -13,7 +13,7 @@ def query(name: str, sql: str | None = None):
 
     def add(fn):
         def run(spark, sf_dir):
-            return fn(use_utc(spark), sf_dir)
+            return fn(prepare(spark), sf_dir)
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
