@@ -49,7 +49,8 @@ class ManifestReader(DataSourceReader):
                     done.append(Folder(folder, False))
                 below.extend(children)
             level = below
-        return done + [Folder(folder, True) for folder in level]
+        # Without any partition Spark would call read(None).
+        return done + [Folder(folder, True) for folder in level] or [Folder(self.root, False)]
 
     def read(self, partition):
         batch = []

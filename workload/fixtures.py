@@ -39,7 +39,8 @@ EVENT_LAYOUT = Layout([("event", 1, 12), ("user", 13, 8), ("stamp", 21, 14), ("c
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, spread over the cores while its columns are still narrow."""
+    return ensure_parallelism(spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # --- manifest ---------------------------------------------------------------------------------------------------
@@ -221,7 +222,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyyMMdd"),
         F.lpad(F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"), 12, "0"),
     ]
-    rec = F.rpad(F.concat(*fields), RECORD_BYTES, " ").cast("binary")
+    # Every field has its full width, so a constant tail fills the record.
+    tail = F.lit(" " * (RECORD_BYTES - sum(f.length for f in LAYOUT)))
+    rec = F.concat(*fields, tail).cast("binary")
     return table(spark, sf_dir, "lineitem").select(rec.alias("rec"))
 
 
@@ -230,7 +233,7 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Nothing is grouped, so no key, however frequent, can fill a file or a task.
     """
-    return ensure_parallelism(records(spark, sf_dir)).mapInArrow(_pack, "path string, content binary")
+    return records(spark, sf_dir).mapInArrow(_pack, "path string, content binary")
 
 
 def _pack(batches):

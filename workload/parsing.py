@@ -11,7 +11,7 @@ from filedrop.functions import names, records as rec
 from filedrop.operators import audit, gunzip, pairing, triage
 from filedrop.operators.naming import invalid_files
 from filedrop.plans import moves
-from filedrop.session import ensure_parallelism, new_scratch
+from filedrop.session import new_scratch
 from filedrop.sinks import tables
 from filedrop.sources.binary import scan_binary
 from filedrop.sources.layout import load_layout
@@ -45,14 +45,14 @@ def gunzip_records(spark, sf):
 select doc_id, ord, octet_length(rec) as n_bytes, md5(rec) as digest from cuts""")
 def chunk_native(spark, sf):
     """Whole texts cut every 520 bytes without Python."""
-    cut = rec.cut_records(ensure_parallelism(fx.texts(spark, sf)), "content")
+    cut = rec.cut_records(fx.texts(spark, sf), "content")
     return cut.select("doc_id", "ord", F.octet_length("rec").cast("bigint").alias("n_bytes"), F.md5("rec").alias("digest"))
 
 
 @query("decode_lossy", f"{CHUNKS} select doc_id, ord, {LOSSY} as text from cuts")
 def decode_lossy(spark, sf):
     """Text of every cut with split characters dropped."""
-    cut = rec.cut_records(ensure_parallelism(fx.texts(spark, sf)), "content")
+    cut = rec.cut_records(fx.texts(spark, sf), "content")
     return cut.select("doc_id", "ord", rec.decode_lossy("rec").alias("text"))
 
 
@@ -92,7 +92,7 @@ select doc_id, ord, {', '.join(LOSSY.replace('hex(rec)', f'hex({c})') + f' as {c
 def fixed_width_bytes(spark, sf):
     """Fields cut by bytes out of multibyte text."""
     layout = fx.Layout([("a", 1, 40), ("b", 41, 60), ("c", 501, 20)])
-    cut = rec.cut_records(ensure_parallelism(fx.texts(spark, sf)), "content")
+    cut = rec.cut_records(fx.texts(spark, sf), "content")
     return rec.slice_fields(cut, layout, mode="bytes", keep=("doc_id", "ord"))
 
 
@@ -102,7 +102,7 @@ from (select doc_id, ord, {LOSSY} as t from cuts)""")
 def fixed_width_chars(spark, sf):
     """Fields cut by characters out of multibyte text."""
     layout = fx.Layout([("a", 1, 40), ("b", 41, 60), ("c", 501, 20)])
-    cut = rec.cut_records(ensure_parallelism(fx.texts(spark, sf)), "content")
+    cut = rec.cut_records(fx.texts(spark, sf), "content")
     return rec.slice_fields(cut, layout, keep=("doc_id", "ord"))
 
 
