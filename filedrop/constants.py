@@ -3,9 +3,8 @@
 These must equal the delivering system's values for right results; nothing here is derived.
 """
 
-# File name patterns (ASCII digits, used for the name check).
-GZ_NAME = r"^R520\d{4}\d{8}\d{6}\.gz$"
-END_NAME = r"^R520\d{4}\d{8}\d{6}_END$"
+# Fixed value: names that pass the name check, data files and end markers (ASCII digits).
+VALID_NAME = r"^R520\d{4}\d{8}\d{6}(\.gz|_END)$"
 
 # Fixed value: pattern for reading store, date and hour. Any Unicode decimal digit counts here, so a name can
 # fail the check above and still be read.

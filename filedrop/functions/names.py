@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from filedrop import constants as C
 
@@ -19,7 +19,7 @@ def strip(text) -> Column:
 
 def is_valid_name(filename) -> Column:
     """True when a basename is a data file or an end marker of the contract."""
-    return F.rlike(filename, F.lit(C.GZ_NAME)) | F.rlike(filename, F.lit(C.END_NAME))
+    return F.rlike(filename, F.lit(C.VALID_NAME))
 
 
 def is_file_key(path) -> Column:
@@ -54,36 +54,38 @@ def base_key(filename, replace_all: bool = False) -> Column:
     ).otherwise(name)
 
 
-def read_name(path) -> dict[str, Column]:
-    """Store, transaction date and hour of a well-formed name; NULL otherwise.
+def with_name_parts(df: DataFrame, path: str = "path") -> DataFrame:
+    """Adds ``store_code``, ``transaction_date`` and ``transaction_hour`` of well-formed names; NULL otherwise.
 
-    One regular expression decides, then the fields are plain slices at fixed positions.
+    The stripped name is a projection of its own, so each name is cut out and matched once and the parts are plain
+    slices at fixed positions.
     """
-    name = basename(strip(path))
-    readable = F.rlike(name, F.lit(C.READABLE_NAME))
-    return {
-        "store_code": F.when(readable, F.substring(name, 5, 4)),
-        "transaction_date": F.when(readable, F.substring(name, 9, 8)),
-        "transaction_hour": F.when(readable, F.substring(name, 17, 2)),
-    }
+    named = df.select("*", basename(strip(path)).alias("_name"))
+    readable = F.rlike("_name", F.lit(C.READABLE_NAME))
+    return named.select(
+        *df.columns,
+        F.when(readable, F.substring("_name", 5, 4)).alias("store_code"),
+        F.when(readable, F.substring("_name", 9, 8)).alias("transaction_date"),
+        F.when(readable, F.substring("_name", 17, 2)).alias("transaction_hour"),
+    )
 
 
-def read_name_by_position(filename) -> dict[str, Column]:
-    """Date, hour and base cut at fixed positions without a digit check.
+def with_position_parts(df: DataFrame, path: str = "path") -> DataFrame:
+    """Adds ``base_filename`` and the ``transaction_date`` and ``transaction_hour`` cut from it by position.
 
-    Short names give empty text; names with neither suffix give NULL.
+    Digits are not checked: short names give empty text. Names with neither suffix give NULL.
     """
-    name = _col(filename)
+    key = F.col(path)
     base = F.when(
-        name.endswith(C.GZ_SUFFIX), F.substring_index(basename(name), ".", 1)
+        key.endswith(C.GZ_SUFFIX), F.substring_index(basename(key), ".", 1)
     ).when(
-        name.endswith(C.END_SUFFIX), F.substring_index(basename(name), C.END_SUFFIX, 1)
+        key.endswith(C.END_SUFFIX), F.substring_index(basename(key), C.END_SUFFIX, 1)
+    )
+    return df.select("*", base.alias("base_filename")).select(
+        "*",
+        F.substring("base_filename", 9, 8).alias("transaction_date"),
+        F.substring("base_filename", 17, 2).alias("transaction_hour"),
     )
-    return {
-        "transaction_date": F.substring(base, 9, 8),
-        "transaction_hour": F.substring(base, 17, 2),
-        "base_filename": base,
-    }
 
 
 def _col(c) -> Column:

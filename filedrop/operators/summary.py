@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filedrop.functions.names import base_key, basename, file_kind, is_drop_file, is_valid_name, read_name
+from filedrop.functions.names import base_key, basename, file_kind, is_drop_file, is_valid_name, with_name_parts
 from filedrop.operators.pairing import is_complete
 
 
@@ -62,12 +62,12 @@ def run_counts(manifest: DataFrame, replace_all: bool = False) -> DataFrame:
         F.max(F.when(F.col("_kind") == "gz", F.col("path"))).alias("gz_key"),
         F.max(F.when(F.col("_kind") == "end", F.col("path"))).alias("end_key"),
     )
-    readable = read_name("gz_key")["transaction_date"].isNotNull()
+    readable = F.col("transaction_date").isNotNull()
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0).cast("bigint")).alias(name)
 
-    return per_base.agg(
+    return with_name_parts(per_base, "gz_key").agg(
         total("files"), total("invalid_files"), total("drop_files"),
         F.count("base").alias("pairs_found"),
         F.count_if(is_complete() & readable).alias("valid_pairs"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from filedrop.functions.names import basename, read_name, read_name_by_position
+from filedrop.functions.names import with_name_parts, with_position_parts
 from filedrop.operators.pairing import is_complete
 
 UNKNOWN = "Unknown"
@@ -15,22 +15,17 @@ def triage_hourly(pairs: DataFrame) -> DataFrame:
 
     Date and hour are set for valid pairs only.
     """
-    read = read_name("gz_key")
+    date, hour = F.col("transaction_date"), F.col("transaction_hour")
     status = (
         F.when(F.col("gz_key").isNull(), F.lit("missing_gz"))
         .when(F.col("end_key").isNull(), F.lit("missing_end"))
-        .when(F.col("_date").isNull(), F.lit("unparseable"))
+        .when(date.isNull(), F.lit("unparseable"))
         .otherwise(F.lit("valid"))
     )
-    named = pairs.select(
+    return with_name_parts(pairs, "gz_key").select(
         "base", "gz_key", "end_key", "gz_length",
-        F.when(is_complete(), read["transaction_date"]).alias("_date"),
-        F.when(is_complete(), read["transaction_hour"]).alias("_hour"),
-    )
-    return named.select(
-        "base", "gz_key", "end_key", "gz_length",
-        F.col("_date").alias("transaction_date"),
-        F.col("_hour").alias("transaction_hour"),
+        F.when(is_complete(), date).alias("transaction_date"),
+        F.when(is_complete(), hour).alias("transaction_hour"),
         status.alias("status"),
     )
 
@@ -53,13 +48,7 @@ def triage_targeted(pairs: DataFrame, date: str, hour: str) -> DataFrame:
     ``missing_end`` / ``missing_gz``, ``unparseable``, ``zero_size``, ``size_unavailable``, ``wrong_slot``,
     ``processed``. ``date_key`` and ``hour_key`` are ``Unknown`` when either cannot be read, else those of the name.
     """
-    present = F.coalesce("gz_key", "end_key")
-    read = read_name_by_position(basename(present))
-    cut = pairs.select(
-        "base", "gz_key", "end_key", "gz_length",
-        read["transaction_date"].alias("transaction_date"),
-        read["transaction_hour"].alias("transaction_hour"),
-    )
+    cut = with_position_parts(pairs.select("*", F.coalesce("gz_key", "end_key").alias("_present")), "_present")
     readable = (F.col("transaction_date") != "") & (F.col("transaction_hour") != "")
     status = (
         F.when(F.col("end_key").isNull(), F.lit("missing_end"))

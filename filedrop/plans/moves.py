@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from filedrop import constants as C
 from filedrop.functions.formats import dated_destination, flat_destination, hive_destination
-from filedrop.functions.names import basename, read_name
+from filedrop.functions.names import basename, with_name_parts
 
 
 def _both_files(pairs: DataFrame, *keep: str) -> DataFrame:
@@ -32,12 +32,9 @@ def quarantine_plan(
 
     A name that gives no date has no dated folder: its action is ``none``, or a flat move with ``flat_unreadable``.
     """
-    read = read_name("file_key")
-    named = files.select(
-        "file_key", read["transaction_date"].alias("_date"), read["transaction_hour"].alias("_hour")
-    )
-    readable = F.col("_date").isNotNull()
-    dated = dated_destination(root, "file_key", "_date", "_hour")
+    named = with_name_parts(files.select("file_key"), "file_key")
+    readable = F.col("transaction_date").isNotNull()
+    dated = dated_destination(root, "file_key", "transaction_date", "transaction_hour")
     if flat_unreadable:
         destination = F.when(readable, dated).otherwise(flat_destination(root, "file_key"))
         action: Column | str = "move"

@@ -23,8 +23,7 @@ GOOD = "R520000220241018120107"
 ])
 def test_check_and_reading_differ_as_specified(frame, name, valid, readable):
     df = frame([("raw/" + name,)], "path string")
-    row = df.select(names.is_valid_name(names.basename("path")).alias("v"),
-                    *[c.alias(n) for n, c in names.read_name("path").items()]).first()
+    row = names.with_name_parts(df).select("*", names.is_valid_name(names.basename("path")).alias("v")).first()
     assert row["v"] is valid
     assert (row["transaction_date"] is not None) is readable
     if readable and "٣" not in name:
@@ -63,8 +62,7 @@ def positional(name):
 def test_reading_by_position(frame):
     stems = ["", "A" * 8, "R52000022024", GOOD[:17], GOOD, "a.b" + GOOD, "a_ENDb" + GOOD]
     cases = [s + x for s in stems for x in (".gz", "_END", ".txt")]
-    cols = [c.alias(n) for n, c in names.read_name_by_position("n").items()]
-    for row in frame([(c,) for c in cases], "n string").select("n", *cols).collect():
+    for row in names.with_position_parts(frame([(c,) for c in cases], "n string"), "n").collect():
         assert (row["transaction_date"], row["transaction_hour"], row["base_filename"]) == positional(row["n"])
 
 

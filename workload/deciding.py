@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from filedrop.functions import formats
+from filedrop.functions.names import with_position_parts
 from filedrop.operators import pairing, summary, triage
 from filedrop.plans import moves
 from filedrop.plans.apply import apply_plan as carry_out
@@ -76,10 +77,8 @@ def triage_targeted(spark, sf):
 select base, d = '{fx.TARGET_DATE}' and h = '{fx.TARGET_HOUR}' as in_slot from cut""")
 def target_slot(spark, sf):
     """Does the name belong to the target date and hour."""
-    present = F.coalesce("gz_key", "end_key")
-    read = triage.read_name_by_position(present)
-    named = _pairs(spark, sf).select("base", *[c.alias(n) for n, c in read.items()])
-    return named.select("base", triage.in_slot(fx.TARGET_DATE, fx.TARGET_HOUR).alias("in_slot"))
+    keys = _pairs(spark, sf).select("base", F.coalesce("gz_key", "end_key").alias("path"))
+    return with_position_parts(keys).select("base", triage.in_slot(fx.TARGET_DATE, fx.TARGET_HOUR).alias("in_slot"))
 
 
 @query("daily_summary", f"{TARGETED} select date_key as date, {COUNTERS} from targeted group by 1")

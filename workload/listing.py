@@ -85,8 +85,7 @@ select path,
 from manifest""")
 def extract_regex(spark, sf):
     """Store, date and hour of well-formed names."""
-    read = names.read_name("path")
-    return fx.manifest(spark, sf).select("path", *[c.alias(n) for n, c in read.items()])
+    return names.with_name_parts(fx.manifest(spark, sf).select("path"))
 
 
 POSITIONAL = f"""case when path like '%.gz' then split_part({NAME}, '.', 1)
@@ -99,8 +98,7 @@ select path, base_filename, substring(base_filename, 9, 8) as transaction_date,
 from (select path, {POSITIONAL} as base_filename from manifest)""")
 def extract_positional(spark, sf):
     """Date and hour cut by position."""
-    read = names.read_name_by_position(F.col("path"))
-    return fx.manifest(spark, sf).select("path", *[c.alias(n) for n, c in read.items()])
+    return names.with_position_parts(fx.manifest(spark, sf).select("path"))
 
 
 @query("log_path", """
