@@ -8,10 +8,11 @@ For a store with a very large flat folder, hand the store's inventory table to :
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from filedrop.functions.formats import to_utc
 from filedrop.functions.names import _col, is_drop_file
@@ -23,11 +24,45 @@ MAX_LISTING_TASKS = 10_000
 
 
 class Folder(InputPartition):
-    """One folder to list, with or without what lies below it."""
+    """One folder to list, with or without what lies below it; times in seconds bound a streaming batch."""
 
-    def __init__(self, uri: str, recursive: bool):
+    def __init__(self, uri: str, recursive: bool, after: float | None = None, until: float | None = None):
         self.uri = uri
         self.recursive = recursive
+        self.after = after
+        self.until = until
+
+
+def _folders(root: str, depth: int, *bounds) -> list[Folder]:
+    """Split by folder, ``depth`` levels down; a folder split further is also listed for its own files."""
+    level, done = [storage.normalise(root)], []
+    for _ in range(depth):
+        below = []
+        for i, folder in enumerate(level):
+            children, has_files = storage.child_folders(folder)
+            if len(done) + len(below) + len(children) + len(level) - i > MAX_LISTING_TASKS:
+                done.append(Folder(folder, True, *bounds))
+                continue
+            if has_files:
+                done.append(Folder(folder, False, *bounds))
+            below.extend(children)
+        level = below
+    # Without any partition Spark would call read(None).
+    return done + [Folder(folder, True, *bounds) for folder in level] or [Folder(root, False, *bounds)]
+
+
+def _list(folder: Folder):
+    """Arrow batches of a folder's files."""
+    batch = []
+    for row in storage.iter_files(folder.uri, folder.recursive):
+        if folder.until is not None and not folder.after < row[1] <= folder.until:
+            continue
+        batch.append(row)
+        if len(batch) == ROWS_PER_BATCH:
+            yield _to_batch(batch)
+            batch = []
+    if batch:
+        yield _to_batch(batch)
 
 
 class ManifestReader(DataSourceReader):
@@ -36,35 +71,41 @@ class ManifestReader(DataSourceReader):
         self.depth = depth
 
     def partitions(self):
-        """Split by folder, ``depth`` levels down; a folder split further is also listed for its own files."""
-        level, done = [storage.normalise(self.root)], []
-        for _ in range(self.depth):
-            below = []
-            for i, folder in enumerate(level):
-                children, has_files = storage.child_folders(folder)
-                if len(done) + len(below) + len(children) + len(level) - i > MAX_LISTING_TASKS:
-                    done.append(Folder(folder, True))
-                    continue
-                if has_files:
-                    done.append(Folder(folder, False))
-                below.extend(children)
-            level = below
-        # Without any partition Spark would call read(None).
-        return done + [Folder(folder, True) for folder in level] or [Folder(self.root, False)]
+        return _folders(self.root, self.depth)
 
     def read(self, partition):
-        batch = []
-        for row in storage.iter_files(partition.uri, partition.recursive):
-            batch.append(row)
-            if len(batch) == ROWS_PER_BATCH:
-                yield _to_batch(batch)
-                batch = []
-        if batch:
-            yield _to_batch(batch)
+        return _list(partition)
+
+
+class ManifestStreamReader(DataSourceStreamReader):
+    """Files by modification time: each batch lists what changed since the last one.
+
+    The clock is read ``settle`` seconds late, so that files written in the same instant are all visible.
+    """
+
+    def __init__(self, root: str, depth: int, settle: float):
+        self.root = root
+        self.depth = depth
+        self.settle = settle
+
+    def initialOffset(self):
+        return {"until": 0.0}
+
+    def latestOffset(self):
+        return {"until": time.time() - self.settle}
+
+    def partitions(self, start, end):
+        return _folders(self.root, self.depth, start["until"], end["until"])
+
+    def read(self, partition):
+        return _list(partition)
 
 
 class ManifestSource(DataSource):
-    """``spark.read.format("file_manifest").load(root)``; option ``depth`` sets the folder levels to split by."""
+    """``spark.read.format("file_manifest").load(root)``, also as ``readStream``.
+
+    Options: ``depth``, the folder levels to split the listing by, and ``settle`` for streams.
+    """
 
     @classmethod
     def name(cls):
@@ -73,8 +114,14 @@ class ManifestSource(DataSource):
     def schema(self):
         return SCHEMA
 
+    def _depth(self) -> int:
+        return int(self.options.get("depth", "1"))
+
     def reader(self, schema):
-        return ManifestReader(self.options["path"], int(self.options.get("depth", "1")))
+        return ManifestReader(self.options["path"], self._depth())
+
+    def streamReader(self, schema):
+        return ManifestStreamReader(self.options["path"], self._depth(), float(self.options.get("settle", "5")))
 
 
 def _to_batch(rows) -> pa.RecordBatch:
@@ -92,6 +139,13 @@ def read_manifest(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     return spark.read.format("file_manifest").option("depth", depth).load(root)
 
 
+def stream_manifest(spark: SparkSession, root: str, depth: int = 1, settle: float = 5) -> DataFrame:
+    """Files as they arrive under a folder."""
+    spark.dataSource.register(ManifestSource)
+    stream = spark.readStream.format("file_manifest").option("depth", depth).option("settle", settle)
+    return stream.load(root)
+
+
 def from_inventory(df: DataFrame, path: str = "path", time: str = "modificationTime", size: str = "length") -> DataFrame:
     """A manifest from any table that lists keys, times and sizes."""
     return df.select(

@@ -1,9 +1,11 @@
 import datetime as dt
+import os
+import time
 
 from pyspark.sql import functions as F
 
 from filedrop.operators import pairing
-from filedrop.sources.manifest import SCHEMA
+from filedrop.sources.manifest import SCHEMA, stream_manifest
 from filedrop.streaming.pairing import pair_stream, write_pairs
 
 T0 = dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
@@ -52,3 +54,47 @@ def test_settled_stream_equals_batch(spark, tmp_path):
     batch = pairing.pair_files(spark.createDataFrame(rows, SCHEMA))
     status = F.when(pairing.is_complete(), "paired").when(F.col("gz_key").isNull(), "missing_gz").otherwise("missing_end")
     assert got == sorted((r["base"], r["s"]) for r in batch.select("base", status.alias("s")).collect())
+
+
+def drop(folder, name, seconds_ago):
+    path = folder / name
+    path.write_bytes(b"")
+    when = time.time() - seconds_ago
+    os.utime(path, (when, when))
+
+
+def test_a_folder_is_followed(spark, tmp_path):
+    """Zero-byte markers count, nothing is listed twice, and later files come with the next run."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    drop(raw, "a.gz", 7200)
+    drop(raw, "a_END", 7100)
+    drop(raw, "b.gz", 7000)
+
+    def follow():
+        listed = stream_manifest(spark, str(raw), settle=1).select("path", "length")
+        query = listed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        rows = spark.read.schema("path string, length bigint").parquet(str(tmp_path / "out")).collect()
+        return sorted(os.path.basename(r["path"]) for r in rows)
+
+    assert follow() == ["a.gz", "a_END", "b.gz"]
+    drop(raw, "b_END", 0)
+    time.sleep(1.5)
+    assert follow() == ["a.gz", "a_END", "b.gz", "b_END"]
+
+
+def test_pairing_a_followed_folder(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    drop(raw, "a.gz", 7200)
+    drop(raw, "a_END", 7100)
+    drop(raw, "b.gz", 7000)
+    drop(raw, "c.gz", 2)
+    # The first run moves the watermark, the second gives out what it settled.
+    for _ in range(2):
+        pairs = pair_stream(stream_manifest(spark, str(raw), settle=1))
+        write_pairs(pairs, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.schema(pairs.schema).parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["base"], r["status"]) for r in rows) == [("a", "paired"), ("b", "missing_end")]
