@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from filedrop.functions.formats import format_elapsed, run_slot
 from filedrop.functions.records import slice_fields
 from filedrop.operators import audit
-from filedrop.operators.gunzip import decode_files, gunzip_records, spread_by_size
+from filedrop.operators.gunzip import decode_files, file_outcomes, spread_by_size
 from filedrop.operators.naming import invalid_files
 from filedrop.operators.pairing import check_shape, orphan_keys, pair_files
 from filedrop.operators.summary import slot_summary
@@ -44,7 +44,7 @@ def parse_batch(
 ) -> DataFrame:
     """All records of all files as text fields plus run date and hour: one job, one decoding pass, no shuffle."""
     date, hour = run_slot(as_of)
-    fields = slice_fields(gunzip_records(files, on_error=on_error), layout, mode=mode)
+    fields = slice_fields(decode_files(files, on_error=on_error, columns=("rec",)), layout, mode=mode)
     return fields.select("*", F.lit(date).alias("date"), F.lit(hour).alias("hour"))
 
 
@@ -60,7 +60,8 @@ def parse_and_append(
     """Parse all files and append their records and outcomes in one job; returns the counts seen by the write."""
     date, hour = run_slot(as_of)
     keep = ("drop_kind", "drop_file", "drop_status", "drop_records")
-    tagged = slice_fields(decode_files(files, on_error=on_error), layout, mode=mode, keep=keep)
+    decoded = decode_files(files, on_error=on_error, columns=(*keep, "rec"))
+    tagged = slice_fields(decoded, layout, mode=mode, keep=keep)
     tagged = tagged.select(
         "*", F.lit(run).alias("drop_run"), F.lit(date).alias("date"), F.lit(hour).alias("hour")
     )
@@ -156,10 +157,7 @@ def targeted_run(
     chosen = triaged.filter(F.col("status") == "processed").select(
         F.col("gz_key").alias("path"), F.col("gz_length").alias("length")
     )
-    decoded = decode_files(spread_by_size(chosen), on_error="raw", emit="outcomes").select(
-        F.col("drop_file").alias("path"), F.col("drop_status").alias("status")
-    )
-    outcomes = materialise(decoded, f"{work}/outcomes")
+    outcomes = materialise(file_outcomes(spread_by_size(chosen), on_error="raw"), f"{work}/outcomes")
     final = materialise(apply_outcomes(triaged, outcomes), f"{work}/final")
     plan = merge_plans(archive_plan_hive(final, zones.archive), quarantine_plan_flat(final, zones.quarantine))
     apply_plan(materialise(plan, f"{work}/plan"), f"{work}/moves")

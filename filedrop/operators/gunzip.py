@@ -23,33 +23,39 @@ MEMORY_BYTES = 128 << 20
 # Compressed bytes per task when files are opened inside the tasks.
 TASK_BYTES = 128 << 20
 
-SCHEMA = "drop_kind string, drop_file string, ord bigint, rec binary, drop_status string, drop_records bigint"
-_ARROW = pa.schema([
-    ("drop_kind", pa.string()), ("drop_file", pa.string()), ("ord", pa.int64()),
-    ("rec", pa.binary()), ("drop_status", pa.string()), ("drop_records", pa.int64()),
-])
+_TYPES = {
+    "drop_kind": ("string", pa.string()),
+    "drop_file": ("string", pa.string()),
+    "ord": ("bigint", pa.int64()),
+    "rec": ("binary", pa.binary()),
+    "drop_status": ("string", pa.string()),
+    "drop_records": ("bigint", pa.int64()),
+}
+RECORD = ("drop_file", "ord", "rec")
+OUTCOME = ("drop_file", "drop_status", "drop_records")
+BOTH = tuple(_TYPES)
 
 
 def decode_files(
     files: DataFrame,
     record_bytes: int = C.RECORD_BYTES,
     on_error: str = "skip",
-    emit: str = "both",
+    columns: tuple[str, ...] = BOTH,
 ) -> DataFrame:
-    """Record rows and one outcome row per file.
+    """Record rows (``drop_kind`` is ``record``) and one outcome row (``outcome``) per file.
 
     ``files`` has ``path`` and either ``content``, or paths that the tasks open themselves. Outcomes are ``ok``,
     ``empty``, ``corrupt``, ``raw`` (only with ``on_error="raw"``: bytes that are no gzip are taken as they are)
-    and ``missing``. ``emit`` is ``both``, ``records`` or ``outcomes``. Read errors fail the task, so that Spark
-    repeats it; they are never taken for a bad file.
+    and ``missing``. Read errors fail the task, so that Spark repeats it; they are never taken for a bad file.
+
+    Only ``columns`` leave Python. Without ``rec`` there are no record rows, without ``drop_status`` no outcome rows.
     """
     if on_error not in ("skip", "raw"):
         raise ValueError(f"on_error must be 'skip' or 'raw', not {on_error!r}")
-    if emit not in ("both", "records", "outcomes"):
-        raise ValueError(f"emit must be 'both', 'records' or 'outcomes', not {emit!r}")
+    unknown = set(columns) - set(_TYPES)
+    if unknown or not {"rec", "drop_status"} & set(columns):
+        raise ValueError(f"columns must be of {list(_TYPES)}, with rec or drop_status among them")
     inline = "content" in files.columns
-    columns = ["path", "content"] if inline else ["path"]
-    want_records, want_outcomes = emit != "outcomes", emit != "records"
 
     def decode(batches):
         pending, rows = [], 0
@@ -63,7 +69,7 @@ def decode_files(
                     source = (lambda b: lambda: pa.BufferReader(b if b is not None else b""))(buffer)
                 else:
                     source = (lambda p: lambda: storage.open_binary(p))(path)
-                for out in _decode_one(path, source, record_bytes, on_error, want_records, want_outcomes):
+                for out in _decode_one(path, source, record_bytes, on_error, columns):
                     pending.append(out)
                     rows += out.num_rows
                     if rows >= ROWS_PER_BATCH:
@@ -72,23 +78,18 @@ def decode_files(
         if pending:
             yield pa.concat_batches(pending)
 
-    return files.select(*columns).mapInArrow(decode, SCHEMA)
+    read = files.select("path", "content") if inline else files.select("path")
+    return read.mapInArrow(decode, ", ".join(f"{c} {_TYPES[c][0]}" for c in columns))
 
 
 def gunzip_records(files: DataFrame, record_bytes: int = C.RECORD_BYTES, on_error: str = "skip") -> DataFrame:
     """``path, ord, rec``: the records of all decodable files, numbered from 0 in each file."""
-    out = decode_files(files, record_bytes, on_error, emit="records")
-    return out.select(F.col("drop_file").alias("path"), "ord", "rec")
+    return decode_files(files, record_bytes, on_error, RECORD).withColumnRenamed("drop_file", "path")
 
 
 def file_outcomes(files: DataFrame, record_bytes: int = C.RECORD_BYTES, on_error: str = "skip") -> DataFrame:
     """``path, status, n_records``: one row per file, whatever happened to it."""
-    out = decode_files(files, record_bytes, on_error, emit="outcomes")
-    return out.select(
-        F.col("drop_file").alias("path"),
-        F.col("drop_status").alias("status"),
-        F.col("drop_records").alias("n_records"),
-    )
+    return decode_files(files, record_bytes, on_error, OUTCOME).toDF("path", "status", "n_records")
 
 
 def spread_by_size(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
@@ -102,34 +103,34 @@ def spread_by_size(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     return files.repartition(int(tasks), "path")
 
 
-def _decode_one(path, source, record_bytes, on_error, want_records, want_outcomes):
+def _decode_one(path, source, record_bytes, on_error, columns):
+    keep = "rec" in columns
     status, total, data = "ok", 0, None
     try:
-        total, data = _check(source)
+        total, data = _check(source, keep)
     except FileNotFoundError:
         status = "missing"
     except gzip.BadGzipFile:
         if on_error == "raw":
             status, source = "raw", _Raw(source)
-            total, data = _check(source)
+            total, data = _check(source, keep)
         else:
             status = "corrupt"
     except (EOFError, zlib.error):
         status = "corrupt"
     if status in ("ok", "raw") and total == 0:
         status = "empty"
-    count = -(-total // record_bytes)
-    if want_records and total:
+    if keep and total:
         done = 0
         for piece in _pieces(source, data, record_bytes * ROWS_PER_BATCH):
-            out = _records(path, piece, done, record_bytes)
+            out = _records(path, piece, done, record_bytes, columns)
             done += out.num_rows
             yield out
-    if want_outcomes:
+    if "drop_status" in columns:
+        values = {"drop_kind": "outcome", "drop_file": path, "drop_status": status,
+                  "drop_records": -(-total // record_bytes)}
         yield pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in zip(
-                ("outcome", path, None, None, status, count), (f.type for f in _ARROW))],
-            schema=_ARROW,
+            [pa.array([values.get(c)], _TYPES[c][1]) for c in columns], names=list(columns)
         )
 
 
@@ -148,9 +149,9 @@ def _open(source):
     return raw if isinstance(source, _Raw) else gzip.GzipFile(fileobj=raw)
 
 
-def _check(source):
-    """Decode to the end: total length, and the bytes unless there are too many to keep."""
-    kept, total = io.BytesIO(), 0
+def _check(source, keep):
+    """Decode to the end: total length, and the bytes unless they are not wanted or too many to keep."""
+    kept, total = io.BytesIO() if keep else None, 0
     with _open(source) as stream:
         while chunk := stream.read(1 << 20):
             total += len(chunk)
@@ -172,17 +173,16 @@ def _pieces(source, data, size):
             yield chunk
 
 
-def _records(path, piece, first, record_bytes):
+def _records(path, piece, first, record_bytes, columns):
     """Record rows that point into ``piece`` without copying it."""
     n = -(-len(piece) // record_bytes)
     offsets = np.arange(n + 1, dtype=np.int32) * np.int32(record_bytes)
     offsets[-1] = len(piece)
-    rec = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(piece)])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.repeat(pa.scalar("record"), n), pa.repeat(pa.scalar(path), n),
-            pa.array(np.arange(first, first + n, dtype=np.int64)), rec,
-            pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
-        ],
-        schema=_ARROW,
-    )
+    make = {
+        "drop_kind": lambda: pa.repeat(pa.scalar("record"), n),
+        "drop_file": lambda: pa.repeat(pa.scalar(path), n),
+        "ord": lambda: pa.array(np.arange(first, first + n, dtype=np.int64)),
+        "rec": lambda: pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(piece)]),
+    }
+    arrays = [make[c]() if c in make else pa.nulls(n, _TYPES[c][1]) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, names=list(columns))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import uuid
 
 from pyarrow import fs
 
@@ -96,7 +97,7 @@ def copy(source: str, target: str) -> None:
     if is_local(target):
         os.makedirs(posixpath.dirname(target_path), exist_ok=True)
         # Readers must never see half a copy under the final name.
-        partial = f"{target_path}.{os.getpid()}.partial"
+        partial = f"{target_path}.{uuid.uuid4().hex}.partial"
         store.copy_file(source_path, partial)
         os.replace(partial, target_path)
     else:
@@ -119,7 +120,7 @@ def write_bytes(uri: str, data: bytes) -> None:
     store, path = resolve(uri)
     if is_local(uri):
         os.makedirs(posixpath.dirname(path), exist_ok=True)
-        partial = f"{path}.{os.getpid()}.partial"
+        partial = f"{path}.{uuid.uuid4().hex}.partial"
         with open(partial, "wb") as out:
             out.write(data)
         os.replace(partial, path)
