@@ -9,10 +9,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from filedrop import constants as C
 from filedrop.functions.formats import format_elapsed, run_slot
 from filedrop.functions.records import slice_fields
 from filedrop.operators import audit
-from filedrop.operators.gunzip import decode_files, file_outcomes, spread_by_size
+from filedrop.operators.gunzip import OUTCOME, decode_files, decode_listed
 from filedrop.operators.naming import invalid_files
 from filedrop.operators.pairing import check_shape, orphan_keys, pair_files
 from filedrop.operators.summary import slot_summary
@@ -38,13 +39,28 @@ class Zones:
     audit: str
     work: str
 
+    @classmethod
+    def under(cls, root: str, work: str) -> Zones:
+        """The usual folders below one root."""
+        at = root.rstrip("/") + "/"
+        return cls(at + C.RAW_ROOT, at + C.TABLE_ROOT.rstrip("/"), at + C.ARCHIVE_ROOT, at + C.QUARANTINE_ROOT,
+                   at + C.LOG_ROOT.rstrip("/"), work)
+
+
+def _decode(files: DataFrame, on_error: str, columns: tuple[str, ...]) -> DataFrame:
+    listed = "content" not in files.columns and "length" in files.columns
+    return (decode_listed if listed else decode_files)(files, on_error=on_error, columns=columns)
+
 
 def parse_batch(
     files: DataFrame, layout: Layout, as_of: dt.datetime, mode: str = "chars", on_error: str = "skip"
 ) -> DataFrame:
-    """All records of all files as text fields plus run date and hour: one job, one decoding pass, no shuffle."""
+    """All records of all files as text fields plus run date and hour: one decoding pass, no shuffle of records.
+
+    ``files`` is a binary scan, or a listing with ``path`` and ``length`` whose sizes are added up first.
+    """
     date, hour = run_slot(as_of)
-    fields = slice_fields(decode_files(files, on_error=on_error, columns=("rec",)), layout, mode=mode)
+    fields = slice_fields(_decode(files, on_error, ("rec",)), layout, mode=mode)
     return fields.select("*", F.lit(date).alias("date"), F.lit(hour).alias("hour"))
 
 
@@ -60,8 +76,7 @@ def parse_and_append(
     """Parse all files and append their records and outcomes in one job; returns the counts seen by the write."""
     date, hour = run_slot(as_of)
     keep = ("drop_kind", "drop_file", "drop_status", "drop_records")
-    decoded = decode_files(files, on_error=on_error, columns=(*keep, "rec"))
-    tagged = slice_fields(decoded, layout, mode=mode, keep=keep)
+    tagged = slice_fields(_decode(files, on_error, (*keep, "rec")), layout, mode=mode, keep=keep)
     tagged = tagged.select(
         "*", F.lit(run).alias("drop_run"), F.lit(date).alias("date"), F.lit(hour).alias("hour")
     )
@@ -102,7 +117,7 @@ def hourly_run(
     if to_read.isEmpty():
         events = [("WARNING", "no complete recent pair to parse")]
     else:
-        counts = parse_and_append(spread_by_size(to_read), layout, as_of, zones.table, run, mode)
+        counts = parse_and_append(to_read, layout, as_of, zones.table, run, mode)
         events = [("INFO", f"parsed {counts['rows']} records of {counts['files']} files, {counts['files_ok']} good")]
 
     # The first run may have had nothing to parse; then there is no table to read.
@@ -157,7 +172,8 @@ def targeted_run(
     chosen = triaged.filter(F.col("status") == "processed").select(
         F.col("gz_key").alias("path"), F.col("gz_length").alias("length")
     )
-    outcomes = materialise(file_outcomes(spread_by_size(chosen), on_error="raw"), f"{work}/outcomes")
+    decoded = decode_listed(chosen, on_error="raw", columns=OUTCOME).toDF("path", "status", "n_records")
+    outcomes = materialise(decoded, f"{work}/outcomes")
     final = materialise(apply_outcomes(triaged, outcomes), f"{work}/final")
     plan = merge_plans(archive_plan_hive(final, zones.archive), quarantine_plan_flat(final, zones.quarantine))
     apply_plan(materialise(plan, f"{work}/plan"), f"{work}/moves")

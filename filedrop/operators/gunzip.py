@@ -22,6 +22,8 @@ ROWS_PER_BATCH = 8192
 MEMORY_BYTES = 128 << 20
 # Compressed bytes per task when files are opened inside the tasks.
 TASK_BYTES = 128 << 20
+# A gzip file is decoded by one task; the records of a file beyond this size are dealt out to others afterwards.
+LARGE_BYTES = 512 << 20
 
 _TYPES = {
     "drop_kind": ("string", pa.string()),
@@ -92,15 +94,38 @@ def file_outcomes(files: DataFrame, record_bytes: int = C.RECORD_BYTES, on_error
     return decode_files(files, record_bytes, on_error, OUTCOME).toDF("path", "status", "n_records")
 
 
-def spread_by_size(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """Deal paths out to tasks that open them, about ``task_bytes`` of compressed input per task.
+def decode_listed(
+    files: DataFrame,
+    record_bytes: int = C.RECORD_BYTES,
+    on_error: str = "skip",
+    columns: tuple[str, ...] = BOTH,
+) -> DataFrame:
+    """:func:`decode_files` for listed files (``path, length``), with the work spread by their sizes.
 
-    Rows of paths are tiny, so without a fixed number of partitions Spark would merge them into one task.
+    Paths are dealt out to tasks of about ``TASK_BYTES`` of input. A file above ``LARGE_BYTES``, which may hold most
+    of the records, still needs one task to decode, but what follows is shared: its records are exchanged in blocks.
     """
-    total = files.agg(F.sum(F.coalesce("length", F.lit(0))).alias("b"), F.count("*").alias("n")).first()
+    length = F.coalesce("length", F.lit(0))
+    is_large = length > LARGE_BYTES
+    stats = files.agg(
+        F.count_if(~is_large).alias("n"),
+        F.sum(F.when(~is_large, length)).alias("bytes"),
+        F.count_if(is_large).alias("n_large"),
+        F.sum(F.when(is_large, length)).alias("bytes_large"),
+    ).first()
     cores = files.sparkSession.sparkContext.defaultParallelism
-    tasks = max(-(-(total["b"] or 0) // task_bytes), min(cores, total["n"]), 1)
-    return files.repartition(int(tasks), "path")
+    # Rows of paths are tiny: without a fixed number of partitions Spark would merge them into one task.
+    tasks = max(-(-(stats["bytes"] or 0) // TASK_BYTES), min(cores, stats["n"]), 1)
+    normal = files.filter(~is_large).repartition(int(tasks), "path")
+    decoded = decode_files(normal, record_bytes, on_error, columns)
+    if not stats["n_large"]:
+        return decoded
+    large = files.filter(is_large).repartition(int(stats["n_large"]), "path")
+    numbered = tuple(columns) + tuple({"drop_file", "ord"} - set(columns))
+    shares = max(-(-stats["bytes_large"] // TASK_BYTES), cores)
+    block = F.floor(F.col("ord") / ROWS_PER_BATCH)
+    dealt = decode_files(large, record_bytes, on_error, numbered).repartition(int(shares), "drop_file", block)
+    return decoded.unionByName(dealt.select(*columns))
 
 
 def _decode_one(path, source, record_bytes, on_error, columns):

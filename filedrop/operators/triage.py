@@ -72,8 +72,8 @@ def apply_outcomes(triaged: DataFrame, outcomes: DataFrame) -> DataFrame:
     failed = outcomes.filter(F.col("status").isin("corrupt", "missing")).select(
         F.col("path").alias("gz_key"), F.lit(True).alias("_failed")
     )
-    joined = triaged.join(failed, "gz_key", "left")
-    status = F.when((F.col("status") == "processed") & F.col("_failed"), F.lit("process_error")).otherwise(
-        F.col("status")
-    )
-    return joined.select(*[status.alias("status") if c == "status" else c for c in triaged.columns])
+    # Only processed rows take part: the others, many without a data file, would meet in one join key.
+    processed, others = triaged.filter("status = 'processed'"), triaged.filter("status <> 'processed'")
+    status = F.when(F.col("_failed"), F.lit("process_error")).otherwise(F.col("status"))
+    joined = processed.join(failed, "gz_key", "left").withColumn("status", status)
+    return joined.select(*triaged.columns).unionByName(others)

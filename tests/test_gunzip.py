@@ -70,19 +70,40 @@ def test_long_files_are_decoded_in_pieces(spark, monkeypatch):
     assert status == {"long": "ok", "bad": "corrupt"}
 
 
-def test_tasks_open_paths_themselves(spark, tmp_path):
+def test_tasks_open_paths_themselves(spark, tmp_path, monkeypatch):
     for i in range(5):
         (tmp_path / f"f{i}.gz").write_bytes(gzip.compress(REC * i))
-    paths = [(str(tmp_path / f"f{i}.gz"), 30) for i in range(5)] + [(str(tmp_path / "gone.gz"), 1)]
-    files = gunzip.spread_by_size(spark.createDataFrame(paths, "path string, length bigint"), task_bytes=20)
-    assert files.rdd.getNumPartitions() == 8
-    got = {os.path.basename(r["path"]): (r["status"], r["n_records"]) for r in gunzip.file_outcomes(files).collect()}
+    paths = [(str(tmp_path / f"f{i}.gz"), 30) for i in range(5)] + [(str(tmp_path / "gone.gz"), None)]
+    monkeypatch.setattr(gunzip, "TASK_BYTES", 20)
+    decoded = gunzip.decode_listed(spark.createDataFrame(paths, "path string, length bigint"))
+    assert decoded.rdd.getNumPartitions() == 8
+    got = {
+        os.path.basename(r["drop_file"]): (r["drop_status"], r["drop_records"])
+        for r in decoded.filter("drop_kind = 'outcome'").collect()
+    }
     assert got == {
         "f0.gz": ("empty", 0), "f1.gz": ("ok", 1), "f2.gz": ("ok", 2), "f3.gz": ("ok", 3), "f4.gz": ("ok", 4),
         "gone.gz": ("missing", 0),
     }
 
 
+def test_records_of_a_large_file_are_shared_out(spark, tmp_path, monkeypatch):
+    """One file holds most records: its blocks spread over tasks, and nothing is lost or doubled."""
+    big = b"".join(b"%0520d" % i for i in range(40_000))
+    (tmp_path / "big.gz").write_bytes(gzip.compress(big, 1))
+    (tmp_path / "small.gz").write_bytes(gzip.compress(REC))
+    listing = [(str(p), p.stat().st_size) for p in tmp_path.iterdir()]
+    files = spark.createDataFrame(listing, "path string, length bigint")
+    monkeypatch.setattr(gunzip, "LARGE_BYTES", 10_000)
+    decoded = gunzip.decode_listed(files, columns=("rec",))
+    assert decoded.columns == ["rec"] and decoded.count() == 40_001
+    per_task = [len(p) for p in decoded.rdd.glom().collect()]
+    assert max(per_task) < 30_000 and sum(n > 1 for n in per_task) > 1
+    both = gunzip.decode_listed(files)
+    assert both.filter("drop_kind = 'outcome'").count() == 2
+    assert both.filter("drop_kind = 'record'").select("drop_file", "ord").distinct().count() == 40_001
+
+
 def test_both_rows_come_from_one_pass(spark):
     df = spark.createDataFrame([("a", bytearray(GOOD))], "path string, content binary")
     rows = gunzip.decode_files(df).collect()

@@ -87,6 +87,12 @@ def test_targeted_run(spark, tmp_path):
     assert "bad name.gz" in tree(tmp_path / "error") and tree(tmp_path / "raw") == []
 
 
+def test_usual_folders():
+    z = jobs.Zones.under("s3a://b", "s3a://b/work")
+    assert (z.raw, z.table, z.archive) == ("s3a://b/RDZ/Raw-Data/", "s3a://b/TDZ", "s3a://b/RDZ/backup/")
+    assert (z.quarantine, z.audit) == ("s3a://b/RDZ/error-files/", "s3a://b/LOGS")
+
+
 def test_copy(spark, tmp_path):
     deliver(tmp_path / "raw")
     moved = jobs.copy_files(spark, str(tmp_path / "raw"), str(tmp_path / "to"), str(tmp_path / "outcome"))

@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import bench  # noqa: E402
 from filedrop import jobs  # noqa: E402
-from filedrop.operators.gunzip import spread_by_size  # noqa: E402
 from filedrop.session import new_scratch, prepare  # noqa: E402
 from filedrop.sinks.tables import materialise, read_records  # noqa: E402
 from filedrop.sources.manifest import read_manifest  # noqa: E402
@@ -57,7 +56,7 @@ def main():
 
     def together():
         table = new_scratch(spark, "together")
-        jobs.parse_and_append(spread_by_size(listed), fx.LAYOUT, fx.AS_OF, table, "r")
+        jobs.parse_and_append(listed, fx.LAYOUT, fx.AS_OF, table, "r")
         return read_records(spark, table, fx.LAYOUT)
 
     def apart():
