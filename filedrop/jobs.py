@@ -90,7 +90,7 @@ def hourly_run(
     as_of: dt.datetime,
     mode: str = "chars",
     archive_failed: bool = False,
-    depth: int = 1,
+    depth: int = 0,
 ) -> DataFrame:
     """List, check names, pair, triage, parse, archive or quarantine, audit.
 
@@ -159,7 +159,7 @@ def hourly_run(
 
 
 def targeted_run(
-    spark: SparkSession, zones: Zones, date: str, hour: str, prefix: str = "", depth: int = 1
+    spark: SparkSession, zones: Zones, date: str, hour: str, prefix: str = "", depth: int = 0
 ) -> DataFrame:
     """Process one date and hour, quarantine everything else, and return the daily and hourly summary.
 
@@ -180,7 +180,7 @@ def targeted_run(
     return slot_summary(final)
 
 
-def copy_files(spark: SparkSession, source: str, target: str, outcome_path: str, depth: int = 1) -> DataFrame:
+def copy_files(spark: SparkSession, source: str, target: str, outcome_path: str, depth: int = 0) -> DataFrame:
     """Copy all files below one folder into another; sources stay."""
     manifest = read_manifest(spark, source, depth)
     plan = materialise(copy_plan(manifest, "", target), f"{outcome_path}-plan")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from filedrop.sources import storage
 

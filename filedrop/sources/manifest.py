@@ -1,8 +1,9 @@
 """Manifest of delivered files: path, modification time and size.
 
 Spark's own file sources skip zero-byte files, and end markers are usually empty, so the listing is a Python data
-source. Each task lists one folder and streams its rows; nothing is gathered on the driver but folder names.
-For a store with a very large flat folder, hand the store's inventory table to :func:`from_inventory` instead.
+source. A flat folder is listed and streamed by one task. With ``depth`` the folders of that many levels are found while
+the query is planned, and each is listed by a task of its own; only their names are gathered.
+For a store with tens of millions of files, hand the store's inventory table to :func:`from_inventory` instead.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ class ManifestSource(DataSource):
         return SCHEMA
 
     def _depth(self) -> int:
-        return int(self.options.get("depth", "1"))
+        return int(self.options.get("depth", "0"))
 
     def reader(self, schema):
         return ManifestReader(self.options["path"], self._depth())
@@ -133,13 +134,13 @@ def _to_batch(rows) -> pa.RecordBatch:
     )
 
 
-def read_manifest(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
-    """All files under a folder, recursively and without a page limit."""
+def read_manifest(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
+    """All files under a folder, recursively and without a page limit; see ``depth`` above for nested folders."""
     spark.dataSource.register(ManifestSource)
     return spark.read.format("file_manifest").option("depth", depth).load(root)
 
 
-def stream_manifest(spark: SparkSession, root: str, depth: int = 1, settle: float = 5) -> DataFrame:
+def stream_manifest(spark: SparkSession, root: str, depth: int = 0, settle: float = 5) -> DataFrame:
     """Files as they arrive under a folder."""
     spark.dataSource.register(ManifestSource)
     stream = spark.readStream.format("file_manifest").option("depth", depth).option("settle", settle)

@@ -93,19 +93,16 @@ def hourly_summary(spark, sf):
     return summary.hourly_summary(_targeted(spark, sf))
 
 
-SIZE = """case when n < 1024 then printf('%.2f Bytes', cast(n as double))
-  when n < 1048576 then printf('%.2f KB', n / 1024::double)
-  when n < 1073741824 then printf('%.2f MB', n / 1048576::double)
-  when n < 1099511627776 then printf('%.2f GB', n / 1073741824::double)
-  when n < 1125899906842624 then printf('%.2f TB', n / 1099511627776::double)
-  else printf('%.2f PB', n / 1125899906842624::double) end"""
+def _size_sql(n: str) -> str:
+    units = [("Bytes", 1), ("KB", 1024), ("MB", 1024**2), ("GB", 1024**3), ("TB", 1024**4)]
+    rungs = " ".join(f"when {n} < {k * 1024} then printf('%.2f {u}', {n} / {k}::double)" for u, k in units)
+    return f"case {rungs} else printf('%.2f PB', {n} / {1024**5}::double) end"
 
 
 @query("slot_summary", f"""{TARGETED}, both_ways as (
   select 'date' as grouping, date_key as value, {COUNTERS} from targeted group by 2
   union all select 'hour', hour_key, {COUNTERS} from targeted group by 2)
-select * exclude (processed_size), {SIZE.replace('n <', 'processed_size <').replace('n /', 'processed_size /').replace('cast(n', 'cast(processed_size')} as size
-from both_ways""")
+select * exclude (processed_size), {_size_sql('processed_size')} as size from both_ways""")
 def slot_summary(spark, sf):
     """Both summaries from one pass, sizes as text."""
     both = summary.slot_summary(_targeted(spark, sf))
@@ -115,7 +112,7 @@ def slot_summary(spark, sf):
 
 
 @query("format_size", f"""
-select l_orderkey, l_linenumber, n as size, {SIZE} as size_text from (
+select l_orderkey, l_linenumber, n as size, {_size_sql('n')} as size_text from (
   select l_orderkey, l_linenumber, cast(round(l_extendedprice * 100) as bigint) * l_orderkey as n from lineitem
   union all select l_orderkey, l_linenumber, l_partkey * l_linenumber from lineitem)""")
 def format_size(spark, sf):

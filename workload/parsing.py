@@ -46,7 +46,8 @@ select doc_id, ord, octet_length(rec) as n_bytes, md5(rec) as digest from cuts""
 def chunk_native(spark, sf):
     """Whole texts cut every 520 bytes without Python."""
     cut = rec.cut_records(fx.texts(spark, sf), "content")
-    return cut.select("doc_id", "ord", F.octet_length("rec").cast("bigint").alias("n_bytes"), F.md5("rec").alias("digest"))
+    n_bytes = F.octet_length("rec").cast("bigint").alias("n_bytes")
+    return cut.select("doc_id", "ord", n_bytes, F.md5("rec").alias("digest"))
 
 
 @query("decode_lossy", f"{CHUNKS} select doc_id, ord, {LOSSY} as text from cuts")
@@ -63,7 +64,8 @@ def gunzip_fallback(spark, sf):
     """Contents that are no gzip are taken as they are; truncated ones give nothing."""
     files = fx.text_files(spark, sf, {"src0": "plain", "src1": "truncated", "src2": "members"})
     out = gunzip.gunzip_records(files, on_error="raw")
-    return out.select("path", "ord", F.octet_length("rec").cast("bigint").alias("n_bytes"), F.md5("rec").alias("digest"))
+    n_bytes = F.octet_length("rec").cast("bigint").alias("n_bytes")
+    return out.select("path", "ord", n_bytes, F.md5("rec").alias("digest"))
 
 
 DAMAGE = {"src0": "plain", "src1": "truncated", "src2": "garbage", "src3": "empty", "src4": "members"}
