@@ -7,7 +7,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from filedrop import constants as C
 from filedrop.functions.formats import format_elapsed, run_slot
@@ -73,14 +73,27 @@ def parse_and_append(
     mode: str = "chars",
     on_error: str = "skip",
 ) -> dict[str, int]:
-    """Parse all files and append their records and outcomes in one job; returns the counts seen by the write."""
+    """Parse all files and append their records and outcomes in one job; returns ``rows, files, files_ok``.
+
+    Rows are counted as they come out of Python, where a break in the generated code costs nothing extra. Counting the
+    sliced rows instead made the job half as slow again. Slicing keeps every row, so the counts are those written.
+    """
     date, hour = run_slot(as_of)
     keep = ("drop_kind", "drop_file", "drop_status", "drop_records")
-    tagged = slice_fields(_decode(files, on_error, (*keep, "rec")), layout, mode=mode, keep=keep)
+    seen = Observation()
+    decoded = _decode(files, on_error, (*keep, "rec")).observe(
+        seen,
+        F.count(F.lit(1)).alias("all"),
+        F.count("drop_status").alias("files"),
+        F.count_if(F.col("drop_records") > 0).alias("files_ok"),
+    )
+    tagged = slice_fields(decoded, layout, mode=mode, keep=keep)
     tagged = tagged.select(
         "*", F.lit(run).alias("drop_run"), F.lit(date).alias("date"), F.lit(hour).alias("hour")
     )
-    return append_parsed(tagged, table)
+    append_parsed(tagged, table)
+    counts = seen.get
+    return {"rows": counts["all"] - counts["files"], "files": counts["files"], "files_ok": counts["files_ok"]}
 
 
 def hourly_run(

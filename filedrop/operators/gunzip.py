@@ -20,8 +20,10 @@ from filedrop.sources import storage
 ROWS_PER_BATCH = 8192
 # Decoded bytes of one file kept in memory. Longer files are decoded twice, first only to check them.
 MEMORY_BYTES = 128 << 20
-# Compressed bytes per task when files are opened inside the tasks.
+# Compressed bytes per task when files are opened inside the tasks. Less input is still cut into several tasks per
+# core, as files and their compression differ.
 TASK_BYTES = 128 << 20
+TASKS_PER_CORE = 4
 # A gzip file is decoded by one task; the records of a file beyond this size are dealt out to others afterwards.
 LARGE_BYTES = 512 << 20
 
@@ -115,7 +117,7 @@ def decode_listed(
     ).first()
     cores = files.sparkSession.sparkContext.defaultParallelism
     # Rows of paths are tiny: without a fixed number of partitions Spark would merge them into one task.
-    tasks = max(-(-(stats["bytes"] or 0) // TASK_BYTES), min(cores, stats["n"]), 1)
+    tasks = max(-(-(stats["bytes"] or 0) // TASK_BYTES), min(cores * TASKS_PER_CORE, stats["n"]), 1)
     normal = files.filter(~is_large).repartition(int(tasks), "path")
     decoded = decode_files(normal, record_bytes, on_error, columns)
     if not stats["n_large"]:

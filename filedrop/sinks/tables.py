@@ -38,22 +38,13 @@ def concurrent_writers(spark: SparkSession, n: int):
         spark.conf.set(WRITERS, before)
 
 
-def append_parsed(tagged: DataFrame, root: str) -> dict[str, int]:
+def append_parsed(tagged: DataFrame, root: str) -> None:
     """Append record rows and file outcome rows in one job, so both are committed or neither.
 
-    They lie in ``drop_kind=record`` and ``drop_kind=outcome`` below ``root``. Returns the counts seen while writing.
+    They lie in ``drop_kind=record`` and ``drop_kind=outcome`` below ``root``.
     """
-    seen = Observation()
-    status, is_outcome = F.col("drop_status"), F.col("drop_kind") == "outcome"
-    counted = tagged.observe(
-        seen,
-        F.count_if(~is_outcome).alias("rows"),
-        F.count_if(is_outcome).alias("files"),
-        F.count_if(is_outcome & status.isin("ok", "raw")).alias("files_ok"),
-    )
     with concurrent_writers(tagged.sparkSession, 2):
-        counted.write.mode("append").partitionBy("drop_kind", "date", "hour").parquet(root)
-    return seen.get
+        tagged.write.mode("append").partitionBy("drop_kind", "date", "hour").parquet(root)
 
 
 def _parsed_schema(layout: Layout) -> T.StructType:
