@@ -20,10 +20,10 @@ from filedrop.sources import storage
 ROWS_PER_BATCH = 8192
 # Decoded bytes of one file kept in memory. Longer files are decoded twice, first only to check them.
 MEMORY_BYTES = 128 << 20
-# Compressed bytes per task when files are opened inside the tasks. Less input is still cut into several tasks per
+# Compressed bytes per task when files are opened inside the tasks. Less input is still cut into two tasks per
 # core, as files and their compression differ.
 TASK_BYTES = 128 << 20
-TASKS_PER_CORE = 4
+TASKS_PER_CORE = 2
 # A gzip file is decoded by one task; the records of a file beyond this size are dealt out to others afterwards.
 LARGE_BYTES = 512 << 20
 
