@@ -1,6 +1,6 @@
 """All queries of the subpackage, entered by the modules of its operators."""
 
-from filedrop.llm import mixing, near_duplicates, quality_cnn, repetition, url_rules  # noqa: F401
+from filedrop.llm import disclosure, mixing, near_duplicates, quality_cnn, repetition, url_rules  # noqa: F401
 from filedrop.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
