@@ -1,6 +1,6 @@
 """All queries of the subpackage, entered by the modules of its operators."""
 
-from filedrop.llm import decontamination, disclosure, lattice_lm, mixing, near_duplicates, quality_cnn, repetition, toxicity, url_rules  # noqa: F401
+from filedrop.llm import decontamination, disclosure, lattice_lm, mixing, near_duplicates, quality_cnn, repetition, toxicity, url_rules, warc  # noqa: F401
 from filedrop.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
