@@ -143,42 +143,49 @@ class _Inflated:
 
     def __init__(self, file):
         self.file, self.inflate = file, zlib.decompressobj(31)
-        self.held = self.packed = b""
+        self.packed = self.held = b""
+        self.at = 0  # what of ``held`` has been given out
         self.started = False
 
     def _more(self) -> bool:
+        """Inflates another block; false at the end of the file."""
         while True:
-            if not self.packed:
-                self.packed = self.file.read(CHUNK)
+            if self.inflate.eof:
+                self.packed = self.packed or self.file.read(CHUNK)
                 if not self.packed:
-                    if self.started and not self.inflate.eof:
-                        raise EOFError("gzip stream is cut off")
                     return False
-            if self.inflate.eof:
                 self.inflate = zlib.decompressobj(31)
-            self.started = True
+            # Output may still be pending when all input has been taken.
             data = self.inflate.decompress(self.packed, CHUNK)
             self.packed = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
             if data:
-                self.held += data
+                self.held, self.at = self.held[self.at :] + data, 0
                 return True
+            if not self.inflate.eof and not self.packed:
+                self.packed = self.file.read(CHUNK)
+                if not self.packed:
+                    if self.started:
+                        raise EOFError("gzip stream is cut off")
+                    return False
+                self.started = True
 
     def header(self) -> bytes | None:
         """Bytes up to and with the blank line that ends a record's header; none at the end of the file."""
-        while (at := self.held.find(b"\r\n\r\n")) < 0:
+        while (end := self.held.find(b"\r\n\r\n", self.at)) < 0:
             if not self._more():
-                if self.held.strip():
+                if self.held[self.at :].strip():
                     raise EOFError("record header is cut off")
                 return None
-        head, self.held = self.held[: at + 4], self.held[at + 4 :]
+        head, self.at = self.held[self.at : end + 4], end + 4
         return head
 
     def blocks(self, n: int):
         """The next ``n`` bytes in pieces."""
         while n:
-            if not self.held and not self._more():
+            if self.at == len(self.held) and not self._more():
                 raise EOFError("record is cut off")
-            piece, self.held = self.held[:n], self.held[n:]
+            piece = self.held[self.at : self.at + n]
+            self.at += len(piece)
             n -= len(piece)
             yield piece
 
