@@ -95,7 +95,8 @@ def record_bytes(page_id, url, payload: bytes, sha1: str, kind: str, refers_to)
 def _create(path: str):
     store, inner = storage.resolve(path)
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    return store.open_output_stream(inner)
+    # The name would make the store compress the bytes once more.
+    return store.open_output_stream(inner, compression=None)
 
 
 def _open(path: str):
