@@ -88,8 +88,8 @@ def _accepted(kind: str, found: Column) -> Column:
 
 
 def with_base_spans(docs: DataFrame) -> DataFrame:
-    """Adds ``_text`` (never null), ``n_<kind>`` and ``_base``: spans ``start, rank, end, kind, value`` in order."""
-    docs = docs.withColumn("_text", F.coalesce("text", F.lit("")))
+    """``doc_id, _text`` (never null), ``n_<kind>``, ``_base``: spans ``start, rank, end, kind, value`` in order."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     text = F.col("_text")
     # Most texts hold no such sign at all and are not searched.
     might = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
@@ -164,7 +164,7 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     """``keep`` columns with ``n_<kind>, base, spans``; spans are ``start, rank, end, kind, value, share``.
 
     ``base`` are the spans of personal data; ``spans`` adds the disclosing terms, whose ``share`` is how much of the
-    entity's information they give away. ``keep`` holds ``doc_id``.
+    entity's information they give away. A kept column that is named like a result gives way to it.
     """
     digest = F.md5(F.col("_text").cast("binary"))
     counts = [f"n_{k}" for k in PATTERNS]
@@ -191,11 +191,13 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string,share:double>>")
     one = written(one.select("_id", F.col("digest").alias("_digest"), "base", *counts, F.array_sort(
         F.concat(plain, F.coalesce("terms", none))).alias("spans")), "all-spans")
-    rows = docs.select(*keep, F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_own"), F.col("doc_id").alias("_own_id"))
+    rows = docs.select(F.struct(*keep).alias("_row"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_own"), F.col("doc_id").alias("_own_id"))
     joined = rows.join(one, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left")
     no_base = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
+    named = {*counts, "base", "spans"}
     return joined.select(
-        *keep, *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        *(F.col("_row")[c].alias(c) for c in keep if c not in named),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
         F.coalesce("base", no_base).alias("base"), F.coalesce("spans", none).alias("spans"),
     )
 
@@ -212,9 +214,9 @@ def _replacement(span: Column, original: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` generalised or removed. Spans that overlap are covered by the first of them."""
-    others = [c for c in docs.columns if c != "text"]
-    found = find_spans(docs, keep=tuple(docs.columns))
-    text = F.col("text")
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_whole"))
+    found = find_spans(whole, keep=("_whole",))
+    text = F.col("_whole")["text"]
 
     def step(state, span):
         start = F.greatest(span["start"], state["at"])
@@ -230,8 +232,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
         "spans", zero, step,
         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text) - state["at"])),
     )
-    cleaned = found.withColumn("_clean", F.when(F.size("spans") > 0, clean).otherwise(text))
-    return cleaned.select(*others, F.col("_clean").alias("text")).select(*docs.columns)
+    cleaned = F.when(F.size("spans") > 0, clean).otherwise(text)
+    return found.select(*(cleaned.alias(c) if c == "text" else F.col("_whole")[c].alias(c) for c in docs.columns))
 
 
 def _listed(spans: Column) -> Column:

@@ -95,11 +95,11 @@ def _digest(*parts: Column | str) -> Column:
 def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", source: str = "source") -> DataFrame:
     """The ``keep`` columns with ``size, source_size, target, taken``, one row per row of ``docs``.
 
-    ``keep`` holds ``doc_id``; its columns travel through one shuffle by shard.
+    Kept columns travel through one shuffle by shard; one that is named like a result gives way to it.
     """
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
     sized = written(
-        docs.select(*keep, F.col(source).alias("_source"), size.alias("_size"),
+        docs.select(F.struct(*keep).alias("_row"), F.col(source).alias("_source"), size.alias("_size"),
                     F.coalesce(F.col("doc_id").cast("string"), F.lit("~")).alias("_id")), "sized",
     )
     sizes = sized.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").cast("bigint").alias("source_size"))
@@ -127,7 +127,9 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
     placed = dealt.drop("blocks", "block").withColumn("_first", first).join(
         cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("_shard") == F.col("c_shard"))
     )
-    return placed.select(*keep, F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"))
+    results = [F.col("_size").alias("size"), F.col("source_size"), F.col("target"), _taken().alias("taken")]
+    named = {"size", "source_size", "target", "taken"}
+    return placed.select(*(F.col("_row")[c].alias(c) for c in keep if c not in named), *results)
 
 
 def _block_key(j: Column, source: str, shard: str) -> Column:

@@ -316,6 +316,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
 
 
+def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one document of each group: its first text and id, and of repeated rows of that only one."""
+    found = near_duplicates(docs, similarity)
+    rest = written(
+        found.filter(~F.col("is_first")).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_other")).distinct(),
+        "duplicates",
+    )
+    repeated = found.filter("is_first").groupBy("doc_id", "digest").count().filter("count > 1")
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_own"), digest.alias("_digest"))
+    kept = whole.join(rest, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_other")), "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["_own", "_digest"])
+    return kept.select("_row.*")
+
+
 @query("op9_bagminhash_near_duplicates")
 def op9(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

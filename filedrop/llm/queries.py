@@ -1,6 +1,13 @@
-"""All queries of the subpackage, entered by the modules of its operators."""
+"""All queries of the subpackage, entered by the modules of its operators, and the pipeline."""
 
-from filedrop.llm import decontamination, disclosure, lattice_lm, mixing, near_duplicates, quality_cnn, repetition, toxicity, url_rules, warc  # noqa: F401
+import corpus_pipeline
+from filedrop.llm import (  # noqa: F401
+    decontamination, disclosure, lattice_lm, mixing, near_duplicates, quality_cnn, repetition, toxicity, url_rules, warc,
+)
 from filedrop.llm.registry import ORACLES, QUERIES
 
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 __all__ = ["ORACLES", "QUERIES"]
