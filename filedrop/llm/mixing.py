@@ -48,13 +48,14 @@ def apportion(units: DataFrame, by: list[str], weight: str, seats: str, order: l
     more = F.col("_lack") > 0
     last = F.when(more, bound).otherwise(F.least(bound, F.col("_near").cast("int") - 1))
     steps = F.when((F.col("_lack") != 0) & (last >= 0), F.sequence(F.lit(0), last))
+    tie = [F.col(c).asc_nulls_last() for c in order]
+    near = near.withColumn("_unit", F.row_number().over(group.orderBy(*tie)))
     tried = near.filter("_lack <> 0").select("*", F.explode(steps).alias("_k"))
     seat = F.when(more, 2 * (F.col("_near") + F.col("_k")) + 1).otherwise(2 * (F.col("_near") - F.col("_k")) - 1)
     tried = tried.withColumn("_quotient", F.col(weight) / seat)
-    # Seats are given to the highest quotients and taken from the lowest.
+    # Seats are given to the highest quotients, the first unit's first, and taken in the opposite order.
     sign = F.when(more, F.lit(-1)).otherwise(F.lit(1))
-    tie = [F.col(c).asc_nulls_last() for c in order]
-    place = F.row_number().over(group.orderBy(sign * F.col("_quotient"), *tie, F.col("_k")))
+    place = F.row_number().over(group.orderBy(sign * F.col("_quotient"), -sign * F.col("_unit"), F.col("_k")))
     moved = tried.withColumn("_place", place).filter(F.col("_place") <= F.abs("_lack"))
     keys = [*by, *order]
     moved = moved.groupBy(*keys).agg(F.sum(-sign).alias("_moved"))

@@ -72,9 +72,14 @@ class Network:
         ]
         return self
 
-    def half_peaks(self, padded: np.ndarray) -> np.ndarray:
-        """Largest response of each filter within each half."""
+    def half_peaks(self, padded: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Largest response of each filter within each half.
+
+        The last positions of a text are padding only and would see the next text; they do not count.
+        """
         n = len(padded) - WIDTH
+        last = np.zeros(n // HALF, bool)
+        last[bounds[1:] - 1] = True
         pairs = (padded[:-1].astype(np.int32) << 8) | padded[1:]
         peaks = np.empty((n // HALF, FILTERS), np.float32)
         for i in range(0, n, TILE):
@@ -82,12 +87,14 @@ class Network:
             response = self.tables[0][pairs[i:j]]
             for k in range(1, WIDTH // 2):
                 response += self.tables[k][pairs[i + 2 * k : j + 2 * k]]
-            response.reshape(-1, HALF, FILTERS).max(axis=1, out=peaks[i // HALF : j // HALF])
+            by_half = response.reshape(-1, HALF, FILTERS)
+            by_half[last[i // HALF : j // HALF], 1 - WIDTH :] = -np.inf
+            by_half.max(axis=1, out=peaks[i // HALF : j // HALF])
         return peaks
 
     def chunk_peaks(self, padded: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Peaks of the chunk that starts at each half, never across texts; the last chunk of a text is one half."""
-        peaks = self.half_peaks(padded)
+        peaks = self.half_peaks(padded, bounds)
         chunks = peaks.copy()
         follows = np.ones(len(peaks), bool)
         follows[bounds[1:] - 1] = False
@@ -129,8 +136,9 @@ class Network:
         g["hidden"], g["hidden_bias"] = seen.T @ at_hidden, at_hidden.sum(axis=0)
         at_peak = (at_hidden @ self.p["hidden"].T) * (seen > 0)
         # The chunk's bytes again, to find where each filter peaked.
-        last = np.isin(used, bounds[1:] - 1)
-        window = np.where(last, HALF, 2 * HALF)
+        last = bounds[1:] - 1
+        window = np.where(np.isin(used, last), HALF, 2 * HALF)
+        window[np.isin(used, last) | np.isin(used + 1, last)] -= WIDTH - 1
         grid = used[:, None] * HALF + np.minimum(np.arange(2 * HALF), window[:, None] - 1)
         pairs = (padded[:-1].astype(np.int32) << 8) | padded[1:]
         response = self.tables[0][pairs[grid]]

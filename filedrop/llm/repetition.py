@@ -180,7 +180,7 @@ def repetition_rules(
     kept = [docs.schema[c] for c in keep]
     schema = T.StructType(kept + T.StructType.fromDDL(MEASURES).fields)
     if spans:
-        schema = schema.add("spans", "array<struct<start:bigint,end:bigint>>")
+        schema = schema.add("spans", T.ArrayType(T.StructType.fromDDL("start bigint, end bigint")))
     names = [f.name for f in T.StructType.fromDDL(MEASURES).fields]
 
     def judge(batches):
