@@ -17,6 +17,8 @@ TRIAGE = {
     "unparseable": ("ERROR", "name cannot be read: "),
     "missing_end": ("ERROR", "end marker missing for: "),
     "missing_gz": ("ERROR", "data file missing for: "),
+    "invalid_name": ("ERROR", "name fails the check: "),
+    "waiting": ("INFO", "waiting for its partner: "),
 }
 DECODED = {
     "ok": ("INFO", "parsed: "),
@@ -59,11 +61,32 @@ def audit_triage(triaged: DataFrame, as_of: dt.datetime) -> DataFrame:
     return audit_rows(triaged, "TDZ", as_of, _choose("status", TRIAGE, 0), message)
 
 
+def audit_superseded(superseded: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Files of which another copy was taken; they stay where they are."""
+    return audit_rows(superseded, "RDZ", as_of, "WARNING", F.concat(F.lit("another copy was taken than: "), "file_key"))
+
+
 def audit_outcomes(outcomes: DataFrame, as_of: dt.datetime) -> DataFrame:
     message = F.concat(_choose("status", DECODED, 1), "path", F.lit(", records "), F.col("n_records").cast("string"))
     return audit_rows(outcomes, "TDZ", as_of, _choose("status", DECODED, 0), message)
 
 
+def audit_targeted(final: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """What a targeted run decided about each pair."""
+    level = F.when(F.col("status") == "processed", F.lit("INFO")).when(
+        F.col("status") == "wrong_slot", F.lit("DEBUG")).otherwise(F.lit("ERROR"))
+    message = F.concat(F.col("status"), F.lit(": "), F.coalesce("gz_key", "end_key"))
+    return audit_rows(final, "TDZ", as_of, level, message)
+
+
+def audit_summary(summary: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """The daily and hourly figures of a targeted run."""
+    figures = [F.concat(F.lit(f", {c} "), F.col(c).cast("string")) for c in ("total", "processed", "unprocessed")]
+    size = F.concat(F.lit(", size "), F.coalesce(F.col("processed_size"), F.lit(0)).cast("string"))
+    message = F.concat(F.lit("by "), "grouping", F.lit(" "), "value", *figures, size)
+    return audit_rows(summary, "GLOBAL", as_of, "INFO", message)
+
+
 def audit_moves(moves: DataFrame, as_of: dt.datetime) -> DataFrame:
     message = F.concat(_choose("status", MOVED, 1), "source", F.lit(" to "), "destination")
     return audit_rows(moves, "RDZ", as_of, _choose("status", MOVED, 0), message)

@@ -23,6 +23,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def qualify(spark: SparkSession, root: str) -> str:
+    """One meaning for a folder: the URI that Spark's own default file system gives it.
+
+    A path without a scheme would otherwise be Spark's shared store in one place and each machine's own disk in another.
+    Machine-local folders are refused unless the master is local.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") or "/")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if found.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{root} is a folder of each machine's own; name one that all executors share")
+    return found
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

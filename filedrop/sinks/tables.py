@@ -95,17 +95,20 @@ def read_outcomes(
     )
 
 
-def reconcile(spark: SparkSession, root: str, layout: Layout, run: str | None = None) -> DataFrame:
+def reconcile(
+    spark: SparkSession, root: str, layout: Layout, run: str | None = None, slot: tuple[str, str] | None = None
+) -> DataFrame:
     """``run, path, status, n_records, n_written, matches`` per file: rows decoded against rows in the table.
 
-    Only the file and run columns of the records are read, and they are counted before the shuffle.
+    Only the file and run columns of the records are read, and they are counted before the shuffle. With ``slot`` only
+    that date and hour are listed; it must hold records.
     """
     written = (
-        read_records(spark, root, layout, run=run, lineage=True)
+        read_records(spark, root, layout, slot, run=run, lineage=True)
         .groupBy(F.col("drop_run").alias("run"), F.col("drop_file").alias("path"))
         .agg(F.count(F.lit(1)).alias("n_written"))
     )
-    outcomes = read_outcomes(spark, root, layout, run=run).select("run", "path", "status", "n_records")
+    outcomes = read_outcomes(spark, root, layout, slot, run=run).select("run", "path", "status", "n_records")
     n = F.coalesce("n_written", F.lit(0).cast("bigint"))
     joined = outcomes.join(written, ["run", "path"], "full")
     return joined.select(

@@ -62,40 +62,32 @@ def _check(fields) -> None:
         raise LayoutError(f"duplicate field names: {twice}")
 
 
-def layout_from_frame(df: DataFrame) -> Layout:
-    """Check a layout table and turn its few rows into a :class:`Layout`."""
+def layout_from_frame(df: DataFrame, max_fields: int = MAX_FIELDS) -> Layout:
+    """Check a layout table and turn its few rows into a :class:`Layout`.
+
+    ``max_fields`` guards the driver against a table that is no layout; a larger sheet is refused, never cut.
+    """
     missing = [c for c in C.LAYOUT_COLUMNS if c not in df.columns]
     if missing:
         raise LayoutError(f"layout columns missing: {missing}")
     name, start, length = C.LAYOUT_COLUMNS
     rows = df.selectExpr(
         f"`{name}` as name", f"try_cast(`{start}` as int) as start", f"try_cast(`{length}` as int) as length"
-    ).take(MAX_FIELDS + 1)
-    if len(rows) > MAX_FIELDS:
-        raise LayoutError(f"more than {MAX_FIELDS} fields; this is no layout sheet")
+    ).take(max_fields + 1)
+    if len(rows) > max_fields:
+        raise LayoutError(f"more than {max_fields} fields; this is no layout sheet")
     return Layout(Field(r["name"], r["start"], r["length"]) for r in rows)
 
 
 def load_layout(spark: SparkSession, path: str) -> Layout:
-    """Read a layout from CSV with a header, JSON lines, Parquet, or Excel where a reader is installed."""
+    """Read a layout from CSV with a header, JSON lines or Parquet."""
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "json":
         df = spark.read.json(path)
     elif kind == "parquet":
         df = spark.read.parquet(path)
-    elif kind in ("xlsx", "xls"):
-        df = _read_excel(spark, path)
     else:
         # One partition keeps the sheet's row order.
         df = spark.read.option("header", True).csv(path).coalesce(1)
     return layout_from_frame(df)
 
-
-def _read_excel(spark: SparkSession, path: str) -> DataFrame:
-    import pandas as pd
-
-    try:
-        sheet = pd.read_excel(path)
-    except ImportError as e:
-        raise LayoutError("no Excel reader is installed; save the layout as CSV") from e
-    return spark.createDataFrame(sheet)

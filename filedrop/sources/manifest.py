@@ -1,9 +1,10 @@
 """Manifest of delivered files: path, modification time and size.
 
 Spark's own file sources skip zero-byte files, and end markers are usually empty, so the listing is a Python data
-source. A flat folder is listed and streamed by one task. With ``depth`` the folders of that many levels are found while
-the query is planned, and each is listed by a task of its own; only their names are gathered.
-For a store with tens of millions of files, hand the store's inventory table to :func:`from_inventory` instead.
+source. The folders of ``depth`` levels are found while the query is planned and dealt to at most ``MAX_LISTING_TASKS``
+tasks, which list them one after the other; only their names are gathered. Files that lie flat in one folder are listed
+and streamed by one task: a store gives them in order, page by page. For tens of millions of files in one folder, hand the
+store's inventory table to :func:`from_inventory` and the manifest to the jobs.
 """
 
 from __future__ import annotations
@@ -21,47 +22,50 @@ from filedrop.sources import storage
 
 SCHEMA = "path string, modificationTime timestamp, length bigint"
 ROWS_PER_BATCH = 10_000
+#: More folders than this share tasks; none is left out.
 MAX_LISTING_TASKS = 10_000
+#: Folder levels that a listing is split by unless told otherwise.
+DEPTH = 1
 
 
-class Folder(InputPartition):
-    """One folder to list, with or without what lies below it; times in seconds bound a streaming batch."""
+class Folders(InputPartition):
+    """Folders to list, each with or without what lies below it; times in seconds bound a streaming batch."""
 
-    def __init__(self, uri: str, recursive: bool, after: float | None = None, until: float | None = None):
-        self.uri = uri
-        self.recursive = recursive
+    def __init__(self, folders: list[tuple[str, bool]], after: float | None = None, until: float | None = None):
+        self.folders = folders
         self.after = after
         self.until = until
 
 
-def _folders(root: str, depth: int, *bounds) -> list[Folder]:
+def _folders(root: str, depth: int, *bounds) -> list[Folders]:
     """Split by folder, ``depth`` levels down; a folder split further is also listed for its own files."""
-    level, done = [storage.normalise(root)], []
+    level, found = [storage.normalise(root)], []
     for _ in range(depth):
         below = []
-        for i, folder in enumerate(level):
+        for folder in level:
             children, has_files = storage.child_folders(folder)
-            if len(done) + len(below) + len(children) + len(level) - i > MAX_LISTING_TASKS:
-                done.append(Folder(folder, True, *bounds))
-                continue
             if has_files:
-                done.append(Folder(folder, False, *bounds))
+                found.append((folder, False))
             below.extend(children)
         level = below
+    found += [(folder, True) for folder in level]
     # Without any partition Spark would call read(None).
-    return done + [Folder(folder, True, *bounds) for folder in level] or [Folder(root, False, *bounds)]
+    found = found or [(storage.normalise(root), False)]
+    tasks = min(len(found), MAX_LISTING_TASKS)
+    return [Folders(found[i::tasks], *bounds) for i in range(tasks)]
 
 
-def _list(folder: Folder):
-    """Arrow batches of a folder's files."""
+def _list(part: Folders):
+    """Arrow batches of the files of some folders."""
     batch = []
-    for row in storage.iter_files(folder.uri, folder.recursive):
-        if folder.until is not None and not folder.after < row[1] <= folder.until:
-            continue
-        batch.append(row)
-        if len(batch) == ROWS_PER_BATCH:
-            yield _to_batch(batch)
-            batch = []
+    for uri, recursive in part.folders:
+        for row in storage.iter_files(uri, recursive):
+            if part.until is not None and not part.after < row[1] <= part.until:
+                continue
+            batch.append(row)
+            if len(batch) == ROWS_PER_BATCH:
+                yield _to_batch(batch)
+                batch = []
     if batch:
         yield _to_batch(batch)
 
@@ -79,15 +83,18 @@ class ManifestReader(DataSourceReader):
 
 
 class ManifestStreamReader(DataSourceStreamReader):
-    """Files by modification time: each batch lists what changed since the last one.
+    """Files by modification time: each batch lists what changed since the last one, and ``overlap`` seconds before.
 
-    The clock is read ``settle`` seconds late, so that files written in the same instant are all visible.
+    The clock is read ``settle`` seconds late, so that files written in the same instant are all visible. A file that
+    becomes visible late, with an older time, is found as long as it is not older than the overlap; what lies in the
+    overlap is given again, and :func:`stream_manifest` drops what has been seen.
     """
 
-    def __init__(self, root: str, depth: int, settle: float):
+    def __init__(self, root: str, depth: int, settle: float, overlap: float):
         self.root = root
         self.depth = depth
         self.settle = settle
+        self.overlap = overlap
 
     def initialOffset(self):
         return {"until": 0.0}
@@ -96,7 +103,7 @@ class ManifestStreamReader(DataSourceStreamReader):
         return {"until": time.time() - self.settle}
 
     def partitions(self, start, end):
-        return _folders(self.root, self.depth, start["until"], end["until"])
+        return _folders(self.root, self.depth, start["until"] - self.overlap, end["until"])
 
     def read(self, partition):
         return _list(partition)
@@ -105,7 +112,7 @@ class ManifestStreamReader(DataSourceStreamReader):
 class ManifestSource(DataSource):
     """``spark.read.format("file_manifest").load(root)``, also as ``readStream``.
 
-    Options: ``depth``, the folder levels to split the listing by, and ``settle`` for streams.
+    Options: ``depth``, the folder levels to split the listing by; ``settle`` and ``overlap``, seconds, for streams.
     """
 
     @classmethod
@@ -116,13 +123,14 @@ class ManifestSource(DataSource):
         return SCHEMA
 
     def _depth(self) -> int:
-        return int(self.options.get("depth", "0"))
+        return int(self.options.get("depth", str(DEPTH)))
 
     def reader(self, schema):
         return ManifestReader(self.options["path"], self._depth())
 
     def streamReader(self, schema):
-        return ManifestStreamReader(self.options["path"], self._depth(), float(self.options.get("settle", "5")))
+        seconds = [float(self.options.get(k, v)) for k, v in (("settle", "5"), ("overlap", "0"))]
+        return ManifestStreamReader(self.options["path"], self._depth(), *seconds)
 
 
 def _to_batch(rows) -> pa.RecordBatch:
@@ -134,17 +142,28 @@ def _to_batch(rows) -> pa.RecordBatch:
     )
 
 
-def read_manifest(spark: SparkSession, root: str, depth: int = 0) -> DataFrame:
+def read_manifest(spark: SparkSession, root: str, depth: int = DEPTH) -> DataFrame:
     """All files under a folder, recursively and without a page limit; see ``depth`` above for nested folders."""
     spark.dataSource.register(ManifestSource)
     return spark.read.format("file_manifest").option("depth", depth).load(root)
 
 
-def stream_manifest(spark: SparkSession, root: str, depth: int = 0, settle: float = 5) -> DataFrame:
-    """Files as they arrive under a folder."""
+def stream_manifest(
+    spark: SparkSession, root: str, depth: int = DEPTH, settle: float = 5, overlap: float = 0
+) -> DataFrame:
+    """Files as they arrive under a folder.
+
+    Without ``overlap`` a file must be visible ``settle`` seconds after its modification time. Uploads that take longer, or
+    copies that keep their times, need an overlap as long: each batch then lists that much again, and what was given before
+    is dropped by state that holds the paths, times and sizes of that time.
+    """
     spark.dataSource.register(ManifestSource)
     stream = spark.readStream.format("file_manifest").option("depth", depth).option("settle", settle)
-    return stream.load(root)
+    files = stream.option("overlap", overlap).load(root)
+    if not overlap:
+        return files
+    late = files.withWatermark("modificationTime", f"{int(overlap + settle) + 60} seconds")
+    return late.dropDuplicatesWithinWatermark(["path", "modificationTime", "length"])
 
 
 def from_inventory(df: DataFrame, path: str = "path", time: str = "modificationTime", size: str = "length") -> DataFrame:
@@ -169,6 +188,28 @@ def with_prefix_and_suffix(manifest: DataFrame, prefix: str = "") -> DataFrame:
     return manifest.filter(F.col("path").startswith(prefix) & is_drop_file("path"))
 
 
+def below(root: str, prefix: str) -> str:
+    """A prefix in the spelling of listed paths: relative to the root, or absolute in any spelling of its scheme.
+
+    A prefix outside the root is an error, not an empty listing.
+    """
+    home = storage.normalise(root).rstrip("/") + "/"
+    if not prefix:
+        return home
+    absolute = prefix.startswith("/") or ":/" in prefix
+    full = storage.normalise(prefix) if absolute else home + prefix
+    if not full.startswith(home):
+        raise ValueError(f"{prefix} is not below {root}")
+    return full
+
+
+def list_prefix(spark: SparkSession, root: str, prefix: str = "", depth: int = DEPTH) -> DataFrame:
+    """Drop files whose path starts with a prefix; only the prefix's folder is listed, not the whole root."""
+    full = below(root, prefix)
+    folder = full[: full.rindex("/") + 1]
+    return with_prefix_and_suffix(read_manifest(spark, folder, depth), full)
+
+
 def is_recent(as_of: dt.datetime, time="modificationTime", window: dt.timedelta = dt.timedelta(hours=1)) -> Column:
     """Modified within the window that ends at ``as_of``; both ends count.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import posixpath
 import uuid
@@ -19,12 +20,24 @@ def normalise(uri: str) -> str:
     return uri
 
 
+@functools.lru_cache
+def _store(root: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(root)
+
+
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path inside it."""
+    """File system and path inside it.
+
+    Only ``scheme://authority`` is read as a URI, once per process. The key behind it is a plain path, so blanks,
+    percent signs and other signs of odd names mean themselves.
+    """
     uri = normalise(uri)
-    if "://" in uri:
-        return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri
+    scheme, found, rest = uri.partition("://")
+    if not found:
+        return fs.LocalFileSystem(), uri
+    authority, _, key = rest.partition("/")
+    store, base = _store(f"{scheme}://{authority}/")
+    return store, join(base, key) if key else base
 
 
 def is_local(uri: str) -> bool:
@@ -90,6 +103,24 @@ def size_of(uri: str) -> int | None:
     return info.size if info.type == fs.FileType.File else None
 
 
+def modified(uri: str) -> float | None:
+    """Modification time of a file in seconds, or None when there is no such file."""
+    store, path = resolve(uri)
+    info = store.get_file_info(path)
+    return info.mtime.timestamp() if info.type == fs.FileType.File and info.mtime is not None else None
+
+
+def same_content(a: str, b: str, chunk: int = 1 << 20) -> bool:
+    """Whether two files hold the same bytes; sizes are compared first."""
+    if size_of(a) != size_of(b):
+        return False
+    with open_binary(a) as x, open_binary(b) as y:
+        while piece := x.read(chunk):
+            if piece != y.read(chunk):
+                return False
+    return True
+
+
 def copy(source: str, target: str) -> None:
     """Copy inside one store; parent folders appear as needed."""
     store, source_path = resolve(source)

@@ -22,18 +22,18 @@ def pair_stream(
 ) -> DataFrame:
     """``base, gz_key, end_key, gz_length, first_seen, status`` from a streaming manifest.
 
-    ``grace`` is how long a file waits for its partner, ``delay`` how late a listing may report a file.
+    ``grace`` is how long a file waits for its partner, ``delay`` how late a listing may report a file. A listing with an
+    overlap brings its own delay, which holds.
     """
-    keyed = (
-        drop_files(manifest)
+    timed = drop_files(manifest)
+    if "spark.watermarkDelayMs" not in manifest.schema["modificationTime"].metadata:
         # Parquet may hold times without a zone, which a watermark does not accept.
-        .withColumn("modificationTime", F.col("modificationTime").cast("timestamp"))
-        .withWatermark("modificationTime", delay)
-        .select(
-            base_key(basename("path"), replace_all).alias("base"),
-            file_kind("path").alias("kind"),
-            "path", "length", "modificationTime",
-        )
+        timed = timed.withColumn("modificationTime", F.col("modificationTime").cast("timestamp"))
+        timed = timed.withWatermark("modificationTime", delay)
+    keyed = timed.select(
+        base_key(basename("path"), replace_all).alias("base"),
+        file_kind("path").alias("kind"),
+        "path", "length", "modificationTime",
     )
     sessions = keyed.groupBy("base", F.session_window("modificationTime", grace).alias("session")).agg(*_sides())
     status = (

@@ -2,7 +2,10 @@ import datetime as dt
 import gzip
 import os
 
+import pytest
+
 from filedrop import jobs
+from filedrop.session import qualify
 from filedrop.sinks import tables
 from filedrop.sources.layout import Layout
 
@@ -87,6 +90,139 @@ def test_targeted_run(spark, tmp_path):
     assert "bad name.gz" in tree(tmp_path / "error") and tree(tmp_path / "raw") == []
 
 
+def stages(df):
+    return {(r["stage"], r["status"]): r["n"] for r in df.collect()}
+
+
+def test_a_repeated_run_writes_no_record_twice(spark, tmp_path):
+    """The archive is blocked in the first run: records are in the table, files are still in raw."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / f"{BASES['0001']}.gz").write_bytes(body(1, 2, 3))
+    (raw / f"{BASES['0001']}_END").write_bytes(b"")
+    (tmp_path / "backup").write_bytes(b"a file where a folder is needed")
+    first = stages(jobs.hourly_run(spark, zones(tmp_path), LAYOUT, now()))
+    assert first[("records", "written")] == 3 and first[("move", "failed")] == 2
+    (tmp_path / "backup").rename(tmp_path / "blocked")
+    second = stages(jobs.hourly_run(spark, zones(tmp_path), LAYOUT, now()))
+    assert second[("records", "written")] == 0 and second[("move", "done")] == 2
+    assert tables.read_records(spark, zones(tmp_path).table, LAYOUT).count() == 3 and tree(raw) == []
+    # Another version under the same name is new.
+    (raw / f"{BASES['0001']}.gz").write_bytes(body(8))
+    (raw / f"{BASES['0001']}_END").write_bytes(b"")
+    third = stages(jobs.hourly_run(spark, zones(tmp_path), LAYOUT, now()))
+    assert third[("records", "written")] == 1 and third[("move", "done")] == 2
+    kept = [n for n in tree(tmp_path / "backup") if ".gz" in n]
+    assert len(kept) == 2
+
+
+def test_every_file_has_one_route(spark, tmp_path):
+    raw = tmp_path / "raw"
+    (raw / "z").mkdir(parents=True)
+    for folder in (raw, raw / "z"):
+        (folder / f"{BASES['0001']}.gz").write_bytes(body(1) if folder == raw else body(2, 3))
+        (folder / f"{BASES['0001']}_END").write_bytes(b"")
+    (raw / f"{BASES['0002']}.gz").write_bytes(body(4))
+    (raw / f"{BASES['0002']}.gz_END").write_bytes(b"")  # the marker of a wide pair
+    odd = "R520\u0661\u0661\u0661\u06612024011512000" + "0"
+    (raw / f"{odd}.gz").write_bytes(body(5))
+    (raw / f"{odd}_END").write_bytes(b"")
+    for i, folder in enumerate(("p", "q")):
+        (raw / folder).mkdir()
+        (raw / folder / f"{BASES['0003']}.gz ").write_bytes(b"x" * (3 + 4 * i))
+    before = set(tree(raw))
+    z = zones(tmp_path)
+    jobs.hourly_run(spark, z, LAYOUT, now())
+    work = [d for d in os.listdir(z.work) if d.startswith("run-")]
+    routes = spark.read.parquet(f"{z.work}/{work[0]}/moves").collect()
+    assert sorted(os.path.relpath(r["source"], raw) for r in routes) == sorted(before)
+    by_name = {os.path.relpath(r["source"], raw): (r["status"], r["reason"]) for r in routes}
+    assert by_name[f"{BASES['0001']}.gz"] == ("skipped", "superseded") == by_name[f"{BASES['0001']}_END"]
+    assert by_name[f"{BASES['0002']}.gz_END"] == ("done", "archive") == by_name[f"z/{BASES['0001']}.gz"]
+    # A name that can be read but fails the check is quarantined and not parsed.
+    assert by_name[f"{odd}.gz"] == ("done", "invalid_name")
+    assert sorted(r["n"] for r in tables.read_records(spark, z.table, LAYOUT).collect()) == ["00002", "00003", "00004"]
+    sizes = sorted(os.path.getsize(tmp_path / "error" / n) for n in tree(tmp_path / "error") if BASES["0003"] in n)
+    assert sizes == [3, 7]
+    assert tables.read_audit(spark, z.audit).filter("message like 'another copy was taken%'").count() == 2
+
+
+def test_young_files_wait_for_their_partner(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    as_of = dt.datetime.now(dt.timezone.utc)
+    minutes = lambda n: (as_of.timestamp() + 60 * n,) * 2
+    for name, age in ((f"{BASES['0001']}.gz", -1), (f"{BASES['0002']}.gz", -30)):
+        (raw / name).write_bytes(body(1))
+        os.utime(raw / name, minutes(age))
+    grace = dt.timedelta(minutes=10)
+    got = stages(jobs.hourly_run(spark, zones(tmp_path), LAYOUT, as_of, grace=grace))
+    assert got[("triage", "waiting")] == 1 and got[("triage", "missing_end")] == 1
+    assert tree(raw) == [f"{BASES['0001']}.gz"]
+    (raw / f"{BASES['0001']}_END").write_bytes(b"")
+    os.utime(raw / f"{BASES['0001']}_END", minutes(1))
+    again = stages(jobs.hourly_run(spark, zones(tmp_path), LAYOUT, as_of + dt.timedelta(hours=1), grace=grace))
+    assert again[("triage", "valid")] == 1 and again[("move", "done")] == 2 and tree(raw) == []
+
+
+def test_a_failing_run_leaves_its_audit(spark, tmp_path):
+    deliver(tmp_path / "raw")
+    (tmp_path / "TDZ").write_bytes(b"a file where a folder is needed")
+    with pytest.raises(Exception):
+        jobs.hourly_run(spark, zones(tmp_path), LAYOUT, now())
+    log = tables.read_audit(spark, zones(tmp_path).audit)
+    assert log.filter("level = 'CRITICAL' and message like 'run failed%'").count() == 1
+    assert log.filter("message like 'pair accepted%'").count() == 2
+    assert log.filter("level = 'INFO' and message like 'files 9, invalid_files 2,%'").count() == 1
+
+
+def test_targeted_run_by_prefix_inventory_and_audit(spark, tmp_path):
+    for spelling in ("202401/", "{raw}/202401/", "file:{raw}/202401/"):
+        here = tmp_path / str(len(spelling))
+        raw = here / "raw" / "202401"
+        raw.mkdir(parents=True)
+        for name in (f"{BASES['0001']}.gz", f"{BASES['0001']}_END"):
+            (raw / name).write_bytes(body(1) if name.endswith("gz") else b"")
+        (here / "raw" / f"{BASES['0002']}.gz").write_bytes(body(1))
+        summary = jobs.targeted_run(
+            spark, zones(here), "20240115", "12", prefix=spelling.format(raw=here / "raw"), as_of=now())
+        assert {tuple(r)[:4] for r in summary.collect()} == {("date", "20240115", 1, 1), ("hour", "12", 1, 1)}
+        assert tree(here / "raw") == [f"{BASES['0002']}.gz"]
+        log = tables.read_audit(spark, zones(here).audit)
+        assert log.filter("message like 'by date 20240115, total 1%'").count() == 1
+        assert log.filter("message like 'moved: %'").count() == 2
+    with pytest.raises(ValueError, match="not below"):
+        jobs.targeted_run(spark, zones(here), "20240115", "12", prefix="/elsewhere/", as_of=now())
+    rows = [(str(here / "raw" / f"{BASES['0002']}.gz"), dt.datetime.now(), 30)]
+    inventory = spark.createDataFrame(rows, "path string, modificationTime timestamp, length bigint")
+    summary = jobs.targeted_run(spark, zones(here), "20240115", "12", manifest=inventory, as_of=now())
+    assert {tuple(r)[2:5] for r in summary.collect()} == {(0, 0, 1)}
+
+
+def test_folders_mean_what_spark_says(spark, monkeypatch):
+    assert qualify(spark, "/a/b/") == "file:/a/b"
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("fs.defaultFS", "viewfs://pool/")
+    hadoop.set("fs.viewfs.mounttable.pool.linkMergeSlash", "file:///tmp")
+    try:
+        assert qualify(spark, "/a/b") == "viewfs://pool/a/b"
+    finally:
+        hadoop.set("fs.defaultFS", "file:///")
+    with monkeypatch.context() as m:
+        m.setattr(spark.sparkContext, "master", "yarn")
+        with pytest.raises(ValueError, match="share"):
+            qualify(spark, "/a/b")
+
+
+def test_copies_of_one_name_are_all_copied(spark, tmp_path):
+    for i, folder in enumerate(("a", "b")):
+        (tmp_path / "raw" / folder).mkdir(parents=True)
+        (tmp_path / "raw" / folder / "n.gz").write_bytes(b"x" * (i + 1))
+    moved = jobs.copy_files(spark, str(tmp_path / "raw"), str(tmp_path / "to"), str(tmp_path / "outcome"))
+    assert [r["status"] for r in moved.collect()] == ["done", "done"]
+    assert sorted(os.path.getsize(tmp_path / "to" / n) for n in tree(tmp_path / "to")) == [1, 2]
+
+
 def test_usual_folders():
     z = jobs.Zones.under("s3a://b", "s3a://b/work")
     assert (z.raw, z.table, z.archive) == ("s3a://b/RDZ/Raw-Data/", "s3a://b/TDZ", "s3a://b/RDZ/backup/")

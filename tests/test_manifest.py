@@ -38,6 +38,25 @@ def test_listing_splits_by_folder(spark, tmp_path):
     assert m.read_manifest(spark, f"file:{tmp_path}", 1).rdd.getNumPartitions() == 3
 
 
+def test_many_folders_share_tasks(spark, tmp_path, monkeypatch):
+    for i in range(12):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "f").write_bytes(b"x")
+    monkeypatch.setattr(m, "MAX_LISTING_TASKS", 5)
+    parts = m._folders(str(tmp_path), 1)
+    assert len(parts) == 5 and len([f for p in parts for f in p.folders]) == 12
+    rows = [r for p in parts for batch in m._list(p) for r in batch.column("path").to_pylist()]
+    assert len(rows) == len(set(rows)) == 12
+
+
+def test_prefixes_are_spelled_like_listed_paths(spark, tmp_path):
+    assert m.below("s3a://b/raw/", "202401/") == "s3://b/raw/202401/" == m.below("s3://b/raw", "s3n://b/raw/202401/")
+    assert m.below("/raw", "") == "/raw/"
+    make_tree(tmp_path)
+    got = m.list_prefix(spark, f"file:{tmp_path}", "x/").collect()
+    assert sorted(os.path.basename(r["path"]) for r in got) == ["b.gz", "b_END", "c.gz"]
+
+
 def test_window_is_closed_at_both_ends(frame):
     second = dt.timedelta(seconds=1)
     times = [AS_OF, AS_OF - dt.timedelta(hours=1), AS_OF + second, AS_OF - dt.timedelta(hours=1) - second]

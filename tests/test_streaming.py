@@ -98,3 +98,22 @@ def test_pairing_a_followed_folder(spark, tmp_path):
         write_pairs(pairs, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     rows = spark.read.schema(pairs.schema).parquet(str(tmp_path / "out")).collect()
     assert sorted((r["base"], r["status"]) for r in rows) == [("a", "paired"), ("b", "missing_end")]
+
+
+def test_a_file_that_becomes_visible_late_is_found(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    drop(raw, "a.gz", 100)
+
+    def follow():
+        listed = stream_manifest(spark, str(raw), settle=1, overlap=600).select("path")
+        query = listed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True).start(str(tmp_path / "out"))
+        query.awaitTermination()
+        rows = spark.read.schema("path string").parquet(str(tmp_path / "out")).collect()
+        return sorted(os.path.basename(r["path"]) for r in rows)
+
+    assert follow() == ["a.gz"]
+    drop(raw, "late.gz", 60)
+    assert follow() == ["a.gz", "late.gz"]
+    assert follow() == ["a.gz", "late.gz"]

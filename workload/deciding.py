@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from filedrop.functions import formats
 from filedrop.functions.names import with_position_parts
-from filedrop.operators import pairing, summary, triage
+from filedrop.operators import gunzip, pairing, summary, triage
 from filedrop.plans import moves
 from filedrop.plans.apply import apply_plan as carry_out
 from filedrop.session import new_scratch
 from filedrop.sinks.tables import materialise
+from filedrop.sources.binary import scan_binary
 from filedrop.sources.manifest import read_manifest
 from workload import fixtures as fx
 from workload.listing import NAME, ORPHANS, PAIRS, POSITIONAL, READ, READABLE, WITH
@@ -219,15 +220,23 @@ def copy_plan(spark, sf):
 
 
 @query("apply_plan", f"""with {fx.DROPS_SQL}
-select name, case when prefix = 'R520' then 'move' else 'none' end as action,
-  case when prefix = 'R520' then 'done' else 'skipped' end as status
-from (select base || '.gz' as name, left(base, 4) as prefix from drops where has_gz
-  union all select base || '_END', left(base, 4) from drops where has_end)""")
+select name, case when base like 'R520%' then 'move' else 'none' end as action,
+  case when base like 'R520%' then 'done' else 'skipped' end as status,
+  case when base like 'R520%' then substring(base, 9, 4) || '/' || substring(base, 9, 8) || '/'
+    || substring(base, 17, 2) || '/' || name end as destination,
+  case when base like 'R520%' and name like '%.gz' then case when content = 'ok' then n else 0 end end as n_records
+from (select *, base || '.gz' as name from drops where has_gz
+  union all select *, base || '_END' from drops where has_end)""")
 def apply_plan(spark, sf):
-    """Quarantine every file of a real folder."""
+    """Quarantine every file of a real folder; what lies at the target is decoded again."""
     folder = fx.drop_folder(spark, sf, fresh=True)
     out = new_scratch(spark, "apply")
-    pairs = pairing.pair_files(read_manifest(spark, folder))
-    plan = materialise(moves.error_plan(pairs, f"{out}/error-files/"), f"{out}/plan")
-    moved = carry_out(plan, f"{out}/moves")
-    return moved.select(moves.basename("source").alias("name"), "action", "status")
+    listed = materialise(read_manifest(spark, folder), f"{out}/listed")
+    plan = moves.with_versions(moves.error_plan(pairing.pair_files(listed), f"{out}/error-files/"), listed)
+    moved = carry_out(materialise(plan, f"{out}/plan"), f"{out}/moves")
+    there = gunzip.file_outcomes(scan_binary(spark, f"{out}/error-files")).select(
+        moves.basename("path").alias("name"), "n_records")
+    return moved.select(
+        moves.basename("source").alias("name"), "action", "status",
+        F.substring_index("destination", "/error-files/", -1).alias("destination"),
+    ).join(there, "name", "left")

@@ -136,7 +136,10 @@ _folders: dict[tuple, str] = {}
 
 
 def drop_folder(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
-    """Folder with one data file and marker per event type and hour; made once per session unless ``fresh``."""
+    """Folder with one data file and marker per event type and hour, below a folder per store.
+
+    Made once per session unless ``fresh``.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if not fresh and key in _folders:
         return _folders[key]
@@ -174,11 +177,12 @@ def _file_writer(folder: str):
         row, pack, packed, n = None, None, b"", 0
 
         def close():
+            path = f"{folder}/{row['base'][4:8]}/{row['base']}"
             if row["has_gz"]:
                 data = bytes(packed + pack.flush())
-                storage.write_bytes(f"{folder}/{row['base']}.gz", data[:-6] if row["content"] == "corrupt" else data)
+                storage.write_bytes(f"{path}.gz", data[:-6] if row["content"] == "corrupt" else data)
             if row["has_end"]:
-                storage.write_bytes(f"{folder}/{row['base']}_END", b"")
+                storage.write_bytes(f"{path}_END", b"")
             return pa.RecordBatch.from_pydict({"base": [row["base"]], "n": pa.array([n], pa.int64())})
 
         # Rows arrive sorted by file; only the compressed bytes of the current file are kept.

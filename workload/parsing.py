@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from filedrop.operators.naming import invalid_files
 from filedrop.plans import moves
 from filedrop.session import new_scratch
 from filedrop.sinks import tables
+from filedrop.sources import storage
 from filedrop.sources.binary import scan_binary
 from filedrop.sources.layout import load_layout
 from filedrop.streaming import pairing as streaming
@@ -272,6 +274,23 @@ def hourly_run(spark, sf):
     return jobs.hourly_run(spark, zones, fx.EVENT_LAYOUT, as_of)
 
 
+@query("hourly_run_twice", """
+select lpad(cast(event_id as varchar), 12, '0') as event, lpad(cast(user_id as varchar), 8, '0') as "user",
+  strftime(ts, '%Y%m%d%H%M%S') as stamp, lpad(cast(cast(round(value * 100) as bigint) as varchar), 12, '0') as cents
+from events
+where not (event_type = 'purchase' and strftime(ts, '%H') = '07') and not (event_type = 'signup' and strftime(ts, '%H') = '03')
+  and not (event_type = 'view' and strftime(ts, '%H') = '04')
+  and not (event_type = 'error' and strftime(ts, '%H') in ('05', '06'))""")
+def hourly_run_twice(spark, sf):
+    """The table after a run that could not archive anything, and its repetition."""
+    zones = _zones(spark, sf)
+    as_of = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=1)
+    storage.write_bytes(f"{zones.work}/blocked", b"a file where a folder is needed")
+    jobs.hourly_run(spark, dataclasses.replace(zones, archive=f"{zones.work}/blocked/"), fx.EVENT_LAYOUT, as_of)
+    jobs.hourly_run(spark, zones, fx.EVENT_LAYOUT, as_of)
+    return tables.read_records(spark, zones.table, fx.EVENT_LAYOUT).drop("date", "hour")
+
+
 @query("targeted_run", f"""with {fx.DROPS_SQL},
 triaged as (
   select *, substring(base, 9, 8) as d, substring(base, 17, 2) as h,
@@ -292,9 +311,10 @@ def targeted_run(spark, sf):
 @query("stream_pairing", f"""{DROPS},
 sessions as (
   select base, max(path) filter (kind = 'gz') as gz_key, max(path) filter (kind = 'end') as end_key,
+    arg_max(length, path) filter (kind = 'gz') as gz_length, min(modificationTime) as first,
     max(modificationTime) as last
   from files group by base)
-select base, gz_key, end_key, case when gz_key is not null and end_key is not null then 'paired'
+select base, gz_key, end_key, gz_length, strftime(first, '%Y-%m-%d %H:%M:%S') as first_seen, case when gz_key is not null and end_key is not null then 'paired'
   when gz_key is not null then 'missing_end' else 'missing_gz' end as status
 from sessions
 where last + interval 20 minutes <= (select date_trunc('milliseconds', max(modificationTime)) from files)""")
@@ -305,4 +325,7 @@ def stream_pairing(spark, sf):
     stream = spark.readStream.schema(listing.schema).parquet(f"{out}/manifest")
     pairs = streaming.pair_stream(stream, grace="10 minutes", delay="10 minutes")
     streaming.write_pairs(pairs, f"{out}/pairs", f"{out}/checkpoint").awaitTermination()
-    return spark.read.schema(pairs.schema).parquet(f"{out}/pairs").select("base", "gz_key", "end_key", "status")
+    return spark.read.schema(pairs.schema).parquet(f"{out}/pairs").select(
+        "base", "gz_key", "end_key", "gz_length",
+        F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("first_seen"), "status",
+    )
