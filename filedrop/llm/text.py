@@ -16,7 +16,7 @@ from filedrop.sinks.tables import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts handled at once in a task, in bytes; one longer text is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
