@@ -15,7 +15,7 @@ group emits its pairs: a task gives out a link only if it joins two components.
 
 Defined results: null and empty texts have no shingles and form one class of copies. A text of one to four words is one
 shingle. Repeated rows and repeated ids with other texts keep a row each; ``group_id`` is the smallest id of the group,
-missing ids being the largest, and null if no member has an id. Ties go to the smaller text digest. Only ``doc_id`` and
+missing ids being the largest, and null if no member has an id. Equal ids are ordered by the digest of their text. Only ``doc_id`` and
 ``text`` are read.
 """
 
@@ -40,6 +40,8 @@ LEAST_SHARED = int(REGISTERS * (SIMILARITY - 5 * np.sqrt(SIMILARITY * (1 - SIMIL
 BLOCK = 32
 #: Members outside the largest component that are held at once.
 HELD = 256
+#: Largest filter that goes to all tasks, in bits (8 MB), and positions per digest.
+BLOOM_BITS, BLOOM_HASHES = 1 << 26, 4
 
 
 def multisets(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,9 +145,9 @@ def _sign(batches):
         offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
         sketch = points.astype(np.uint16)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)),
+            [batch.column("digest"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)),
              pa.array([row.tobytes() for row in sketch], pa.binary())],
-            names=["node", "bands", "sketch"],
+            names=["digest", "bands", "sketch"],
         )
 
 
@@ -189,7 +191,7 @@ def _verify(similarity: float, least_shared: int):
                     held.append((node, comp, mine))
                     sketches.append(sketch)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in links], pa.string()) for i in (0, 1)], names=["a", "b"]
+                [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
     return run
@@ -199,7 +201,7 @@ def _verified(rows: DataFrame, texts: DataFrame, similarity: float, least_shared
     """Links among ``rows`` (group, side, node, comp); texts and sketches come to the rows by node."""
     with_text = rows.join(texts, "node").select("group", "side", "node", "comp", "sketch", "text")
     dealt = with_text.repartition("group").sortWithinPartitions("group", "side", "node")
-    return written(dealt.mapInArrow(_verify(similarity, least_shared), "a string, b string"), "verified")
+    return written(dealt.mapInArrow(_verify(similarity, least_shared), "a bigint, b bigint"), "verified")
 
 
 def _blocked(n, size):
@@ -209,17 +211,14 @@ def _blocked(n, size):
 
 def _star_rows(members: DataFrame) -> DataFrame:
     """Each member of a bucket with the bucket's first member; members of a hot centre are dealt to blocks."""
-    centres = written(members.groupBy("band").agg(F.min("node").alias("centre")), "centres")
-    edges = written(
-        members.join(centres, "band").filter("node <> centre").select("centre", "node").distinct(), "candidates"
-    )
+    edges = written(members.filter("node <> centre").select("centre", "node").distinct(), "candidates")
     hot = written(
         edges.groupBy("centre").count().filter(F.col("count") > BLOCK)
         .select("centre", _blocked(F.col("count"), BLOCK).alias("blocks")), "hot-centres",
     )
     block = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1)))
     dealt = edges.join(hot, "centre", "left").select(
-        F.concat_ws("#", "centre", block.cast("string")).alias("group"), "centre", "node"
+        F.concat_ws("#", F.col("centre").cast("string"), block.cast("string")).alias("group"), "centre", "node"
     )
     streamed = dealt.select("group", F.lit(1).alias("side"), "node", F.col("node").alias("comp"))
     firsts = dealt.select("group", F.col("centre").alias("node")).distinct()
@@ -265,9 +264,46 @@ def _remaining_rows(members: DataFrame, roots: DataFrame) -> DataFrame | None:
     return own.unionByName(held).unionByName(met)
 
 
-def _node(doc_id, digest):
-    """Sorts by id (missing last), then by digest."""
-    return F.concat_ws(":", F.coalesce(F.lpad(doc_id.cast("string"), 20, "0"), F.lit("~")), digest)
+def _classes(rows: DataFrame) -> DataFrame:
+    """``digest, first_id, node``: classes of exact copies, numbered by their smallest id (missing last), then digest."""
+    found = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    ordered = found.orderBy(F.col("first_id").asc_nulls_last(), "digest")
+    return written(ordered.withColumn("node", F.monotonically_increasing_id()), "classes")
+
+
+def _bloom(nodes: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits set for each digest, at most ``BLOOM_BITS`` of them, as 64-bit words."""
+    n = nodes.count()
+    bits = min(BLOOM_BITS, max(64, 1 << (16 * n).bit_length()))
+    at = F.explode(F.array(*(F.pmod(F.xxhash64("digest", F.lit(k)), F.lit(bits)) for k in range(BLOOM_HASHES))))
+    places = nodes.select(at.alias("at"))
+    word = F.expr("shiftright(at, 6)").alias("word")
+    one = F.expr("shiftleft(1L, cast(at % 64 as int))")
+    words = np.zeros(bits // 64, np.uint64)
+    for r in places.groupBy(word).agg(F.bit_or(one).alias("bits")).collect():
+        words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
+    return words, bits
+
+
+def _texts_of(own: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, sketch, text`` of the wanted classes.
+
+    A Bloom filter of bounded size drops most other texts before the shuffle; the join decides.
+    """
+    words, bits = _bloom(wanted)
+    hashes = [F.pmod(F.xxhash64("digest", F.lit(k)), F.lit(bits)).alias(f"h{k}") for k in range(BLOOM_HASHES)]
+
+    def likely(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for k in range(BLOOM_HASHES):
+                at = np.asarray(batch.column(f"h{k}")).astype(np.uint64)
+                keep &= (words[at >> _U(6)] >> (at & _U(63))) & _U(1) != 0
+            yield batch.select(["digest", "text"]).filter(pa.array(keep))
+
+    near = own.select("digest", "text", *hashes).mapInArrow(likely, "digest string, text string")
+    found = near.join(wanted, "digest").dropDuplicates(["digest"])
+    return written(found.select("node", "sketch", "text"), "candidate-texts")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -277,42 +313,40 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     and id; repeated rows of it are all marked.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = written(docs.select("doc_id", F.md5(text.cast("binary")).alias("digest")), "rows")
-    classes = written(rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "classes")
-    firsts = classes.select(_node(F.col("doc_id"), F.col("digest")).alias("node"))
-    own = docs.select(
-        _node(F.col("doc_id"), F.md5(text.cast("binary"))).alias("node"), text.alias("text")
+    own = docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
+    rows = written(own.select("doc_id", "digest"), "rows")
+    classes = _classes(rows)
+    signed = written(
+        own.select("digest", "text").mapInArrow(_sign, "digest string, bands array<bigint>, sketch binary"), "signatures"
+    )
+    signed = written(
+        signed.dropDuplicates(["digest"]).join(classes.select("digest", "node"), "digest"), "signed-classes"
     )
-    signed = written(own.mapInArrow(_sign, "node string, bands array<bigint>, sketch binary"), "signatures")
-    signed_firsts = written(signed.join(firsts, "node", "left_semi").dropDuplicates(["node"]), "signed-classes")
 
-    bands = signed_firsts.select("node", F.explode("bands").alias("band"))
-    shared = written(bands.groupBy("band").count().filter("count > 1").select("band"), "buckets")
+    bands = signed.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
+    shared = written(shared.filter("n > 1").select("band", "centre"), "buckets")
     members = written(bands.join(shared, "band"), "members")
 
-    sketches = signed_firsts.select("node", "sketch")
-    star = written(_star_rows(members), "star")
-    wanted = written(members.select("node").distinct(), "wanted")
-    texts = written(
-        own.join(wanted, "node").join(sketches, "node").dropDuplicates(["node"]), "candidate-texts"
-    )
-    links = _verified(star, texts, similarity, 0)
+    wanted = members.select("node").distinct()
+    wanted = written(signed.select("digest", "node", "sketch").join(wanted, "node"), "wanted")
+    texts = _texts_of(own, wanted)
+    links = _verified(written(_star_rows(members), "star"), texts, similarity, 0)
     roots = components(links)
-    remaining = _remaining_rows(members, roots)
+    remaining = _remaining_rows(members.select("band", "node"), roots)
     if remaining is not None:
         more = _verified(remaining, texts, similarity, LEAST_SHARED)
         if not more.isEmpty():
             roots = components(links.unionByName(more))
 
     placed = written(
-        classes.select("digest", "doc_id", _node(F.col("doc_id"), F.col("digest")).alias("node"))
-        .join(roots, "node", "left")
-        .select("digest", F.coalesce("root", "node").alias("root")), "class-groups",
+        classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root")), "class-roots"
     )
-    smallest = F.expr("try_cast(regexp_replace(substring_index(root, ':', 1), '^0+(?=[^0])', '') as bigint)")
-    return rows.join(placed, "digest").select(
-        "doc_id", "digest", smallest.alias("group_id"),
-        (_node(F.col("doc_id"), F.col("digest")) == F.col("root")).alias("is_first"),
+    firsts = classes.select(F.col("node").alias("root"), "first_id", F.col("digest").alias("first_digest"))
+    placed = written(placed.join(firsts, "root"), "class-groups")
+    first = (F.col("digest") == F.col("first_digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    return rows.join(placed.select("digest", "first_id", "first_digest"), "digest").select(
+        "doc_id", "digest", F.col("first_id").alias("group_id"), first.alias("is_first")
     )
 
 
@@ -332,7 +366,35 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return kept.select("_row.*")
 
 
-@query("op9_bagminhash_near_duplicates")
+#: All pairs that share a shingle, and the closure of those that are alike.
+OP9_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w, md5(coalesce(text, '')) as digest
+  from documents
+), cut as (
+  select doc_id, array_to_string(w[i + 1 : i + 5], ' ') as shingle
+  from (select *, unnest(range(0, greatest(len(w) - 4, least(len(w), 1)))) as i from words)
+), sets as (
+  select doc_id, shingle, count(*) as n from cut group by all
+), sizes as (
+  select doc_id, sum(n) as total from sets group by all
+), shared as (
+  select a.doc_id as x, b.doc_id as y, sum(least(a.n, b.n)) as n
+  from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+), links as (
+  select x, y from shared join sizes s on s.doc_id = x join sizes t on t.doc_id = y
+  where n >= 0.8 * (s.total + t.total - n)
+  union select a.doc_id, b.doc_id from words a join words b on a.digest = b.digest and a.doc_id <> b.doc_id
+), reached as (
+  select doc_id as x, doc_id as y from words
+  union select r.x, l.y from reached r join links l on r.y = l.x
+)
+select x as doc_id, min(y) as group_id, any_value(digest) as class_id, x = min(y) as is_first
+from reached join words on x = doc_id group by x
+"""
+
+
+@query("op9_bagminhash_near_duplicates", OP9_SQL)
 def op9(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "group_id", F.col("digest").alias("class_id"), "is_first")
