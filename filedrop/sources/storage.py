@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 import posixpath
 import uuid
@@ -20,9 +19,14 @@ def normalise(uri: str) -> str:
     return uri
 
 
-@functools.lru_cache
+# A plain dict: tasks may get these functions by value, which a caching decorator would prevent.
+_stores: dict[str, tuple[fs.FileSystem, str]] = {}
+
+
 def _store(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root)
+    if root not in _stores:
+        _stores[root] = fs.FileSystem.from_uri(root)
+    return _stores[root]
 
 
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:
