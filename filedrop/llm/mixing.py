@@ -174,6 +174,85 @@ def _taken() -> Column:
     return (whole + F.when(some, partly).otherwise(F.lit(0))).cast("bigint")
 
 
-@query("op4_sainte_lague_mixing")
+#: The same by listing all quotients and all blocks.
+OP4_SQL = f"""
+with docs as (
+  select doc_id, coalesce(cast(doc_id as varchar), '~') as id, source,
+    cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size
+  from documents
+), sources as (
+  select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as place
+  from docs group by source
+), weighed as (
+  select *, [3, 1, 2][place % 3 + 1] as weight, 2 * source_size as most,
+    2 * source_size / [3, 1, 2][place % 3 + 1] as ratio, cast(sum(source_size) over () as double) as total
+  from sources
+), levels as (
+  select *, (1.5 * total - coalesce(sum(most) over before, 0))
+    / (sum(weight) over () - coalesce(sum(weight) over before, 0)) as level
+  from weighed
+  window before as (order by ratio, place rows between unbounded preceding and 1 preceding)
+), targets as (
+  select *, cast(least(most, coalesce((select level from levels where level <= ratio order by ratio, place limit 1)
+    * weight, most)) as double) as target,
+    cast(greatest({BLOCK_WORDS}, ceil(greatest({SHARD_WORDS}, 20 * sqrt(total)) / {BLOCKS})) as bigint) as block,
+    cast(greatest(1, ceil(source_size / greatest({SHARD_WORDS}, 20 * sqrt(total)))) as bigint) as shards
+  from levels
+), wanted as (
+  select *, cast(floor(sum(target) over () / block + 0.5) as bigint) as all_blocks, sum(target) over () as all_targets
+  from targets
+), quotients as (
+  select place, all_blocks, row_number() over (order by target / (2 * k + 1) desc, place, k) as n
+  from (select *, unnest(range(0, cast(target * all_blocks / greatest(all_targets, 1) as bigint) + 40)) as k from wanted)
+  where target > 0
+), planned as (
+  select w.*, coalesce(b.blocks, 0) as blocks
+  from wanted w left join (select place, count(*) as blocks from quotients where n <= all_blocks group by place) b
+    on w.place = b.place
+), dealt as (
+  select d.*, p.place, p.source_size, p.target, p.block, p.blocks,
+    cast('0x' || substr(md5(concat_ws('|', '{SEED}', d.id, 'shard')), 1, 8) as bigint) % p.shards as shard
+  from docs d join planned p on d.source is not distinct from p.source
+), cells as (
+  select place, any_value(source) as source, shard, cast(sum(size) as bigint) as cell, any_value(blocks) as blocks,
+    any_value(block) as block, any_value(source_size) as source_size
+  from dealt group by place, shard
+), shares as (
+  select place, shard, blocks, row_number() over (partition by place order by cell / (2 * k + 1) desc, shard, k) as n
+  from (select *, unnest(range(0, cast(cell * blocks / source_size as bigint) + 40)) as k from cells where source_size > 0)
+  where cell > 0
+), quotas as (
+  select c.*, least(coalesce(q.quota, 0) * c.block, 2 * c.cell) as words
+  from cells c left join (select place, shard, count(*) as quota from shares where n <= blocks group by place, shard) q
+    on c.place = q.place and c.shard = q.shard
+), passed as (
+  select *, case when cell > 0 then words // cell else 0 end as passes,
+    case when cell > 0 then words % cell else 0 end as rest
+  from quotas
+), pieces as (
+  select *, row_number() over (partition by place, shard order by key) as n
+  from (select *, case when (j + 1) * block > cell then 'z' else
+      md5(concat_ws('|', '{SEED}', coalesce(source, '~null'), cast(shard as varchar), cast(j as varchar))) end as key
+    from (select *, unnest(range(0, cast(ceil(cell / block) as bigint))) as j from passed))
+), given as (
+  select place, shard, j, block, case when n <= rest // block then block when n = rest // block + 1 then rest % block
+    else 0 end as length
+  from pieces
+), placed as (
+  select *, cast(coalesce(sum(size) over (partition by place, shard order by md5(concat_ws('|', '{SEED}', id)), id, size
+    rows between unbounded preceding and 1 preceding), 0) as bigint) as first, row_number() over () as rid
+  from dealt
+), partly as (
+  select p.rid, sum(greatest(0, least(p.first + p.size, g.j * g.block + g.length) - greatest(p.first, g.j * g.block))) as words
+  from placed p join given g on p.place = g.place and p.shard = g.shard
+    and g.j between p.first // p.block and (p.first + p.size - 1) // p.block
+  where p.size > 0 group by p.rid
+)
+select p.doc_id, p.size, p.source_size, p.target, cast(c.passes * p.size + coalesce(x.words, 0) as bigint) as taken
+from placed p join passed c on p.place = c.place and p.shard = c.shard left join partly x on p.rid = x.rid
+"""
+
+
+@query("op4_sainte_lague_mixing", OP4_SQL)
 def op4(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))

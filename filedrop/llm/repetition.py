@@ -194,6 +194,47 @@ def repetition_rules(
     return docs.select(*keep, docs[text].alias("__text")).mapInArrow(judge, schema)
 
 
-@query("op2_suffix_array_repetition")
+#: Repeated windows, and for the longest repeat the longest run of equal words at one distance.
+OP2_SQL = f"""
+with words as (
+  select doc_id, coalesce(text, '') as text, row_number() over () as rid,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), each as (
+  select rid, unnest(w) as word, unnest(range(1, len(w) + 1)) as i, len(w) as n from words
+), windows as (
+  select rid, i, {WINDOW} as width, count(*) over (partition by rid, array_to_string(w[i : i + {WINDOW - 1}], ' ')) as times
+  from (select rid, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from words)
+  union all
+  select rid, i, {MIN_REPEAT_WORDS}, count(*) over (partition by rid, array_to_string(w[i : i + {MIN_REPEAT_WORDS - 1}], ' '))
+  from (select rid, w, unnest(range(1, len(w) - {MIN_REPEAT_WORDS - 2})) as i from words)
+), inside as (
+  select rid, count(distinct pos) filter (width = {WINDOW}) as short, count(distinct pos) filter (width = {MIN_REPEAT_WORDS}) as long
+  from (select rid, width, unnest(range(i, i + width)) as pos from windows where times > 1) group by rid
+), runs as (
+  select rid, gap, i - row_number() over (partition by rid, gap order by i) as run
+  from (select a.rid, a.i, b.i - a.i as gap from each a join each b on a.rid = b.rid and a.word = b.word and a.i < b.i)
+), longest as (
+  select rid, max(n) as n from (select rid, count(*) as n from runs group by rid, gap, run) group by rid
+), lines as (
+  select rid, count(*) - count(distinct line) as n
+  from (select rid, unnest(string_split(text, chr(10))) as line from words)
+  where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by rid
+), all_ as (
+  select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint)
+      as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, coalesce(l.n, 0) as n_dup_lines,
+    coalesce(short, 0) as n_repeat_words, coalesce(long, 0) as covered_words, coalesce(g.n, 0) as longest_repeat
+  from words t left join lines l on l.rid = t.rid left join inside i on i.rid = t.rid left join longest g on g.rid = t.rid
+)
+select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed,
+  not (n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words)
+    and covered_words <= {MAX_COVERED} * n_words
+    and (longest_repeat <= {MAX_REPEAT_WORDS} or longest_repeat < {MIN_REPEAT_WORDS}) as kept
+from all_
+"""
+
+
+@query("op2_suffix_array_repetition", OP2_SQL)
 def op2(spark, sf_dir):
     return repetition_rules(table(spark, sf_dir, "documents"))

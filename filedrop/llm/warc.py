@@ -281,7 +281,23 @@ def read_archives(spark: SparkSession, archives: DataFrame) -> DataFrame:
     return archives.repartition(max(n, 1)).mapInArrow(run, RECORDS)
 
 
-@query("op7_warc_normaliser")
+OP7_SQL = """
+with hashed as (
+  select page_id, url, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as h from pages
+), numbered as (
+  select *, row_number() over same as place, first_value(page_id) over same as top from hashed
+  window same as (partition by h order by page_id desc nulls last, url)
+)
+select page_id, cast(n as bigint) as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as bigint) >> (15 - 5 * (i % 4))) & 31) as int), 1)), '')
+    as payload_digest,
+  case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then top end as refers_to
+from numbered
+"""
+
+
+@query("op7_warc_normaliser", OP7_SQL)
 def op7(spark, sf_dir):
     records = with_record_type(table(spark, sf_dir, "pages"))
     whole = write_archives(records, new_scratch(spark, "warc-whole"))
