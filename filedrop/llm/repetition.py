@@ -194,7 +194,7 @@ def repetition_rules(
     return docs.select(*keep, docs[text].alias("__text")).mapInArrow(judge, schema)
 
 
-#: Repeated windows, and for the longest repeat the longest run of equal words at one distance.
+#: Repeated windows, and for the longest repeat the longest run of equal pairs of words at one distance.
 OP2_SQL = f"""
 with words as (
   select doc_id, coalesce(text, '') as text, row_number() over () as rid,
@@ -202,20 +202,29 @@ with words as (
   from documents
 ), each as (
   select rid, unnest(w) as word, unnest(range(1, len(w) + 1)) as i, len(w) as n from words
+), twos as (
+  select rid, i, word, word || ' ' || lead(word) over t as pair, lead(word, 2) over t as third from each
+  window t as (partition by rid order by i)
+), fours as (
+  select *, pair || ' ' || lead(pair, 2) over (partition by rid order by i) as four from twos
+), grams as (
+  select rid, i, pair, pair || ' ' || third as three,
+    four || ' ' || lead(four, 4) over (partition by rid order by i) as eight
+  from fours
 ), windows as (
-  select rid, i, {WINDOW} as width, count(*) over (partition by rid, array_to_string(w[i : i + {WINDOW - 1}], ' ')) as times
-  from (select rid, w, unnest(range(1, len(w) - {WINDOW - 2})) as i from words)
+  select rid, i, 3 as width, count(*) over (partition by rid, three) as times from grams where three is not null
   union all
-  select rid, i, {MIN_REPEAT_WORDS}, count(*) over (partition by rid, array_to_string(w[i : i + {MIN_REPEAT_WORDS - 1}], ' '))
-  from (select rid, w, unnest(range(1, len(w) - {MIN_REPEAT_WORDS - 2})) as i from words)
+  select rid, i, 8, count(*) over (partition by rid, eight) from grams where eight is not null
 ), inside as (
-  select rid, count(distinct pos) filter (width = {WINDOW}) as short, count(distinct pos) filter (width = {MIN_REPEAT_WORDS}) as long
+  select rid, count(distinct pos) filter (width = 3) as short, count(distinct pos) filter (width = 8) as long
   from (select rid, width, unnest(range(i, i + width)) as pos from windows where times > 1) group by rid
 ), runs as (
   select rid, gap, i - row_number() over (partition by rid, gap order by i) as run
-  from (select a.rid, a.i, b.i - a.i as gap from each a join each b on a.rid = b.rid and a.word = b.word and a.i < b.i)
+  from (select a.rid, a.i, b.i - a.i as gap from grams a join grams b on a.rid = b.rid and a.pair = b.pair and a.i < b.i)
 ), longest as (
-  select rid, max(n) as n from (select rid, count(*) as n from runs group by rid, gap, run) group by rid
+  select rid, max(n) as n from (
+    select rid, count(*) + 1 as n from runs group by rid, gap, run
+    union all select rid, 1 from each group by rid, word having count(*) > 1) group by rid
 ), lines as (
   select rid, count(*) - count(distinct line) as n
   from (select rid, unnest(string_split(text, chr(10))) as line from words)
