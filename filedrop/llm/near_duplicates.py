@@ -272,10 +272,10 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _bloom(nodes: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits set for each digest, at most ``BLOOM_BITS`` of them, as 64-bit words."""
+    """Bits set for each digest and id, at most ``BLOOM_BITS`` of them, as 64-bit words."""
     n = nodes.count()
     bits = min(BLOOM_BITS, max(64, 1 << (16 * n).bit_length()))
-    at = F.explode(F.array(*(F.pmod(F.xxhash64("digest", F.lit(k)), F.lit(bits)) for k in range(BLOOM_HASHES))))
+    at = F.explode(F.array(*(F.pmod(F.xxhash64("digest", "first_id", F.lit(k)), F.lit(bits)) for k in range(BLOOM_HASHES))))
     places = nodes.select(at.alias("at"))
     word = F.expr("shiftright(at, 6)").alias("word")
     one = F.expr("shiftleft(1L, cast(at % 64 as int))")
@@ -286,12 +286,16 @@ def _bloom(nodes: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _texts_of(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node, sketch, text`` of the wanted classes.
+    """``node, sketch, text`` of the wanted classes, from the row with the class's smallest id.
 
-    A Bloom filter of bounded size drops most other texts before the shuffle; the join decides.
+    A Bloom filter of bounded size drops most other texts, copies of the wanted ones included, before the shuffle; the
+    join decides. Its key holds the id, so the copies of a hot text do not meet in one task.
     """
     words, bits = _bloom(wanted)
-    hashes = [F.pmod(F.xxhash64("digest", F.lit(k)), F.lit(bits)).alias(f"h{k}") for k in range(BLOOM_HASHES)]
+    hashes = [
+        F.pmod(F.xxhash64("digest", "doc_id", F.lit(k)), F.lit(bits)).alias(f"h{k}") for k in range(BLOOM_HASHES)
+    ]
+    columns = ["doc_id", "digest", "text"]
 
     def likely(batches):
         for batch in batches:
@@ -299,10 +303,12 @@ def _texts_of(own: DataFrame, wanted: DataFrame) -> DataFrame:
             for k in range(BLOOM_HASHES):
                 at = np.asarray(batch.column(f"h{k}")).astype(np.uint64)
                 keep &= (words[at >> _U(6)] >> (at & _U(63))) & _U(1) != 0
-            yield batch.select(["digest", "text"]).filter(pa.array(keep))
+            yield batch.select(columns).filter(pa.array(keep))
 
-    near = own.select("digest", "text", *hashes).mapInArrow(likely, "digest string, text string")
-    found = near.join(wanted, "digest").dropDuplicates(["digest"])
+    near = own.select(*columns, *hashes).mapInArrow(likely, own.select(*columns).schema)
+    firsts = wanted.select(F.col("digest").alias("_digest"), "first_id", "node", "sketch")
+    same = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    found = near.join(firsts, same).dropDuplicates(["digest", "doc_id"])
     return written(found.select("node", "sketch", "text"), "candidate-texts")
 
 
@@ -320,7 +326,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         own.select("digest", "text").mapInArrow(_sign, "digest string, bands array<bigint>, sketch binary"), "signatures"
     )
     signed = written(
-        signed.dropDuplicates(["digest"]).join(classes.select("digest", "node"), "digest"), "signed-classes"
+        signed.dropDuplicates(["digest"]).join(classes, "digest"), "signed-classes"
     )
 
     bands = signed.select("node", F.explode("bands").alias("band"))
@@ -329,7 +335,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = written(bands.join(shared, "band"), "members")
 
     wanted = members.select("node").distinct()
-    wanted = written(signed.select("digest", "node", "sketch").join(wanted, "node"), "wanted")
+    wanted = written(signed.select("digest", "first_id", "node", "sketch").join(wanted, "node"), "wanted")
     texts = _texts_of(own, wanted)
     links = _verified(written(_star_rows(members), "star"), texts, similarity, 0)
     roots = components(links)

@@ -71,9 +71,11 @@ def decode_files(
                 if inline:
                     buffer = contents[i].as_buffer()
                     source = (lambda b: lambda: pa.BufferReader(b if b is not None else b""))(buffer)
+                    version = None
                 else:
                     source = (lambda p: lambda: storage.open_binary(p))(path)
-                for out in _decode_one(path, source, record_bytes, on_error, columns):
+                    version = (lambda p: lambda: (storage.size_of(p), storage.modified(p)))(path)
+                for out in _decode_one(path, source, record_bytes, on_error, columns, version):
                     pending.append(out)
                     rows += out.num_rows
                     if rows >= ROWS_PER_BATCH:
@@ -130,9 +132,11 @@ def decode_listed(
     return decoded.unionByName(dealt.select(*columns))
 
 
-def _decode_one(path, source, record_bytes, on_error, columns):
+def _decode_one(path, source, record_bytes, on_error, columns, version=None):
     keep = "rec" in columns
     status, total, data = "ok", 0, None
+    # A file that is read twice must be the same both times; if not, the task fails and is repeated.
+    before = version() if version else None
     try:
         total, data = _check(source, keep)
     except FileNotFoundError:
@@ -153,6 +157,8 @@ def _decode_one(path, source, record_bytes, on_error, columns):
             out = _records(path, piece, done, record_bytes, columns)
             done += out.num_rows
             yield out
+        if data is None and version and version() != before:
+            raise OSError(f"{path} was replaced while it was read")
     if "drop_status" in columns:
         values = {"drop_kind": "outcome", "drop_file": path, "drop_status": status,
                   "drop_records": -(-total // record_bytes)}

@@ -112,3 +112,14 @@ def test_both_rows_come_from_one_pass(spark):
         gunzip.decode_files(df, on_error="ignore")
     with pytest.raises(ValueError):
         gunzip.decode_files(df, columns=("ord",))
+
+
+def test_a_file_replaced_between_two_reads_fails_the_task(tmp_path, monkeypatch):
+    monkeypatch.setattr(gunzip, "MEMORY_BYTES", 100)
+    path = tmp_path / "a.gz"
+    path.write_bytes(gzip.compress(b"x" * 2000))
+    versions = iter([(1, 1.0), (1, 2.0)])
+    read = lambda v: list(gunzip._decode_one(str(path), lambda: open(path, "rb"), 520, "skip", gunzip.BOTH, v))
+    assert sum(b.num_rows for b in read(lambda: (1, 1.0))) == 5
+    with pytest.raises(OSError, match="replaced"):
+        read(lambda: next(versions))
