@@ -1,5 +1,4 @@
 import random
-import shutil
 
 import pytest
 
@@ -72,7 +71,6 @@ def test_run_equals_its_stages(spark, planted):
     again = corpus_pipeline.run(spark, planted)
     assert {(r["doc_id"], r["taken"]) for r in again.collect()} == {
         (r["doc_id"], r["taken"]) for r in spark.read.parquet(f"{planted}/source_mixing").collect()}
-    shutil.rmtree(planted, ignore_errors=True)
 
 
 def test_empty_documents(spark, tmp_path):
