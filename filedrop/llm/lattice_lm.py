@@ -96,6 +96,130 @@ class Pieces:
                         byte_counts[b] += share
 
 
+class Lattices:
+    """The lattices of many words at once: words of one length are rows of a matrix, edges are columns.
+
+    Words are bytes, with a blank for the mark of a beginning; pieces are found by a hash of their bytes. A sign that no
+    piece covers has an edge per byte, which multiplies to its one edge. Words over ``LONG`` bytes are run one by one.
+    """
+
+    LONG, ROWS = 64, 4096
+    _P = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.names = sorted(pieces.log_p)
+        spelled = [p.replace(BEGIN, " ").encode() for p in self.names]
+        hashes = np.array([self._hash(p) for p in spelled], np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], order
+        self.log_p = np.array([pieces.log_p[self.names[k]] for k in order])
+        self.log_byte = np.array(pieces.log_byte)
+        self.longest = max(map(len, spelled), default=1)
+
+    @classmethod
+    def _hash(cls, data: bytes) -> int:
+        h = 0
+        for b in data:
+            h = (h * int(cls._P) + b + 1) & 0xFFFFFFFFFFFFFFFF
+        return h
+
+    def _edges(self, m: np.ndarray):
+        """``(i, j): (log probability or -inf, place of the piece or -1)``, and which bytes have an edge of their own."""
+        n = m.shape[1]
+        edges = {}
+        covered = np.zeros(m.shape, bool)
+        lead = np.ones((len(m), n + 1), bool)
+        lead[:, :n] = (m & 0xC0) != 0x80
+        for i in range(n):
+            h = np.zeros(len(m), np.uint64)
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                with np.errstate(over="ignore"):
+                    h = h * self._P + m[:, j - 1].astype(np.uint64) + np.uint64(1)
+                place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+                hit = self.hashes[place] == h
+                if hit.any():
+                    edges[i, j] = np.where(hit, self.log_p[place], -np.inf), np.where(hit, place, -1)
+                    # A piece of exactly one sign covers that sign's bytes.
+                    if j - i <= 4:
+                        one = hit & lead[:, i] & lead[:, j] & ~lead[:, i + 1 : j].any(axis=1)
+                        covered[one, i:j] = True
+        return edges, ~covered
+
+    def _forward(self, m, edges, single):
+        n = m.shape[1]
+        into = [[] for _ in range(n + 1)]
+        for i, j in edges:
+            into[j].append(i)
+        reach = np.full((n + 1, len(m)), -np.inf)
+        reach[0] = 0
+        for j in range(1, n + 1):
+            total = np.where(single[:, j - 1], reach[j - 1] + self.log_byte[m[:, j - 1]], -np.inf)
+            for i in into[j]:
+                total = np.logaddexp(total, reach[i] + edges[i, j][0])
+            reach[j] = total
+        return reach
+
+    def _groups(self, words: list[bytes]):
+        """Places of words and their matrix, by length."""
+        by_length: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(k)
+        for n, places in by_length.items():
+            for at in range(0, len(places), self.ROWS):
+                part = places[at : at + self.ROWS]
+                if n > self.LONG:
+                    yield part, None
+                    continue
+                rows = np.frombuffer(b"".join(b" " + words[k] for k in part), np.uint8)
+                yield part, rows.reshape(len(part), n + 1)
+
+    def scores(self, words: list[bytes]) -> np.ndarray:
+        """Natural logarithm of each word's probability."""
+        out = np.zeros(len(words))
+        for part, m in self._groups(words):
+            if m is None:
+                out[part] = [self.pieces.forward(BEGIN + words[k].decode("utf-8", "replace"))[-1] for k in part]
+            else:
+                out[part] = self._forward(m, *self._edges(m))[-1]
+        return out
+
+    def expected(self, words: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected uses of the pieces in ``names``, and of bytes, by words that occur ``weights`` times."""
+        counts, by_byte = np.zeros(len(self.names)), np.zeros(256)
+        for part, m in self._groups(words):
+            weight = weights[part].astype(float)
+            if m is None:
+                found: dict[str, float] = {}
+                for k, w in zip(part, weight):
+                    self.pieces.expected(BEGIN + words[k].decode("utf-8", "replace"), w, found, by_byte)
+                for k, name in enumerate(self.names if found else []):
+                    counts[k] += found.get(name, 0.0)
+                continue
+            edges, single = self._edges(m)
+            reach = self._forward(m, edges, single)
+            n = m.shape[1]
+            out_of = [[] for _ in range(n + 1)]
+            for i, j in edges:
+                out_of[i].append(j)
+            back = np.full((n + 1, len(m)), -np.inf)
+            back[n] = 0
+            for i in range(n - 1, -1, -1):
+                byte = np.where(single[:, i], self.log_byte[m[:, i]], -np.inf)
+                total = byte + back[i + 1]
+                share = weight * np.exp(reach[i] + byte + back[i + 1] - reach[n])
+                by_byte += np.bincount(m[:, i], share, 256)
+                for j in out_of[i]:
+                    log_p, place = edges[i, j]
+                    step = log_p + back[j]
+                    total = np.logaddexp(total, step)
+                    hit = place >= 0
+                    share = weight[hit] * np.exp((reach[i] + step - reach[n])[hit])
+                    counts += np.bincount(self.numbers[place[hit]], share, len(counts))
+                back[i] = total
+        return counts, by_byte
+
+
 def load_vocabulary(path: str) -> Pieces:
     """Pieces of a sentencepiece model. Scores that are log probabilities stay; ranks become ``1 / (rank + 2.7)``."""
     from sentencepiece import SentencePieceProcessor
@@ -143,16 +267,17 @@ def _count_words(batches):
 
 def _expected_counts(pieces: Pieces):
     def run(batches):
-        counts: dict[str, float] = {}
-        byte_counts = np.zeros(256)
+        lattices = Lattices(pieces)
+        counts, by_byte = np.zeros(len(lattices.names)), np.zeros(256)
         for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                pieces.expected(BEGIN + word.decode("utf-8", "replace"), n, counts, byte_counts)
-        names = [*counts, *(f"<{b}>" for b in range(256))]
-        kinds = [0] * len(counts) + [1] * 256
+            more, bytes_ = lattices.expected(batch.column("word").to_pylist(), np.asarray(batch.column("n")))
+            counts += more
+            by_byte += bytes_
+        used = np.flatnonzero(counts)
+        names = [lattices.names[k] for k in used] + [f"<{b}>" for b in range(256)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array(kinds, pa.int32()),
-             pa.array([*counts.values(), *byte_counts], pa.float64())], names=["piece", "is_byte", "expected"])
+            [pa.array(names, pa.string()), pa.array([0] * len(used) + [1] * 256, pa.int32()),
+             pa.array(np.concatenate([counts[used], by_byte]), pa.float64())], names=["piece", "is_byte", "expected"])
 
     return run
 
@@ -173,9 +298,9 @@ def reestimate(words: DataFrame, start: Pieces, ends: int, rounds: int = ROUNDS,
 
 def _word_scores(pieces: Pieces):
     def run(batches):
+        lattices = Lattices(pieces)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            scores = [pieces.forward(BEGIN + w.decode("utf-8", "replace"))[-1] / _LN10 for w in words]
+            scores = lattices.scores(batch.column("word").to_pylist()) / _LN10
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"), pa.array(scores, pa.float64())], names=["word", "n", "score"])
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from filedrop.llm.lattice_lm import BEGIN, VOCABULARY, Pieces, load_vocabulary, score_texts
+from filedrop.llm.lattice_lm import BEGIN, VOCABULARY, Lattices, Pieces, load_vocabulary, score_texts
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -60,6 +60,23 @@ def test_long_words_do_not_underflow():
     assert math.isfinite(value) and value < -10_000
 
 
+def test_many_words_at_once_equal_one_by_one():
+    rng = random.Random(3)
+    for pieces in (small(), load_vocabulary(VOCABULARY)):
+        words = ["".join(rng.choice("abxé日😀") for _ in range(rng.randint(1, 12))).encode() for _ in range(300)]
+        words += [b"ab" * 100, b"the", "ñandú".encode()]
+        weights = np.arange(len(words)) % 5
+        lattices = Lattices(pieces)
+        text = lambda w: BEGIN + w.decode()
+        assert lattices.scores(words) == pytest.approx([pieces.forward(text(w))[-1] for w in words])
+        want, by_byte = {}, np.zeros(256)
+        for w, n in zip(words, weights):
+            pieces.expected(text(w), n, want, by_byte)
+        counts, bytes_ = lattices.expected(words, weights)
+        assert counts == pytest.approx([want.get(k, 0.0) for k in lattices.names], abs=1e-9)
+        assert bytes_ == pytest.approx(by_byte, abs=1e-9)
+
+
 def test_vocabulary_is_a_distribution():
     p = load_vocabulary(VOCABULARY)
     total = sum(map(math.exp, p.log_p.values())) + sum(map(math.exp, p.log_byte)) + math.exp(p.log_end)
