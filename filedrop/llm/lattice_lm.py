@@ -265,11 +265,28 @@ def _count_words(batches):
     yield from flush()
 
 
+#: Words that are run together; with fewer, the matrices of the rarer lengths would be mostly overhead.
+WORDS_AT_ONCE = 1 << 17
+
+
+def _gathered(batches, rows: int = WORDS_AT_ONCE):
+    """Record batches joined to about ``rows`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _expected_counts(pieces: Pieces):
     def run(batches):
         lattices = Lattices(pieces)
         counts, by_byte = np.zeros(len(lattices.names)), np.zeros(256)
-        for batch in batches:
+        for batch in _gathered(batches):
             more, bytes_ = lattices.expected(batch.column("word").to_pylist(), np.asarray(batch.column("n")))
             counts += more
             by_byte += bytes_
@@ -299,7 +316,7 @@ def reestimate(words: DataFrame, start: Pieces, ends: int, rounds: int = ROUNDS,
 def _word_scores(pieces: Pieces):
     def run(batches):
         lattices = Lattices(pieces)
-        for batch in batches:
+        for batch in _gathered(batches):
             scores = lattices.scores(batch.column("word").to_pylist()) / _LN10
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("n"), pa.array(scores, pa.float64())], names=["word", "n", "score"])
