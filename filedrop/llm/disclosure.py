@@ -1,15 +1,17 @@
 """PII: spans of personal data, and the terms that disclose them (information-theoretic sanitisation).
 
-Protected entities are the e-mail addresses, IP addresses, card and phone numbers of the texts. How much a term ``t`` near
-an entity ``e`` tells about it is estimated from the corpus: ``PMI(t, e) = log2(n_te N / (n_t n_e))`` against the
-entity's own information ``IC(e) = log2(N / n_e)``, all counts being documents. A term that gives away at least
-``GENERALISE`` of that information is replaced by its kind, at least ``REMOVE`` of it is removed. A pair must be seen in
-``SUPPORT`` documents: a single meeting is no evidence.
+Protected entities are the e-mail addresses, IP addresses, card and phone numbers of the texts. How much a term ``t`` in a
+document of an entity ``e`` tells about it is estimated from the corpus: ``PMI(t, e) = log2(n_te N / (n_t n_e))`` against
+the entity's own information ``IC(e) = log2(N / n_e)``, all counts being whole documents. A term that gives away at least
+``GENERALISE`` of that information is replaced by its kind, at least ``REMOVE`` of it is removed, wherever it stands in
+the documents that hold the entity. A pair must be seen in ``SUPPORT`` documents: a single meeting is no evidence.
 
 Everything is made of built-in functions. Positions come from a text split at a pattern: the lengths of the gaps and of
 the matches add up. The patterns begin where a run of their signs begins, or where the last match ended, and have no
-nested repetition over runs, so they are linear and need no deep stack however long a run is. Terms are sought within
-``CONTEXT`` code points of an entity, so a document gives no more rows than its entities do, and counted over all texts.
+nested repetition over runs, so they are linear and need no deep stack however long a run is. A document gives a row for
+each of its distinct terms and each of its entities that stand in ``SUPPORT`` documents (no other can disclose or be
+disclosed); they are counted before they are shuffled. Only documents that hold a disclosing term are searched for the
+places of their terms.
 
 Defined results: null texts are empty and have no spans. Repeated rows and missing ids keep a row each; rows with the
 same id and text share their spans. Spans are half-open, in code points. Empty tables give empty results. An entity in
@@ -28,8 +30,10 @@ KINDS = ("email", "ip", "card", "phone", "term")
 GENERALISE, REMOVE = 0.8, 0.95
 #: Documents in which a term and an entity must have met.
 SUPPORT = 2
-#: Code points on either side of an entity in which terms are sought.
-CONTEXT = 100
+#: Parts into which the documents of one entity are dealt.
+SALTS = 16
+#: Terms located in one go: lists grow by copying.
+BLOCK = 256
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
@@ -40,7 +44,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-TERM = r"[\p{L}\p{N}]+"
+#: Stands for letters and digits within personal data, so that a term that crosses its edge is seen to.
+COVER = "\uFFFF"
+TERM = rf"[\p{{L}}\p{{N}}{COVER}]+"
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 
@@ -114,50 +120,92 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), same)
 
 
-def _near(text: Column, begin: Column, end: Column) -> Column:
-    """Terms within ``[begin, end)`` of the text, without those that cross its edges, as ``start, end, value``."""
-    # One more sign on either side shows whether the first and last terms are whole.
-    first, last = F.greatest(begin - 1, F.lit(0)), end + 1
-    window = F.substring(text, first + 1, last - first)
-    found = _located(window, TERM)
-    shifted = F.transform(found, lambda s: F.struct(
-        (s["start"] + first).alias("start"), (s["end"] + first).alias("end"), lower_ascii(s["value"]).alias("value")))
-    return F.filter(shifted, lambda s: (s["start"] >= begin) & (s["end"] <= end))
+def _bare(base: Column, text: Column) -> Column:
+    """The text in lower case, as long as before, with letters and digits of all spans of ``base`` covered."""
+    plain = F.translate(lower_ascii(text), COVER, " ")
 
+    def step(state, span):
+        start = F.greatest(span["start"], state["at"])
+        gap = F.substring(plain, state["at"] + 1, start - state["at"])
+        inner = F.regexp_replace(F.substring(plain, start + 1, span["end"] - start), r"[\p{L}\p{N}]", COVER)
+        out = F.when(span["end"] > state["at"], F.concat(state["out"], gap, inner)).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = lambda state: F.substring(plain, state["at"] + 1, F.length(plain) - state["at"])
+    return F.aggregate(base, zero, step, lambda state: F.concat(state["out"], rest(state)))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, the value being computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-def _contexts(base: Column, text: Column) -> Column:
-    """``array<struct<entity,term,start,end>>``: terms near each entity that belong to no span."""
-    def around(span):
-        terms = F.concat(
-            _near(text, F.greatest(span["start"] - CONTEXT, F.lit(0)), span["start"]),
-            _near(text, span["end"], F.least(span["end"] + CONTEXT, F.length(text))),
-        )
-        free = F.filter(terms, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
-        return F.transform(free, lambda t: F.struct(
-            _entity(span).alias("entity"), t["value"].alias("term"), t["start"].alias("start"), t["end"].alias("end")))
 
-    return F.flatten(F.transform(base, around))
+def _terms(bare: Column) -> Column:
+    """Distinct terms that belong to no span."""
+    words = F.array_distinct(F.split(bare, rf"[^\p{{L}}\p{{N}}{COVER}]+"))
+    return F.filter(words, lambda w: (w != "") & ~F.contains(w, F.lit(COVER)))
+
+
+def _places(bare: Column) -> Column:
+    """``array<struct<start,end,term>>`` of all terms that belong to no span, in code points."""
+    values = F.regexp_extract_all(bare, F.lit(TERM), F.lit(0))
+    gaps = F.transform(F.split(bare, TERM, -1), F.length)
+    pieces = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
+    nothing = F.array().cast("array<struct<start:int,end:int,term:string>>")
+
+    def step(state, piece):
+        start = state["at"] + piece["g"]
+        end = start + F.length(piece["v"])
+        found = F.array(F.struct(start.alias("start"), end.alias("end"), piece["v"].alias("term")))
+        free = ~F.contains(piece["v"], F.lit(COVER))
+        return F.struct(
+            end.alias("at"), F.when(free, F.concat(state["found"], found)).otherwise(state["found"]).alias("found"))
+
+    zero = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
+
+    def in_blocks(p):
+        last = F.greatest(F.floor((F.size(p) - 1) / BLOCK).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.aggregate(F.slice(p, b * BLOCK + 1, F.lit(BLOCK)), zero, step))
+
+    def joined(blocks):
+        firsts = F.aggregate(
+            blocks, F.array(F.lit(0)), lambda firsts, b: F.concat(firsts, F.array(F.element_at(firsts, -1) + b["at"])))
+        moved = F.zip_with(blocks, F.slice(firsts, F.lit(1), F.size(blocks)), lambda b, first: F.transform(
+            b["found"], lambda t: F.struct(
+                (t["start"] + first).alias("start"), (t["end"] + first).alias("end"), t["term"].alias("term"))))
+        return F.flatten(moved)
+
+    return _let(_let(pieces, in_blocks), joined)
+
+
+def _salted(found: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join; the documents of a hot entity are dealt to ``SALTS`` keys."""
+    salts = F.array(*map(F.lit, range(SALTS)))
+    salt = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SALTS)).cast("int")
+    return found.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(salts)), [*on, "_salt"]).drop("_salt")
 
 
 def _disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """``entity, term, share``: pairs whose term gives away at least ``GENERALISE`` of the entity's information."""
-    pair = F.transform("contexts", lambda c: F.struct(c["entity"], c["term"]))
-    pairs = found.select(F.inline(F.array_distinct(pair))).toDF("entity", "term")
-    pairs = written(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT), "pairs")
-    entities = found.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-    entities = written(entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entities")
-    wanted = written(pairs.select("term").distinct(), "terms")
-    # All texts are counted, but only terms of pairs go on to the shuffle.
-    words = F.array_distinct(F.split(lower_ascii(F.col("text")), r"[^\p{L}\p{N}]+"))
-    counted = docs.select(F.explode(words).alias("term")).join(wanted, "term").groupBy("term")
-    terms = written(counted.agg(F.count(F.lit(1)).alias("n_t")), "term-counts")
+    """``doc_id, digest, term, share``: terms of a document that give away at least ``GENERALISE`` of one of its entities."""
+    each = found.select("doc_id", "digest", "bare", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     n = docs.count()
+    entities = written(entities.filter((F.col("n_e") >= SUPPORT) & (F.col("n_e") < n)), "entities")
+    meeting = _salted(each, entities.select("entity"), ["entity"])
+    meeting = meeting.select("doc_id", "digest", "entity", F.explode(_terms(F.col("bare"))).alias("term"))
+    pairs = meeting.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
+    pairs = written(pairs, "pairs")
+    # All texts are counted, each part of them before the shuffle.
+    words = F.array_distinct(F.split(lower_ascii(F.col("text")), r"[^\p{L}\p{N}]+"))
+    counted = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    terms = written(counted.join(pairs.select("term").distinct(), "term"), "term-counts")
     known = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
     told = F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t").cast("double") * F.col("n_e")))
     shares = pairs.join(entities, "entity").join(terms, "term").filter(known > 0)
-    return written(
-        shares.select("entity", "term", (told / known).alias("share")).filter(F.col("share") >= GENERALISE), "disclosing"
-    )
+    shares = shares.select("entity", "term", (told / known).alias("share")).filter(F.col("share") >= GENERALISE)
+    told_in = _salted(meeting, written(shares, "disclosing"), ["entity", "term"])
+    return written(told_in.groupBy("doc_id", "digest", "term").agg(F.max("share").alias("share")), "told")
 
 
 def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -172,15 +220,21 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     found = written(
         base.filter(F.size("_base") > 0).select(
             "doc_id", digest.alias("digest"), F.col("_base").alias("base"), *counts,
-            _contexts(F.col("_base"), F.col("_text")).alias("contexts"),
+            _bare(F.col("_base"), F.col("_text")).alias("bare"),
         ), "spans",
     )
-    disclosing = _disclosing(found, docs.select("text"))
-    each = found.select("doc_id", "digest", F.inline("contexts"))
-    terms = each.join(disclosing, ["entity", "term"]).groupBy("doc_id", "digest", "start", "end", "term").agg(F.max("share").alias("share"))
+    told = _disclosing(found, docs.select("text"))
+    once = found.dropDuplicates(["doc_id", "digest"])
+    t = told.withColumnsRenamed({c: f"t_{c}" for c in told.columns})
+    same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("digest") == F.col("t_digest"))
+    t = t.withColumnRenamed("t_doc_id", "t_id")
+    searched = once.select("doc_id", "digest", "bare").join(t.select("t_id", "t_digest"), same, "left_semi")
+    places = searched.select("doc_id", "digest", F.inline(_places(F.col("bare"))))
+    terms = places.join(t, same & (F.col("term") == F.col("t_term"))).select(
+        "doc_id", "digest", "start", "end", "term", F.col("t_share").alias("share"))
     as_span = F.struct("start", F.lit(4).alias("rank"), "end", F.lit("term").alias("kind"), F.col("term").alias("value"), "share")
     terms = terms.groupBy("doc_id", "digest").agg(F.collect_list(as_span).alias("terms"))
-    once = found.dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", "base", *counts)
+    once = once.select("doc_id", "digest", "base", *counts)
     one = once.withColumnRenamed("doc_id", "_id").join(
         terms.withColumnsRenamed({"doc_id": "t_id", "digest": "t_digest"}),
         F.col("_id").eqNullSafe(F.col("t_id")) & (F.col("digest") == F.col("t_digest")), "left",

@@ -1,7 +1,10 @@
 import hashlib
+import math
 import random
 import re
 
+import pytest
+
 from filedrop.llm.disclosure import find_spans, op8, sanitise
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -62,6 +65,30 @@ def test_generalised_terms_keep_their_kind(docs):
     assert clean[3000] == "[NAME] [EMAIL] [NUMBER] [TERM] the" and clean[3010] == "Zorro 77 pico"
 
 
+def test_terms_are_sought_in_whole_documents(docs):
+    far = "the fox and the hen " * 40
+    rows = [(i, far) for i in range(60)] + [(100, f"Zorro {far}a.b@c.org Zorro {far}zorro éa.b@c.org"), (101, f"{far}a.b@c.org {far}Zorro")]
+    out = {r["doc_id"]: r["spans"] for r in find_spans(docs(rows)).collect()}
+    text = dict(rows)
+    assert [text[100][s["start"] : s["end"]] for s in out[100]] == ["Zorro", "a.b@c.org", "Zorro", "zorro", "a.b@c.org"]
+    clean = {r["doc_id"]: r["text"] for r in sanitise(docs(rows)).collect()}
+    assert "orro" not in clean[100] + clean[101] and clean[0] == far
+    # Documents that hold both count, however far apart: "pico" is in four, with the address in three of them.
+    rows = [(i, f"w{i}") for i in range(2000)] + [(3000 + i, f"pico {far} x@y.zz") for i in range(3)] + [(3010, f"pico {far}")]
+    assert {s["value"]: s["share"] for r in find_spans(docs(rows)).collect() for s in r["spans"] if r["doc_id"] == 3000 and s["kind"] == "term"
+            }["pico"] == pytest.approx(math.log2(3 * 2004 / (4 * 3)) / math.log2(2004 / 3))
+
+
+def test_places_of_terms_in_a_long_text(docs):
+    # Blocks of terms, signs of more than one code unit, and the covering sign itself in the text.
+    text = " ".join(["é1", "😀x", "a\uffffb", "-"][i % 4] for i in range(1500)) + " m@n.org M@N.org"
+    rows = [(1, text), (2, text), (None, text), (None, text)] + [(i, "q") for i in range(10, 90)]
+    want = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text[: text.index("m@n")])]
+    for r in find_spans(docs(rows)).collect():
+        got = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"]
+        assert got == ([] if r["doc_id"] and r["doc_id"] >= 10 else want)
+
+
 def test_nulls_repeats_and_clashing_columns(docs, rows):
     df = docs([(None, "x@y.zz"), (None, "x@y.zz"), (1, None), (1, "x@y.zz q"), (2, "")], "base", "spans", "_text", "n_ip")
     clean = sanitise(df)
