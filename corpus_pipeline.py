@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from filedrop.llm.decontamination import remove_leaks
 from filedrop.llm.disclosure import sanitise
-from filedrop.llm.mixing import mix
+from filedrop.llm.mixing import mix, taken_texts
 from filedrop.llm.near_duplicates import keep_first
 from filedrop.llm.quality_cnn import ACCEPT, fit, with_score
 from filedrop.llm.text import table, written
@@ -34,17 +34,24 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return remove_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def _measured(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and what discloses it generalised or removed; ``n_chars`` follows the text."""
-    clean = sanitise(docs)
-    if "n_chars" not in docs.columns:
-        return clean
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _measured(sanitise(docs), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix, with ``size, source_size, target`` and the words ``taken`` of each, repeats counted."""
-    return mix(docs, keep=tuple(docs.columns)).filter("taken > 0")
+    """Texts of the mix: a row for each whole pass over a document, and one for the blocks that are taken of it besides.
+
+    ``text`` holds the words that are taken and no others, ``taken`` of them; ``size`` is that of the whole document,
+    ``source_size, target`` are its source's. ``n_chars`` follows the text.
+    """
+    return _measured(taken_texts(mix(docs, keep=tuple(docs.columns), spans=True)), docs)
 
 
 STAGES = [

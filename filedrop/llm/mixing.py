@@ -93,10 +93,13 @@ def _digest(*parts: Column | str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(SEED), *[p.cast("string") for p in parts]).cast("binary"))
 
 
-def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", source: str = "source") -> DataFrame:
+def mix(
+    docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", source: str = "source", spans: bool = False
+) -> DataFrame:
     """The ``keep`` columns with ``size, source_size, target, taken``, one row per row of ``docs``.
 
-    Kept columns travel through one shuffle by shard; one that is named like a result gives way to it.
+    Kept columns travel through one shuffle by shard; one that is named like a result gives way to it. ``spans`` adds what
+    is taken: ``passes`` over the whole text, and ``spans`` of words taken once more, ``array<struct<start,end>>``.
     """
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
     sized = written(
@@ -129,7 +132,9 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
         cells, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("_shard") == F.col("c_shard"))
     )
     results = [F.col("_size").alias("size"), F.col("source_size"), F.col("target"), _taken().alias("taken")]
-    named = {"size", "source_size", "target", "taken"}
+    if spans:
+        results += [F.when(F.col("_size") > 0, F.col("passes")).otherwise(F.lit(0)).cast("bigint").alias("passes"), _spans().alias("spans")]
+    named = {"size", "source_size", "target", "taken"} | ({"passes", "spans"} if spans else set())
     return placed.select(*(F.col("_row")[c].alias(c) for c in keep if c not in named), *results)
 
 
@@ -156,22 +161,76 @@ def _selected(cells: DataFrame) -> DataFrame:
     }).drop("_keys", "_rest")
 
 
+def _blocks() -> Column:
+    """Numbers of the blocks that share words with a document of at least one word."""
+    begin, end = F.col("_first"), F.col("_first") + F.col("_size")
+    return F.sequence(F.floor(begin / F.col("block")), F.floor((end - 1) / F.col("block")))
+
+
+def _given(j: Column) -> Column:
+    """Words taken of the beginning of block ``j``, besides whole passes."""
+    key = _block_key(j, "source", "_shard")
+    length = F.when(key <= F.coalesce("upto", F.lit("")), F.col("block"))
+    return length.when(key == F.col("cut_key"), F.col("cut_words")).otherwise(F.lit(0))
+
+
+def _some() -> Column:
+    return (F.col("_size") > 0) & (F.col("upto").isNotNull() | F.col("cut_key").isNotNull())
+
+
 def _taken() -> Column:
     """Words of a document that are taken: whole passes, and what selected blocks share with it."""
     begin, end = F.col("_first"), F.col("_first") + F.col("_size")
     whole = F.col("passes") * F.col("_size")
 
     def share(total, j):
-        key = _block_key(j, "source", "_shard")
-        length = F.when(key <= F.coalesce("upto", F.lit("")), F.col("block"))
-        length = length.when(key == F.col("cut_key"), F.col("cut_words")).otherwise(F.lit(0))
         at = j * F.col("block")
-        return total + F.greatest(F.lit(0), F.least(end, at + length) - F.greatest(begin, at))
+        return total + F.greatest(F.lit(0), F.least(end, at + _given(j)) - F.greatest(begin, at))
+
+    partly = F.aggregate(_blocks(), F.lit(0).cast("bigint"), lambda total, j: share(total, j).cast("bigint"))
+    return (whole + F.when(_some(), partly).otherwise(F.lit(0))).cast("bigint")
+
 
-    js = F.sequence(F.floor(begin / F.col("block")), F.floor((end - 1) / F.col("block")))
-    partly = F.aggregate(js, F.lit(0).cast("bigint"), lambda total, j: share(total, j).cast("bigint"))
-    some = (F.col("_size") > 0) & (F.col("upto").isNotNull() | F.col("cut_key").isNotNull())
-    return (whole + F.when(some, partly).otherwise(F.lit(0))).cast("bigint")
+def _spans() -> Column:
+    """Words of a document that selected blocks share with it, counted from its first word, in order."""
+    begin, end = F.col("_first"), F.col("_first") + F.col("_size")
+
+    def shared(j):
+        at = j * F.col("block")
+        first, last = F.greatest(begin, at) - begin, F.least(end, at + _given(j)) - begin
+        return F.struct(first.cast("bigint").alias("start"), last.cast("bigint").alias("end"))
+
+    found = F.filter(F.transform(_blocks(), shared), lambda s: s["end"] > s["start"])
+    return F.when(_some(), found).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
+
+
+def taken_texts(mixed: DataFrame, text: str = "text") -> DataFrame:
+    """Rows of ``mix(..., spans=True)`` as the texts that are taken: a row for each pass, and one for the words of spans.
+
+    ``taken`` becomes the words of the row's text. Words keep what separates them; a line break stands where words
+    between two spans are left out. Texts of which nothing is taken have no row.
+    """
+    # The column is read within a lambda, where it would be split anew for each span if it were not bound.
+    words = F.regexp_extract_all(text, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
+
+    def joined(w):
+        def step(state, span):
+            part = F.array_join(F.slice(w, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int")), "")
+            gap = F.when((state["at"] == span["start"]) | (state["at"] < 0), F.lit("")).otherwise(F.lit("\n"))
+            left = F.when(gap == "", state["out"]).otherwise(F.regexp_replace(state["out"], r"[\x20\x09-\x0D]+\z", ""))
+            return F.struct(span["end"].alias("at"), F.concat(left, gap, part).alias("out"))
+
+        zero = F.struct(F.lit(-1).cast("bigint").alias("at"), F.lit("").alias("out"))
+        return F.aggregate("spans", zero, step, lambda state: F.regexp_replace(state["out"], r"[\x20\x09-\x0D]+\z", ""))
+
+    some = F.element_at(F.transform(F.array(words), joined), 1)
+    partly = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    piece = lambda t, n: F.struct(t.alias("text"), n.cast("bigint").alias("taken"))
+    whole = F.array_repeat(piece(F.col(text), F.col("size")), F.col("passes").cast("int"))
+    none = F.array().cast("array<struct<text:string,taken:bigint>>")
+    pieces = F.concat(whole, F.when(F.size("spans") > 0, F.array(piece(some, partly))).otherwise(none))
+    rows = mixed.withColumn("_piece", F.explode(pieces))
+    return rows.withColumns({text: F.col("_piece")["text"], "taken": F.col("_piece")["taken"]}).drop("_piece", "passes", "spans")
 
 
 #: The same by listing all quotients and all blocks.

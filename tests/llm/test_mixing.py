@@ -3,7 +3,7 @@ from fractions import Fraction
 
 import pytest
 
-from filedrop.llm.mixing import apportion, mix, targets
+from filedrop.llm.mixing import apportion, mix, taken_texts, targets
 
 
 def highest_quotients(weights, seats):
@@ -77,5 +77,30 @@ def test_mix_of_nulls_repeats_and_clashing_columns(spark, rows):
     assert all(0 <= r[5] <= 2 * r[2] for r in got)
 
 
+def test_taken_texts_are_the_mix(spark):
+    # Source a is taken more than once, b in part; words tell their document and place.
+    sizes = {"a": 40, "b": 200}
+    data = [(i, "\n".join(f"{i}.{k}" for k in range(sizes[s])) + " ", s, "x") for s in sizes for i in range(*{"a": (0, 60), "b": (100, 160)}[s])]
+    data += [(None, None, "b", "x"), (900, " ", "a", "x")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string, passes string")
+    mixed = mix(df, keep=tuple(df.columns), spans=True)
+    plain = {r["doc_id"]: r for r in mix(df).collect()}
+    for r in mixed.collect():
+        spans = [(s["start"], s["end"]) for s in r["spans"]]
+        assert r["passes"] * r["size"] + sum(b - a for a, b in spans) == r["taken"] == plain[r["doc_id"]]["taken"]
+        assert all(0 <= a < b <= r["size"] for a, b in spans) and spans == sorted(spans)
+    spans = {r["doc_id"]: [k for s in r["spans"] for k in range(s["start"], s["end"])] for r in mixed.collect()}
+    written, per_source = {}, {"a": 0, "b": 0}
+    for r in taken_texts(mixed).collect():
+        assert len(r["text"].split()) == r["taken"] > 0
+        per_source[r["source"]] += r["taken"]
+        written.setdefault(r["doc_id"], []).extend(r["text"].split())
+        if r["text"] != dict((d[0], d[1]) for d in data)[r["doc_id"]]:
+            assert r["text"].split() == [f"{r['doc_id']}.{k}" for k in spans[r["doc_id"]]] and r["text"] == r["text"].strip()
+    assert {d: len(w) for d, w in written.items()} == {d: r["taken"] for d, r in plain.items() if r["taken"]}
+    for source, target in {(r["source"], r["target"]) for r in mixed.collect()}:
+        assert per_source[source] == pytest.approx(target, abs=16)
+
+
 def test_empty_table(spark):
     assert mix(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0

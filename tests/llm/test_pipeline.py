@@ -67,6 +67,15 @@ def test_every_stage_takes_effect(spark, planted):
     assert sum(r["taken"] for r in final) == pytest.approx(1.5 * sizes, rel=0.02)
 
 
+def test_mix_holds_the_words_that_are_taken(spark, planted):
+    docs = spark.read.parquet(f"{planted}/documents.parquet")
+    final = corpus_pipeline.mixed(spark, docs, planted).collect()
+    assert all(len(r["text"].split()) == r["taken"] and r["n_chars"] == len(r["text"]) for r in final)
+    for source in ("a", "b", None):
+        mine = [r for r in final if r["source"] == source]
+        assert sum(len(r["text"].split()) for r in mine) == pytest.approx(mine[0]["target"], abs=16)
+
+
 def test_run_equals_its_stages(spark, planted):
     again = corpus_pipeline.run(spark, planted)
     assert {(r["doc_id"], r["taken"]) for r in again.collect()} == {
