@@ -2,8 +2,8 @@
 
 import corpus_pipeline
 from filedrop.llm import (  # noqa: F401
-    decontamination, disclosure, lattice_lm, mixing, near_duplicates, periodic_runs, quality_cnn, repetition, toxicity,
-    url_rules, warc,
+    decontamination, disclosure, hard_negatives, lattice_lm, mixing, near_duplicates, periodic_runs,
+    quality_cnn, repetition, toxicity, url_rules, warc,
 )
 from filedrop.llm.registry import ORACLES, QUERIES
 
