@@ -3,7 +3,7 @@
 import corpus_pipeline
 from filedrop.llm import (  # noqa: F401
     decontamination, disclosure, hard_negatives, lattice_lm, mixing, near_duplicates, periodic_runs,
-    quality_cnn, repetition, toxicity, url_rules, warc,
+    quality_cnn, repetition, shingle_join, toxicity, url_rules, warc,
 )
 from filedrop.llm.registry import ORACLES, QUERIES
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 
+from filedrop.llm import graph
 from filedrop.llm.graph import components
 from filedrop.llm.near_duplicates import REGISTERS, keep_first, near_duplicates, signatures, weighted_jaccard
 
@@ -36,6 +37,19 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    ids, n = list(range(1000)), []
+    random.Random(8).shuffle(ids)
+    written = graph.written
+    monkeypatch.setattr(graph, "written", lambda df, tag: n.append(tag) or written(df, tag))
+    for chain in (ids, sorted(ids)):
+        n.clear()
+        links = spark.createDataFrame(list(zip(chain, chain[1:])), "a bigint, b bigint")
+        assert {(r["node"], r["root"]) for r in components(links).collect()} == {(i, 0) for i in ids}
+        # Steps along paths, and rounds: each a few times the logarithm of 1,000.
+        assert n.count("hang") <= 30 and n.count("half-links") <= 8
+
+
 def brute_groups(texts, words):
     sets = {}
     for i, t in texts:
