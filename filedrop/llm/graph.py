@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from filedrop.llm.text import written
+from filedrop.llm.text import forget, written
 
 
 def _flat(hang: DataFrame) -> DataFrame:
     """``node, root`` with every node below the end of its path; each step doubles what a node looks ahead."""
     while True:
         above = hang.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        hang = written(
+        further = written(
             hang.select("node", "root").join(above, "root").select(
                 "node", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")
             ), "hang",
         )
+        forget(hang)
+        hang = further
         if hang.filter("moved").isEmpty():
-            return hang.select("node", "root")
+            return hang
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -41,15 +43,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         end = lambda side: hang.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
         half = written(edges.join(end("a"), "a").select("a_root", "b"), "half-links")
         apart = half.join(end("b"), "b").filter("a_root <> b_root")
-        edges = written(
+        left = written(
             apart.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")).distinct(), "links"
         )
+        forget(edges, half)
+        edges = left
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = rounds[0]
     for later in rounds[1:]:
         above = later.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        roots = written(
+        further = written(
             roots.join(above, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "roots"
         )
-    return roots
+        forget(roots, later)
+        roots = further
+    return roots.select("node", "root")

@@ -12,7 +12,7 @@ their first ``n - need + 1`` (the prefix filter). The filter is used several tim
    breaks ties by a hash of its own, so texts meet in small groups, and boilerplate that a third of all documents share is
    left behind in every order. Candidates share a prefix token in the first order. Before two sets are compared they
    must have one in common in each other order too, and sizes, with the number of tokens that occur elsewhere at all, that
-   allow enough overlap.
+   allow enough overlap. Only such tokens are carried: no others can be common.
 
 Equal sets are one class from the start. Each group links its members to its smallest member; those links are verified
 on the sets and joined into components. Groups that still hold several components are looked at again, every member
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from filedrop.llm.graph import components
 from filedrop.llm.registry import query
-from filedrop.llm.text import _U, mix, shingle_hashes, table, text_slices, word_hashes, word_spans, written
+from filedrop.llm.text import _U, forget, mix, shingle_hashes, table, text_slices, word_hashes, word_spans, written
 
 WIDTH = 5
 PERCENT = 80
@@ -227,52 +227,51 @@ def prefixes(tokens: np.ndarray, rarity: np.ndarray, length: int) -> list[np.nda
 
 
 def _prefixed(percent):
-    """Prefixes of each node under each order, of the tokens that other nodes have too; others cannot be shared."""
+    """Shared tokens of each node, and its prefix under each order: as tokens, and as bits that mark them."""
 
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(ORDERS)]
+            tokens_out, out, marks = [], [[] for _ in range(ORDERS)], [[] for _ in range(ORDERS)]
             n = batch.column("n").to_numpy()
             entries = batch.column("shared")
             inner = entries.flatten()
             rarity, tokens = inner.field("rarity").to_numpy(), inner.field("token").to_numpy()
             at = np.concatenate([[0], np.cumsum(entries.value_lengths().to_numpy())])
+            # Tokens that no other node has come first in every order, and lead to nobody.
             left = n - needed(n, percent) + 1 - (n - np.diff(at))
             for i, (a, b) in enumerate(zip(at, at[1:])):
-                for part, found in zip(out, prefixes(tokens[a:b], rarity[a:b], max(int(left[i]), 0))):
-                    part.append(found)
+                order = np.argsort(tokens[a:b].view(np.uint64))
+                own, rare = tokens[a:b][order], rarity[a:b][order]
+                tokens_out.append(own)
+                for k, found in enumerate(prefixes(own, rare, max(int(left[i]), 0))):
+                    out[k].append(found)
+                    marks[k].append(np.packbits(np.isin(own, found)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(np.diff(at))] + [pa.array(part, pa.list_(pa.int64())) for part in out],
-                names=["node", "n_shared", *(f"p{k}" for k in range(ORDERS))],
+                [batch.column("node"), batch.column("n"), pa.array(tokens_out, pa.list_(pa.int64()))]
+                + [pa.array(part, pa.list_(pa.int64())) for part in out] + [pa.array(part, pa.binary()) for part in marks],
+                names=["node", "n", "tokens", *(f"p{k}" for k in range(ORDERS)), *(f"m{k}" for k in range(ORDERS))],
             )
 
     return run
 
 
 def _with_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``sets`` with sizes, numbers of shared tokens, and prefixes that are not empty."""
-    tokens = sets.select("node", F.explode("tokens").alias("token"))
+    """Nodes with sizes, the tokens that other nodes have too, and prefixes of these, where they are not empty."""
+    tokens = sets.select("node", F.size("tokens").cast("bigint").alias("n"), F.explode("tokens").alias("token"))
     # Powers of two: tokens of like rarity are ordered by the hash of each order.
     rarity = F.floor(F.log2("df")).cast("int").alias("rarity")
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("token", rarity)
-    shared = tokens.join(common, "token").groupBy("node").agg(F.collect_list(F.struct("rarity", "token")).alias("shared"))
-    sized = written(shared, "shared-tokens").join(sets.select("node", F.size("tokens").cast("bigint").alias("n")), "node")
-    kinds = "node bigint, n_shared bigint, " + ", ".join(f"p{k} array<bigint>" for k in range(ORDERS))
-    found = written(sized.mapInArrow(_prefixed(percent), kinds).filter("size(p0) > 0"), "prefixes")
-    return written(sets.join(found, "node"), "prefixed-sets")
-
-
-def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Whether two sets, as ascending distinct tokens, reach the similarity."""
-    x, y = (a, b) if len(a) <= len(b) else (b, a)
-    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    common = int((y[place] == x).sum())
-    return 100 * common >= percent * (len(x) + len(y) - common)
+    shared = tokens.join(common, "token").groupBy("node", "n").agg(F.collect_list(F.struct("rarity", "token")).alias("shared"))
+    kinds = "node bigint, n bigint, tokens array<bigint>, " + ", ".join(
+        [f"p{k} array<bigint>" for k in range(ORDERS)] + [f"m{k} binary" for k in range(ORDERS)]
+    )
+    return written(shared.mapInArrow(_prefixed(percent), kinds).filter("size(p0) > 0"), "prefixes")
 
 
-def _meet(a: np.ndarray, b: np.ndarray) -> bool:
+def _in(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which values of the shorter of two ascending arrays are in the other."""
     x, y = (a, b) if len(a) <= len(b) else (b, a)
-    return bool((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).any())
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
 
 
 def _verify(percent: int):
@@ -287,30 +286,30 @@ def _verify(percent: int):
         group, held, limits, parent = None, [], None, {}
         for batch in batches:
             links = []
-            lists = [batch.column(c) for c in ("tokens", *(f"p{k}" for k in range(1, ORDERS)))]
-            values = [x.flatten().to_numpy().view(np.uint64) for x in lists]
-            bounds = [np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy())]) for x in lists]
-            rows = zip(*(batch.column(c).to_pylist() for c in ("group", "side", "node", "comp", "n_shared")))
-            for k, (g, side, node, comp, shared) in enumerate(rows):
+            lists = batch.column("tokens")
+            values = lists.flatten().to_numpy().view(np.uint64)
+            bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            names = ("group", "side", "node", "comp", "n", *(f"m{k}" for k in range(ORDERS)))
+            rows = zip(*(batch.column(c).to_pylist() for c in names))
+            for k, (g, side, node, comp, n, *marks) in enumerate(rows):
                 if g != group:
                     group, held, limits, parent = g, [], None, {}
-                own, *first = (v[b[k] : b[k + 1]] for v, b in zip(values, bounds))
-                n = len(own)
+                own = values[bounds[k] : bounds[k + 1]]
+                first = [own[np.unpackbits(np.frombuffer(m, np.uint8), count=len(own)).astype(bool)] for m in marks]
                 if side and held:
                     if limits is None or len(limits) != len(held):
-                        limits = np.array([(len(h[2]), h[4]) for h in held])
+                        limits = np.array([(h[2], len(h[3])) for h in held])
+                    # What alike sets of these sizes have in common; tokens that nobody else has cannot be part of it.
                     least = -(-percent * (limits[:, 0] + n) // (100 + percent))
-                    fits = least <= np.minimum(np.minimum(limits[:, 1], shared), np.minimum(limits[:, 0], n))
-                    for i in np.flatnonzero(fits):
-                        other, other_comp, other_own, other_first, _ = held[i]
+                    for i in np.flatnonzero(least <= np.minimum(limits[:, 1], len(own))):
+                        other, other_comp, _, other_own, other_first = held[i]
                         x, y = find(parent, comp), find(parent, other_comp)
-                        if x == y or not all(_meet(p, q) for p, q in zip(first, other_first)):
-                            continue
-                        if alike(own, other_own, percent):
-                            links.append((min(node, other), max(node, other)))
-                            parent[max(x, y)] = min(x, y)
+                        if x != y and all(_in(p, q).any() for p, q in zip(first, other_first)):
+                            if _in(own, other_own).sum() >= least[i]:
+                                links.append((min(node, other), max(node, other)))
+                                parent[max(x, y)] = min(x, y)
                 if side != 1:
-                    held.append((node, comp, own, first, shared))
+                    held.append((node, comp, n, own, first))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
@@ -320,9 +319,8 @@ def _verify(percent: int):
 
 def _verified(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among ``rows`` (group, side, node, comp); sets come to the rows by node."""
-    other = [f"p{k}" for k in range(1, ORDERS)]
-    whole = rows.join(sets, "node").select("group", "side", "node", "comp", "n_shared", "tokens", *other)
-    dealt = whole.repartition("group").sortWithinPartitions("group", "side", "node")
+    whole = sets.select("node", "n", "tokens", *(f"m{k}" for k in range(ORDERS)))
+    dealt = rows.join(whole, "node").repartition("group").sortWithinPartitions("group", "side", "node")
     return written(dealt.mapInArrow(_verify(percent), "a bigint, b bigint"), "verified")
 
 
@@ -336,7 +334,11 @@ def _named(*parts):
 
 
 def _groups(sets: DataFrame) -> DataFrame:
-    """``token, node, centre``: members of the groups of the first order, without nodes that meet nobody in some order."""
+    """``centre, node``: members of the first order's groups, without nodes that meet nobody in some order.
+
+    Groups with the same smallest member are one: copies with a few changed words share many tokens, and most of their
+    groups have that member.
+    """
     index = None
     for k in range(ORDERS):
         rows = sets.select(F.lit(k).alias("order"), F.explode(f"p{k}").alias("token"), "node")
@@ -346,13 +348,14 @@ def _groups(sets: DataFrame) -> DataFrame:
     members = written(index.join(met.drop("n"), ["order", "token"]), "members")
     everywhere = members.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1, order)")).alias("orders"))
     everywhere = everywhere.filter(F.col("orders") == (1 << ORDERS) - 1).select("node")
-    return written(members.filter("order = 0").select("token", "node").join(everywhere, "node"), "groups")
+    groups = written(members.filter("order = 0").select("centre", "node").distinct().join(everywhere, "node"), "groups")
+    forget(index, members)
+    return groups
 
 
 def _stars(groups: DataFrame) -> DataFrame:
     """Each member of a group with the group's first member; members of a hot centre are dealt to blocks."""
-    centres = groups.groupBy("token").agg(F.min("node").alias("centre"))
-    edges = written(groups.join(centres, "token").filter("node <> centre").select("centre", "node").distinct(), "candidates")
+    edges = groups.filter("node <> centre")
     hot = edges.groupBy("centre").count().filter(F.col("count") > BLOCK)
     hot = written(hot.select("centre", _blocked(F.col("count"), BLOCK).alias("blocks")), "hot-centres")
     dealt = edges.join(hot, "centre", "left").select(
@@ -360,39 +363,37 @@ def _stars(groups: DataFrame) -> DataFrame:
     )
     members = dealt.select("group", F.lit(1).alias("side"), "node", F.col("node").alias("comp"))
     firsts = dealt.select("group", F.col("centre").alias("node")).distinct()
-    return written(
-        members.unionByName(firsts.select("group", F.lit(0).alias("side"), "node", F.col("node").alias("comp"))), "star"
-    )
+    return members.unionByName(firsts.select("group", F.lit(0).alias("side"), "node", F.col("node").alias("comp")))
 
 
 def _open_rows(groups: DataFrame, roots: DataFrame) -> DataFrame | None:
     """Blocks of members that still have to meet: those outside a group's largest component, with all others."""
     placed = written(
-        groups.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("comp")), "placed"
+        groups.join(roots, "node", "left").select("centre", "node", F.coalesce("root", "node").alias("comp")), "placed"
     )
-    sizes = placed.groupBy("token", "comp").agg(
+    sizes = placed.groupBy("centre", "comp").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h")
     )
-    several = sizes.groupBy("token").agg(
+    several = sizes.groupBy("centre").agg(
         F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps"),
         F.bit_xor("h").alias("h"),
     ).filter("comps > 1")
     # Groups of the same members need one look.
     once = written(
-        several.groupBy("n", "h").agg(F.min(F.struct("token", "top")).alias("g"))
-        .select("g.token", F.col("g.top.comp").alias("largest"), (F.col("n") - F.col("g.top.n")).alias("outside"), "n"),
+        several.groupBy("n", "h").agg(F.min(F.struct("centre", "top")).alias("g"))
+        .select("g.centre", F.col("g.top.comp").alias("largest"), (F.col("n") - F.col("g.top.n")).alias("outside"), "n"),
         "open-groups",
     )
     if once.isEmpty():
         return None
     blocks, parts = _blocked(F.col("outside"), HELD), _blocked(F.col("n"), HELD)
-    there = placed.join(once, "token").select(
-        "token", "node", "comp", (F.col("comp") != F.col("largest")).alias("out"), blocks.alias("blocks"), parts.alias("parts"),
+    there = placed.join(once, "centre").select(
+        "centre", "node", "comp", (F.col("comp") != F.col("largest")).alias("out"), blocks.alias("blocks"), parts.alias("parts"),
         F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
         F.pmod(F.xxhash64("node", F.lit(1)), parts).cast("int").alias("part"),
     )
     here = lambda rows, i, j, side: rows.select(
-        _named(F.col("token"), i, j).alias("group"), F.lit(side).alias("side"), "node", "comp"
+        _named(F.col("centre"), i, j).alias("group"), F.lit(side).alias("side"), "node", "comp"
     )
     out = there.filter("out")
     held = out.withColumn("j", F.explode(F.expr("sequence(0, parts - 1)")))
@@ -439,7 +440,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = written(
         classes.join(_possible(own, percent), "d1", "left_semi").withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
-    roots = _linked(_with_prefixes(_sets_of(own, nodes), percent), percent)
+    whole = _sets_of(own, nodes)
+    sets = _with_prefixes(whole, percent)
+    forget(whole)
+    roots = _linked(sets, percent)
+    forget(sets)
     placed = written(nodes.join(roots, "node").select("d1", "d2", "first_id", "root"), "placed")
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = placed.join(smallest, "root").select("d1", "d2", F.struct("component_id").alias("found"))

@@ -30,9 +30,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark's own setting by which the shuffle files of a query go when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """Written once to the shared folder and read from there: later steps survive lost executors and repeat nothing."""
-    return materialise(df, new_scratch(df.sparkSession, tag))
+    """Written once to the shared folder and read from there: later steps survive lost executors and repeat nothing.
+
+    What was shuffled for it is not needed again and goes from the executors' disks at once.
+    """
+    spark = df.sparkSession
+    before, path = spark.conf.get(SHUFFLE_CLEANUP, "false"), new_scratch(spark, tag)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        out = materialise(df, path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out._scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more; what was made from them must have been written too."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def lower_ascii(c: Column) -> Column:

@@ -56,7 +56,7 @@ def corpus(rng):
     return [(i * 3 - 100, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("percent", [50, 80, 92, 100])
+@pytest.mark.parametrize("percent", [50, 80, 96])
 def test_components_equal_all_pairs(docs, words, percent):
     rows = corpus(random.Random(percent))
     got = [tuple(r)[:3] for r in jaccard_components(docs(rows).repartition(5), percent).collect()]
