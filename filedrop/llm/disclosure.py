@@ -246,7 +246,8 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     one = written(one.select("_id", F.col("digest").alias("_digest"), "base", *counts, F.array_sort(
         F.concat(plain, F.coalesce("terms", none))).alias("spans")), "all-spans")
     rows = docs.select(F.struct(*keep).alias("_row"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_own"), F.col("doc_id").alias("_own_id"))
-    joined = rows.join(one, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left")
+    # Whole rows move once, at any size; a plan that turns to a broadcast for small inputs says nothing about large ones.
+    joined = rows.join(one.hint("merge"), F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left")
     no_base = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
     named = {*counts, "base", "spans"}
     return joined.select(

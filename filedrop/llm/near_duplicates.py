@@ -27,21 +27,34 @@ from pyspark.sql import DataFrame, functions as F
 
 from filedrop.llm.graph import components
 from filedrop.llm.registry import query
-from filedrop.llm.text import _STEP, _U, mix, shingle_hashes, table, text_slices, word_hashes, word_spans, written
+from filedrop.llm.text import _STEP, _U, forget, mix, shingle_hashes, table, text_slices, word_hashes, word_spans, written
 
 WIDTH = 5
 SIMILARITY = 0.8
-#: 24 bands of 5 registers: a pair at similarity 0.8 shares no band with a probability of 7e-5.
-BANDS, ROWS = 24, 5
-REGISTERS = BANDS * ROWS
-#: Registers that a pair in a bucket must share before its multisets are compared: five standard deviations below 0.8.
-LEAST_SHARED = int(REGISTERS * (SIMILARITY - 5 * np.sqrt(SIMILARITY * (1 - SIMILARITY) / REGISTERS)))
+#: Registers of a signature, and the largest probability that a pair at the similarity shares no band of them.
+REGISTERS, MISSED = 120, 1e-4
+#: Standard deviations below the similarity at which two members of a bucket are not compared any more.
+DEVIATIONS = 5
 #: Members of a bucket that meet its first member in one group of rows; more are dealt to more groups.
 BLOCK = 32
 #: Members outside the largest component that are held at once.
 HELD = 256
-#: Largest filter that goes to all tasks, in bits (8 MB), and positions per digest.
-BLOOM_BITS, BLOOM_HASHES = 1 << 26, 4
+
+
+def banding(similarity: float) -> tuple[int, int]:
+    """Bands and registers of a band: as long as they may be while a pair at the similarity is missed with ``MISSED``.
+
+    24 bands of 5 at 0.8, which miss a pair with a probability of 7e-5; 60 of 2 at 0.5, 17 of 7 at 0.9.
+    """
+    rows = 1
+    while rows < REGISTERS and (1 - similarity ** (rows + 1)) ** (REGISTERS // (rows + 1)) <= MISSED:
+        rows += 1
+    return REGISTERS // rows, rows
+
+
+def least_shared(similarity: float) -> int:
+    """Registers that a pair in a bucket must share before its multisets are compared."""
+    return max(0, int(REGISTERS * (similarity - DEVIATIONS * np.sqrt(similarity * (1 - similarity) / REGISTERS))))
 
 
 def multisets(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,11 +135,11 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bands(points: np.ndarray) -> np.ndarray:
-    h = np.broadcast_to(mix(np.arange(BANDS, dtype=np.uint64) + _U(77)), (len(points), BANDS)).copy()
-    by_band = points.reshape(-1, BANDS, ROWS)
+def _bands(points: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    h = np.broadcast_to(mix(np.arange(bands, dtype=np.uint64) + _U(77)), (len(points), bands)).copy()
+    by_band = points[:, : bands * rows].reshape(-1, bands, rows)
     with np.errstate(over="ignore"):
-        for k in range(ROWS):
+        for k in range(rows):
             h = mix(h * _STEP + by_band[:, :, k])
     return h.view(np.int64)
 
@@ -136,19 +149,22 @@ def _shingled(data, at):
     return shingle_hashes(word_hashes(data, starts, ends), bounds, WIDTH)
 
 
-def _sign(batches):
-    for batch, data, at in text_slices(batches):
-        shingles, bounds = _shingled(data, at)
-        points = signatures(shingles, bounds)
-        has = np.diff(bounds) > 0
-        bands = _bands(points)[has].reshape(-1)
-        offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-        sketch = points.astype(np.uint16)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("digest"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands)),
-             pa.array([row.tobytes() for row in sketch], pa.binary())],
-            names=["digest", "bands", "sketch"],
-        )
+def _sign(bands: int, rows: int):
+    def run(batches):
+        for batch, data, at in text_slices(batches):
+            shingles, bounds = _shingled(data, at)
+            points = signatures(shingles, bounds)
+            has = np.diff(bounds) > 0
+            keys = _bands(points, bands, rows)[has].reshape(-1)
+            offsets = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
+            sketch = points.astype(np.uint16)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("digest"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
+                 pa.array([row.tobytes() for row in sketch], pa.binary())],
+                names=["digest", "bands", "sketch"],
+            )
+
+    return run
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -271,63 +287,38 @@ def _classes(rows: DataFrame) -> DataFrame:
     return written(ordered.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def _bloom(nodes: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits set for each digest and id, at most ``BLOOM_BITS`` of them, as 64-bit words."""
-    n = nodes.count()
-    bits = min(BLOOM_BITS, max(64, 1 << (16 * n).bit_length()))
-    at = F.explode(F.array(*(F.pmod(F.xxhash64("digest", "first_id", F.lit(k)), F.lit(bits)) for k in range(BLOOM_HASHES))))
-    places = nodes.select(at.alias("at"))
-    word = F.expr("shiftright(at, 6)").alias("word")
-    one = F.expr("shiftleft(1L, cast(at % 64 as int))")
-    words = np.zeros(bits // 64, np.uint64)
-    for r in places.groupBy(word).agg(F.bit_or(one).alias("bits")).collect():
-        words[r["word"]] = np.int64(r["bits"]).view(np.uint64)
-    return words, bits
-
-
 def _texts_of(own: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, sketch, text`` of the wanted classes, from the row with the class's smallest id.
 
-    A Bloom filter of bounded size drops most other texts, copies of the wanted ones included, before the shuffle; the
-    join decides. Its key holds the id, so the copies of a hot text do not meet in one task.
+    Both sides are sorted by id and digest at any size, so the copies of a hot text do not meet in one task; a plan that
+    turns to a broadcast for small inputs would say nothing about large ones.
     """
-    words, bits = _bloom(wanted)
-    hashes = [
-        F.pmod(F.xxhash64("digest", "doc_id", F.lit(k)), F.lit(bits)).alias(f"h{k}") for k in range(BLOOM_HASHES)
-    ]
-    columns = ["doc_id", "digest", "text"]
-
-    def likely(batches):
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for k in range(BLOOM_HASHES):
-                at = np.asarray(batch.column(f"h{k}")).astype(np.uint64)
-                keep &= (words[at >> _U(6)] >> (at & _U(63))) & _U(1) != 0
-            yield batch.select(columns).filter(pa.array(keep))
-
-    near = own.select(*columns, *hashes).mapInArrow(likely, own.select(*columns).schema)
-    firsts = wanted.select(F.col("digest").alias("_digest"), "first_id", "node", "sketch")
+    firsts = wanted.select(F.col("digest").alias("_digest"), "first_id", "node", "sketch").hint("merge")
     same = (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    found = near.join(firsts, same).dropDuplicates(["digest", "doc_id"])
+    found = own.join(firsts, same).dropDuplicates(["digest", "doc_id"])
     return written(found.select("node", "sketch", "text"), "candidate-texts")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, least: int | None = None) -> DataFrame:
     """``doc_id, digest, group_id, is_first``: the group of every row of ``docs``.
 
     ``digest`` names the class of exact copies (MD5 of the text). ``is_first`` marks the rows of the group's first text
-    and id; repeated rows of it are all marked.
+    and id; repeated rows of it are all marked. ``similarity``, above 0 and up to 1, sets the bands. Members of a bucket
+    are compared if they share ``least`` registers, :func:`least_shared` of the similarity if not given; with 0 all are.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is above 0 and up to 1")
+    least = least_shared(similarity) if least is None else least
     text = F.coalesce("text", F.lit(""))
     own = docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
     rows = written(own.select("doc_id", "digest"), "rows")
     classes = _classes(rows)
-    signed = written(
-        own.select("digest", "text").mapInArrow(_sign, "digest string, bands array<bigint>, sketch binary"), "signatures"
-    )
-    signed = written(
-        signed.dropDuplicates(["digest"]).join(classes, "digest"), "signed-classes"
+    each = written(
+        own.select("digest", "text").mapInArrow(_sign(*banding(similarity)), "digest string, bands array<bigint>, sketch binary"),
+        "signatures",
     )
+    signed = written(each.dropDuplicates(["digest"]).join(classes, "digest"), "signed-classes")
+    forget(each)
 
     bands = signed.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
@@ -336,20 +327,23 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
     wanted = members.select("node").distinct()
     wanted = written(signed.select("digest", "first_id", "node", "sketch").join(wanted, "node"), "wanted")
+    forget(signed, shared)
     texts = _texts_of(own, wanted)
     links = _verified(written(_star_rows(members), "star"), texts, similarity, 0)
     roots = components(links)
     remaining = _remaining_rows(members.select("band", "node"), roots)
     if remaining is not None:
-        more = _verified(remaining, texts, similarity, LEAST_SHARED)
+        more = _verified(remaining, texts, similarity, least)
         if not more.isEmpty():
             roots = components(links.unionByName(more))
+    forget(texts, wanted)
 
     placed = written(
         classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root")), "class-roots"
     )
     firsts = classes.select(F.col("node").alias("root"), "first_id", F.col("digest").alias("first_digest"))
     placed = written(placed.join(firsts, "root"), "class-groups")
+    forget(members, classes)
     first = (F.col("digest") == F.col("first_digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
     return rows.join(placed.select("digest", "first_id", "first_digest"), "digest").select(
         "doc_id", "digest", F.col("first_id").alias("group_id"), first.alias("is_first")
@@ -357,8 +351,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each group: its first text and id, and of repeated rows of that only one."""
-    found = near_duplicates(docs, similarity)
+    """``docs`` with one document of each group: its first text and id, and of repeated rows of that only one.
+
+    Groups are written first: the rows of a hot text are split where they meet their class, and merged map-side after
+    that. Whole rows move once, at any size.
+    """
+    found = written(near_duplicates(docs, similarity), "groups")
     rest = written(
         found.filter(~F.col("is_first")).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_other")).distinct(),
         "duplicates",
@@ -366,7 +364,8 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     repeated = found.filter("is_first").groupBy("doc_id", "digest").count().filter("count > 1")
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_own"), digest.alias("_digest"))
-    kept = whole.join(rest, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_other")), "left_anti")
+    same = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_other"))
+    kept = whole.join(rest.hint("merge"), same, "left_anti")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["_own", "_digest"])
     return kept.select("_row.*")

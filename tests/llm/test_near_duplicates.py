@@ -5,7 +5,9 @@ import numpy as np
 
 from filedrop.llm import graph
 from filedrop.llm.graph import components
-from filedrop.llm.near_duplicates import REGISTERS, keep_first, near_duplicates, signatures, weighted_jaccard
+from filedrop.llm.near_duplicates import (
+    REGISTERS, banding, keep_first, least_shared, near_duplicates, signatures, weighted_jaccard,
+)
 
 
 def test_registers_estimate_weighted_jaccard():
@@ -50,7 +52,7 @@ def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
         assert n.count("hang") <= 30 and n.count("half-links") <= 8
 
 
-def brute_groups(texts, words):
+def brute_groups(texts, words, similarity=0.8):
     sets = {}
     for i, t in texts:
         w = words(t)
@@ -66,7 +68,7 @@ def brute_groups(texts, words):
     for k, x in enumerate(ids):
         for y in ids[:k]:
             both, all_ = sum((sets[x] & sets[y]).values()), sum((sets[x] | sets[y]).values())
-            if both >= 0.8 * all_ and (all_ or texts):
+            if both >= similarity * all_ and (all_ or texts):
                 root[max(find(x), find(y))] = min(find(x), find(y))
     return {i: find(i) for i in ids}
 
@@ -107,3 +109,22 @@ def test_nulls_empties_repeats_and_other_columns(docs, rows):
     kept = rows(keep_first(df), "doc_id", "text")
     assert [k for k, _ in kept] == [-4, 3, 5, 7, 7, None] and keep_first(df).columns == df.columns
     assert near_duplicates(docs([])).count() == 0
+
+
+def test_bands_follow_the_similarity():
+    assert [banding(s) for s in (0.5, 0.8, 0.9, 1.0)] == [(60, 2), (24, 5), (17, 7), (1, 120)]
+    assert least_shared(0.8) == 74 and least_shared(0.01) == 0
+
+
+def test_groups_at_other_similarities(docs, words):
+    rng = random.Random(9)
+    texts = []
+    for g in range(8):
+        base = [f"h{g}w{i}" for i in range(300)]
+        texts += variants(base, 5, 2 + 4 * g, rng) + [" ".join(base)]
+    for similarity in (0.5, 0.9):
+        rows = list(enumerate(texts))
+        want = brute_groups(rows, words, similarity)
+        for least in (None, 0):
+            got = {r["doc_id"]: r["group_id"] for r in near_duplicates(docs(rows), similarity, least).collect()}
+            assert got == want and 8 < len(set(want.values())) < 48
