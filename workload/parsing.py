@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from filedrop import jobs
 from filedrop.functions import names, records as rec
@@ -17,7 +17,7 @@ from filedrop.sinks import tables
 from filedrop.sources import storage
 from filedrop.sources.binary import scan_binary
 from filedrop.sources.layout import load_layout
-from filedrop.streaming import pairing as streaming
+from filedrop.streaming import pairing as streaming, settling
 from workload import fixtures as fx
 from workload.deciding import HOURLY
 from workload.listing import DROPS, NAME, VALID, WITH
@@ -90,22 +90,28 @@ def fixed_width(spark, sf):
     return rec.slice_fields(fx.records(spark, sf), fx.LAYOUT)
 
 
+#: Fields that cover a record without gaps.
+WHOLE_RECORD = fx.Layout([("a", 1, 40), ("b", 41, 60), ("c", 101, 200), ("d", 301, 200), ("e", 501, 20)])
+
+
 @query("fixed_width_bytes", f"""{CHUNKS},
-trimmed as (select doc_id, ord, rec[1:40] as a, rec[41:100] as b, rec[501:520] as c from cuts)
-select doc_id, ord, {', '.join(LOSSY.replace('hex(rec)', f'hex({c})') + f' as {c}' for c in 'abc')} from trimmed""")
+trimmed as (
+  select doc_id, ord, rec[1:40] as a, rec[41:100] as b, rec[101:300] as c, rec[301:500] as d, rec[501:520] as e from cuts)
+select doc_id, ord, {', '.join(LOSSY.replace('hex(rec)', f'hex({c})') + f' as {c}' for c in 'abcde')} from trimmed""")
 def fixed_width_bytes(spark, sf):
     """Fields cut by bytes out of multibyte text."""
-    layout = fx.Layout([("a", 1, 40), ("b", 41, 60), ("c", 501, 20)])
+    layout = WHOLE_RECORD
     cut = rec.cut_records(fx.texts(spark, sf), "content")
     return rec.slice_fields(cut, layout, mode="bytes", keep=("doc_id", "ord"))
 
 
 @query("fixed_width_chars", f"""{CHUNKS}
-select doc_id, ord, substring(t, 1, 40) as a, substring(t, 41, 60) as b, substring(t, 501, 20) as c
+select doc_id, ord, substring(t, 1, 40) as a, substring(t, 41, 60) as b, substring(t, 101, 200) as c,
+  substring(t, 301, 200) as d, substring(t, 501, 20) as e
 from (select doc_id, ord, {LOSSY} as t from cuts)""")
 def fixed_width_chars(spark, sf):
     """Fields cut by characters out of multibyte text."""
-    layout = fx.Layout([("a", 1, 40), ("b", 41, 60), ("c", 501, 20)])
+    layout = WHOLE_RECORD
     cut = rec.cut_records(fx.texts(spark, sf), "content")
     return rec.slice_fields(cut, layout, keep=("doc_id", "ord"))
 
@@ -171,18 +177,26 @@ def row_count(spark, sf):
 
 
 @query("reconcile_output", """
-select 'raw/doc' || doc_id || '.gz' as path, status, n_records, n_records as n_written, true as matches
+select 'raw/doc' || doc_id || '.gz' as path, status, n_records, n_records + moved as n_written, moved = 0 as matches
 from (
+  select *, case when n_records = 0 then 0 when doc_id % 10 = 3 then -1 when doc_id % 10 = 7 then 1 else 0 end as moved from (
   select *, case when status = 'ok' then cast(ceil(octet_length(encode(text)) / 520) as bigint) else 0 end as n_records
   from (select *, case when source in ('src1', 'src2') then 'corrupt'
       when source = 'src3' or text = '' then 'empty' when source = 'src0' then 'corrupt' else 'ok' end as status
-    from documents))""")
+    from documents)))""")
 def reconcile_output(spark, sf):
-    """Rows in the table against rows decoded, per file."""
+    """Rows in the table against rows decoded, per file; some files have lost a row since, some have one twice."""
     root = new_scratch(spark, "table")
     files = fx.text_files(spark, sf, DAMAGE)
     jobs.parse_and_append(files, fx.LAYOUT, fx.AS_OF, root, run="r1")
-    return tables.reconcile(spark, root, fx.LAYOUT).drop("run")
+    whole = spark.read.parquet(root)
+    first = F.row_number().over(Window.partitionBy("drop_kind", "drop_file").orderBy(*fx.LAYOUT.names)) == 1
+    digit = F.regexp_extract("drop_file", r"(\d)\.gz$", 1)
+    times = F.when((F.col("drop_kind") == "record") & first & (digit == "3"), 0).when(
+        (F.col("drop_kind") == "record") & first & (digit == "7"), 2).otherwise(1)
+    changed = whole.withColumn("times", times).withColumn("once", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+    tables.append_parsed(changed.drop("times", "once"), f"{root}-changed")
+    return tables.reconcile(spark, f"{root}-changed", fx.LAYOUT).drop("run")
 
 
 def _logs(spark, sf):
@@ -329,3 +343,62 @@ def stream_pairing(spark, sf):
         "base", "gz_key", "end_key", "gz_length",
         F.date_format("first_seen", "yyyy-MM-dd HH:mm:ss").alias("first_seen"), "status",
     )
+
+
+#: Data files and markers of events, their times, and the run of three in which they arrive: by time, some a run late.
+ARRIVALS = """
+with named as (
+  select 'raw/R' || lpad(cast(event_id as varchar), 12, '0') as base, epoch_us(ts) // 1000 as ms, event_id from events
+), span as (
+  select min(ms) as first, (max(ms) - min(ms)) // 3 + 1 as third from named
+), files as (
+  select base, base || '.gz' as path, ms, event_id % 7 = 0 as slow from named where event_id % 11 <> 0
+  union all
+  select base, base || '_END', ms + 60000 * (event_id % 17), event_id % 7 = 3 from named where event_id % 5 <> 0
+), dealt as (
+  select base, path, ms, least(3, 1 + (ms - first) // third + case when slow then 1 else 0 end) as run from files, span
+)"""
+
+
+@query("stream_settling", f"""{ARRIVALS}, clocks as (
+  select run, max(max(ms)) over (order by run) as clock from dealt group by run
+), alone as (
+  select d.*, coalesce((select clock from clocks c where c.run = d.run - 1) > ms + 600000, false) as late,
+    (select min(run) from clocks c where c.run >= d.run and clock > ms + 600000) as given_up
+  from dealt d
+), judged as (
+  select f.path, f.ms, f.late, f.given_up, p.path as partner,
+    p.path is not null and case when f.run = p.run then true
+      when f.run < p.run then not f.late and coalesce(f.given_up >= p.run, true)
+      else not p.late and coalesce(p.given_up >= f.run, true) end as meets
+  from alone f left join alone p on f.base = p.base and f.path <> p.path
+)
+select path, ms, case when meets then 'paired' when late then 'late' when given_up is null then 'waiting'
+  when path like '%.gz' then 'missing_end' else 'missing_gz' end as status, case when meets then partner end as partner
+from judged""")
+def stream_settling(spark, sf):
+    """Every listed file in one status after three runs of the stateful stream."""
+    out = new_scratch(spark, "settling")
+    ms, id_ = F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id")
+    named = fx.table(spark, sf, "events").select(
+        F.concat(F.lit("raw/R"), F.lpad(id_.cast("string"), 12, "0")).alias("base"), ms.alias("ms"), "event_id"
+    )
+    first, last = named.agg(F.min("ms"), F.max("ms")).first()
+    third = (last - first) // 3 + 1
+    gz = named.filter(id_ % 11 != 0).select(F.concat("base", F.lit(".gz")).alias("path"), "ms", (id_ % 7 == 0).alias("slow"))
+    end = named.filter(id_ % 5 != 0).select(
+        F.concat("base", F.lit("_END")).alias("path"), (F.col("ms") + 60000 * (id_ % 17)).alias("ms"), (id_ % 7 == 3).alias("slow")
+    )
+    run = F.least(F.lit(3), F.lit(1) + F.floor((F.col("ms") - first) / third) + F.col("slow").cast("int"))
+    files = gz.unionByName(end).select(
+        "path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(1).cast("bigint").alias("length"), run.alias("run")
+    )
+    files = tables.materialise(files, f"{out}/dealt")
+    listed = files.drop("run")
+    for k in (1, 2, 3):
+        files.filter(F.col("run") == k).drop("run").write.mode("append").parquet(f"{out}/listed")
+        stream = spark.readStream.schema(listed.schema).parquet(f"{out}/listed")
+        settled = settling.settle_stream(stream, dt.timedelta(minutes=10))
+        settling.write_settled(settled, f"{out}/settled", f"{out}/checkpoint").awaitTermination()
+    found = spark.read.schema(settling.RESULT).parquet(f"{out}/settled")
+    return settling.statuses(listed, found).select("path", F.unix_millis("modificationTime").alias("ms"), "status", "partner")
