@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from filedrop.llm.registry import query
-from filedrop.llm.text import table, utf8
+from filedrop.llm.text import table, utf8, written
 
 #: Share of an item's own score that a passage must reach.
 THRESHOLD = 0.5
@@ -44,6 +44,14 @@ SLICE_BYTES = 4 << 20
 _ASCII_WORDS = bytes(b if b > 127 or chr(b).isalnum() else 0x20 for b in range(256))
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    """Texts in the letters that words are compared in; items and passages take the same way.
+
+    Every letter by itself, so a capital sigma is the same letter at the end of a word as within it.
+    """
+    return pc.replace_substring(pc.utf8_lower(texts), "\u03c2", "\u03c3")
+
+
 def words_of(lowered: bytes) -> list[bytes]:
     return lowered.translate(_ASCII_WORDS).split()
 
@@ -66,9 +74,12 @@ def _shingles(words: list[bytes]) -> set[tuple[bytes, ...]]:
 class Item:
     def __init__(self, item_id, question: str, answer: str):
         self.item_id = item_id
-        self.question, self.answer = (words_of(x.lower().encode()) for x in (question, answer))
+        self.question, self.answer = (words_of(x.as_py().encode()) for x in folded(pa.array([question, answer], pa.string())))
         self.words = self.question + self.answer
 
+    def pairs(self) -> set[bytes]:
+        return {a + b" " + b for a, b in zip(self.words, self.words[1:])}
+
     def overlap(self, passage: list[bytes]) -> tuple[float, float]:
         """Shares of the question's and the answer's windows that occur in the passage; an empty part is all there."""
         out = []
@@ -80,16 +91,37 @@ class Item:
         return out[0], out[1]
 
 
+class Counts:
+    """Items, their mean length in words, and the items that hold each pair of words: of the whole benchmark."""
+
+    def __init__(self, items: int, mean: float, holding: dict[bytes, int]):
+        self.items, self.mean, self.holding = items, mean, holding
+
+    @classmethod
+    def of(cls, items: list[Item]) -> "Counts":
+        holding: dict[bytes, int] = defaultdict(int)
+        for item in items:
+            for pair in item.pairs():
+                holding[pair] += 1
+        return cls(len(items), sum(len(i.words) for i in items) / max(1, len(items)), holding)
+
+    def weight(self, pair: bytes) -> float:
+        n = self.holding[pair]
+        return math.log(1 + (self.items - n + 0.5) / (n + 0.5))
+
+
 class Index:
     """Postings of items of similar length, with maxima of terms, of their blocks and of groups of blocks.
 
-    ``pairs`` gives the number of a pair of word numbers.
+    ``pairs`` gives the number of a pair of word numbers, ``weights`` the weight of a pair by its number. Weights and mean
+    length are those of the whole benchmark, so a score does not depend on the items that share an index.
     """
 
-    def __init__(self, items: list[Item], pairs: dict[tuple[int, int], int], vocabulary: dict[bytes, int]):
+    def __init__(
+        self, items: list[Item], pairs: dict[tuple[int, int], int], vocabulary: dict[bytes, int], weights: np.ndarray, mean: float
+    ):
         self.items = items
         self.span = max(len(i.words) for i in items)
-        mean = sum(len(i.words) for i in items) / len(items)
         found = defaultdict(list)
         for d, item in enumerate(items):
             counts: dict[int, int] = defaultdict(int)
@@ -102,8 +134,7 @@ class Index:
         own = np.zeros(len(items))
         postings = {}
         for t, posts in found.items():
-            idf = math.log(1 + (len(items) - len(posts) + 0.5) / (len(posts) + 0.5))
-            postings[t] = [(d, idf * x) for d, x in posts]
+            postings[t] = [(d, weights[t] * x) for d, x in posts]
             for d, x in postings[t]:
                 own[d] += x
         self.postings = {t: [(d, x / own[d]) for d, x in p] for t, p in postings.items()}
@@ -187,7 +218,8 @@ class Index:
 class Shard:
     """The items of one pass, in classes of length with an index each."""
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], counts: Counts | None = None):
+        counts = counts or Counts.of(items)
         self.vocabulary: dict[bytes, int] = {}
         found = set()
         classes = defaultdict(list)
@@ -199,7 +231,11 @@ class Shard:
         pairs = {pair: t for t, pair in enumerate(sorted(found))}
         # Sorted, so that the number of a pair is its place.
         self.keys = np.array([self._key(a, b) for a, b in pairs], np.int64)
-        self.indexes = [Index(members, pairs, self.vocabulary) for _, members in sorted(classes.items())]
+        words = list(self.vocabulary)
+        weights = np.array([counts.weight(words[a] + b" " + words[b]) for a, b in pairs])
+        self.indexes = [
+            Index(members, pairs, self.vocabulary, weights, counts.mean) for _, members in sorted(classes.items())
+        ]
 
     def _key(self, a, b):
         return a * (len(self.vocabulary) + 1) + b
@@ -224,7 +260,7 @@ class Shard:
 
     def matches(self, column: pa.Array, threshold: float, overlap: float) -> list[tuple[int, object, float, float, float]]:
         """``(text, item_id, score, question, answer)``: verified items per text, at their best passage."""
-        data, at = utf8(pc.utf8_lower(column))
+        data, at = utf8(folded(column))
         raw = data.tobytes()
         words, bounds = [], [0]
         for i, j in zip(at, at[1:]):
@@ -255,11 +291,41 @@ def item_shards(items: DataFrame, shard_bytes: int = SHARD_BYTES):
     total = cleaned.agg(F.sum(size)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     place = F.pmod(F.xxhash64("item_id", *columns), F.lit(shards))
+    counted = _counted(cleaned.select(*columns)) if shards > 1 else None
     for k in range(shards):
         rows = cleaned.filter(place == k).orderBy("item_id", *columns).collect()
-        made = [Item(r["item_id"], *((r["question"], r["answer"]) if split else question_and_answer(r["text"]))) for r in rows]
+        made = [_item(r, split) for r in rows]
         if any(len(i.words) > 1 for i in made):
-            yield Shard(made)
+            yield Shard(made, _counts_for(made, counted) if counted is not None else None)
+
+
+def _item(row, split: bool) -> Item:
+    parts = (row["question"], row["answer"]) if split else question_and_answer(row["text"])
+    return Item(row["item_id"] if "item_id" in row else None, *parts)
+
+
+def _counted(texts: DataFrame) -> DataFrame:
+    """``pair, items, words`` over the whole benchmark; the row without a pair counts all items and their words."""
+    split = "question" in texts.columns
+
+    def pairs(batches):
+        for batch in batches:
+            found = [_item(r, split) for r in batch.to_pylist()]
+            out = [(None, len(i.words)) for i in found] + [(p, 0) for i in found for p in i.pairs()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in out], pa.binary()), pa.array([n for _, n in out], pa.int64())], names=["pair", "words"]
+            )
+
+    each = texts.mapInArrow(pairs, "pair binary, words bigint")
+    return written(each.groupBy("pair").agg(F.count(F.lit(1)).alias("items"), F.sum("words").alias("words")), "pair-counts")
+
+
+def _counts_for(items: list[Item], counted: DataFrame) -> Counts:
+    """The counts of a shard's own pairs."""
+    own = counted.sparkSession.createDataFrame([(p,) for p in set().union(*(i.pairs() for i in items))], "pair binary")
+    holding = {bytes(r["pair"]): r["items"] for r in counted.join(own, "pair").collect()}
+    (all_,) = counted.filter("pair is null").collect()
+    return Counts(all_["items"], all_["words"] / all_["items"], holding)
 
 
 def _cut(batches):

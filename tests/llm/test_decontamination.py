@@ -69,3 +69,25 @@ def test_empty_tables(spark, docs):
 def test_question_and_answer():
     assert question_and_answer("What is it? A fox.") == ("What is it?", " A fox.")
     assert question_and_answer("a b c d e f") == ("a b c d", "e f") and question_and_answer("") == ("", "")
+
+
+def test_letters_are_compared_in_one_form(spark, docs, rows):
+    greek = "Ο ΣΟΦΟΣ ΑΝΘΡΩΠΟΣ ΛΕΓΕΙ ΤΟΥΣ ΛΟΓΟΥΣ ΤΟΥ ΣΩΚΡΑΤΗ ΣΗΜΕΡΑ"
+    turkish = "İSTANBUL VE İZMİR İKİ BÜYÜK ŞEHİR OLARAK BİLİNİR BUGÜN"
+    plain = "ο σοφος ανθρωπος λεγει τους λογους του σωκρατη σημερα"
+    items = items_of(spark, [(1, greek), (2, turkish)])
+    got = find_leaks(docs([(1, greek), (2, turkish), (3, f"x y {greek.lower()} z"), (4, plain), (5, "a b c d e f")]), items)
+    assert rows(got, "doc_id", "item_id") == [(1, 1), (2, 2), (3, 1), (4, 1)]
+
+
+def test_scores_do_not_depend_on_shards(spark, docs, rows, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.randint(6, 40))) for _ in range(200)]
+    items = items_of(spark, list(enumerate(texts)) + [(900, "one")])
+    df = docs([(i, f"{t} {texts[-i]}") for i, t in enumerate(texts[:60])])
+    once = rows(find_leaks(df, items, 0.4))
+    monkeypatch.setattr("filedrop.llm.decontamination.item_shards.__defaults__", (4000,))
+    assert len(list(item_shards(items))) >= 6
+    many = rows(find_leaks(df, items, 0.4))
+    assert [r[:2] for r in many] == [r[:2] for r in once] and len(once) > 60
+    assert [x for r in many for x in r[2:]] == pytest.approx([x for r in once for x in r[2:]])
