@@ -8,10 +8,11 @@ the documents that hold the entity. A pair must be seen in ``SUPPORT`` documents
 
 Everything is made of built-in functions. Positions come from a text split at a pattern: the lengths of the gaps and of
 the matches add up. The patterns begin where a run of their signs begins, or where the last match ended, and have no
-nested repetition over runs, so they are linear and need no deep stack however long a run is. A document gives a row for
-each of its distinct terms and each of its entities that stand in ``SUPPORT`` documents (no other can disclose or be
-disclosed); they are counted before they are shuffled. Only documents that hold a disclosing term are searched for the
-places of their terms.
+nested repetition over runs, so they are linear and need no deep stack however long a run is. Texts are cut at the edges
+of spans in chunks and joined once, so masking takes time in proportion to text and spans. A document gives a row for
+each of its distinct terms and each group of its entities (those that stand in the same ``SUPPORT`` or more documents; no
+other can disclose or be disclosed); they are counted before they are shuffled. Only documents that hold a disclosing term
+are searched for the places of their terms.
 
 Defined results: null texts are empty and have no spans. Repeated rows and missing ids keep a row each; rows with the
 same id and text share their spans. Spans are half-open, in code points. Empty tables give empty results. An entity in
@@ -32,8 +33,8 @@ GENERALISE, REMOVE = 0.8, 0.95
 SUPPORT = 2
 #: Parts into which the documents of one entity are dealt.
 SALTS = 16
-#: Terms located in one go: lists grow by copying.
-BLOCK = 256
+#: Items summed in one go (lists grow by copying), and code points of a chunk of text.
+BLOCK, CHUNK = 256, 256
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
@@ -50,21 +51,69 @@ TERM = rf"[\p{{L}}\p{{N}}{COVER}]+"
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
 
-def _located(text: Column, pattern: str) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body(value)``, the value being computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _before(values: Column, combine, zero: int = 0) -> Column:
+    """For each item of an int array, ``combine`` over all items before it. Lists grow by copying, so in blocks."""
+
+    def grown(items, last):
+        return F.aggregate(items, F.array(F.lit(zero)), lambda out, x: F.concat(out, F.array(combine(F.element_at(out, -1), last(x)))))
+
+    def in_blocks(v):
+        last = F.greatest(F.floor((F.size(v) - 1) / BLOCK).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: grown(F.slice(v, b * BLOCK + 1, F.lit(BLOCK)), lambda x: x))
+
+    def joined(blocks):
+        firsts = F.slice(grown(blocks, lambda b: F.element_at(b, -1)), F.lit(1), F.size(blocks))
+        return F.flatten(F.zip_with(blocks, firsts, lambda b, first: F.transform(
+            F.slice(b, F.lit(1), F.size(b) - 1), lambda x: combine(x, first))))
+
+    return _let(_let(values, in_blocks), joined)
+
+
+def _located(text: Column, pattern: str, name: str = "value") -> Column:
     """``array<struct<start,end,value>>`` of all matches, in code points."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     pieces = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
-    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
-    def step(state, piece):
-        start = state["at"] + piece["g"]
-        end = start + F.length(piece["v"])
-        found = F.struct(start.alias("start"), end.alias("end"), piece["v"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(found)).alias("found"))
+    def placed(p):
+        firsts = _before(F.transform(p, lambda x: x["g"] + F.length(x["v"])), lambda a, b: a + b)
+        return F.zip_with(p, firsts, lambda x, first: F.struct(
+            (first + x["g"]).alias("start"), (first + x["g"] + F.length(x["v"])).alias("end"), x["v"].alias(name)))
+
+    return _let(pieces, placed)
+
+
+def _chunks(text: Column) -> Column:
+    """The text in pieces of ``CHUNK`` code points: a part of it is found without walking the text from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
-    zero = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-    return F.aggregate(pieces, zero, step, lambda state: state["found"])
+
+def _part(chunks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in chunks; nothing if the end is not after the start."""
+    first = F.floor(start / CHUNK).cast("int")
+    near = F.array_join(F.slice(chunks, first + 1, F.floor((end - 1) / CHUNK).cast("int") - first + 1), "")
+    return F.when(end > start, F.substring(near, start - first * CHUNK + 1, end - start)).otherwise("")
+
+
+def _rewritten(text: Column, spans: Column, new) -> Column:
+    """``text`` with ``new(span, rest of it)`` for each span of at least one: the pieces are made apart and joined once.
+
+    ``new`` is given the span, the code point from which no span before it covers the text, and the text in chunks.
+    """
+    def pieces(parts):
+        chunks, found = parts["chunks"], parts["spans"]
+        reached = _before(F.transform(found, lambda s: s["end"]), F.greatest)
+        made = F.zip_with(found, reached, lambda s, at: F.concat(
+            _part(chunks, at, s["start"]), F.when(s["end"] > at, new(s, at, chunks)).otherwise("")))
+        end = F.array_max(F.transform(found, lambda s: s["end"]))
+        return F.concat(F.array_join(made, ""), _part(chunks, end, parts["length"]))
+
+    return _let(F.struct(_chunks(text).alias("chunks"), spans.alias("spans"), F.length(text).alias("length")), pieces)
 
 
 def _digits(value: Column) -> Column:
@@ -122,23 +171,9 @@ def _entity(span: Column) -> Column:
 
 def _bare(base: Column, text: Column) -> Column:
     """The text in lower case, as long as before, with letters and digits of all spans of ``base`` covered."""
-    plain = F.translate(lower_ascii(text), COVER, " ")
-
-    def step(state, span):
-        start = F.greatest(span["start"], state["at"])
-        gap = F.substring(plain, state["at"] + 1, start - state["at"])
-        inner = F.regexp_replace(F.substring(plain, start + 1, span["end"] - start), r"[\p{L}\p{N}]", COVER)
-        out = F.when(span["end"] > state["at"], F.concat(state["out"], gap, inner)).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda state: F.substring(plain, state["at"] + 1, F.length(plain) - state["at"])
-    return F.aggregate(base, zero, step, lambda state: F.concat(state["out"], rest(state)))
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)``, the value being computed once however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    covered = lambda s, at, chunks: F.regexp_replace(
+        _part(chunks, F.greatest(s["start"], at), s["end"]), r"[\p{L}\p{N}]", COVER)
+    return _rewritten(F.translate(lower_ascii(text), COVER, " "), base, covered)
 
 
 def _terms(bare: Column) -> Column:
@@ -149,52 +184,35 @@ def _terms(bare: Column) -> Column:
 
 def _places(bare: Column) -> Column:
     """``array<struct<start,end,term>>`` of all terms that belong to no span, in code points."""
-    values = F.regexp_extract_all(bare, F.lit(TERM), F.lit(0))
-    gaps = F.transform(F.split(bare, TERM, -1), F.length)
-    pieces = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
-    nothing = F.array().cast("array<struct<start:int,end:int,term:string>>")
-
-    def step(state, piece):
-        start = state["at"] + piece["g"]
-        end = start + F.length(piece["v"])
-        found = F.array(F.struct(start.alias("start"), end.alias("end"), piece["v"].alias("term")))
-        free = ~F.contains(piece["v"], F.lit(COVER))
-        return F.struct(
-            end.alias("at"), F.when(free, F.concat(state["found"], found)).otherwise(state["found"]).alias("found"))
-
-    zero = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-
-    def in_blocks(p):
-        last = F.greatest(F.floor((F.size(p) - 1) / BLOCK).cast("int"), F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda b: F.aggregate(F.slice(p, b * BLOCK + 1, F.lit(BLOCK)), zero, step))
-
-    def joined(blocks):
-        firsts = F.aggregate(
-            blocks, F.array(F.lit(0)), lambda firsts, b: F.concat(firsts, F.array(F.element_at(firsts, -1) + b["at"])))
-        moved = F.zip_with(blocks, F.slice(firsts, F.lit(1), F.size(blocks)), lambda b, first: F.transform(
-            b["found"], lambda t: F.struct(
-                (t["start"] + first).alias("start"), (t["end"] + first).alias("end"), t["term"].alias("term"))))
-        return F.flatten(moved)
-
-    return _let(_let(pieces, in_blocks), joined)
+    return F.filter(_located(bare, TERM, "term"), lambda t: ~F.contains(t["term"], F.lit(COVER)))
 
 
 def _salted(found: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Inner join; the documents of a hot entity are dealt to ``SALTS`` keys."""
     salts = F.array(*map(F.lit, range(SALTS)))
-    salt = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int")
     return found.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(salts)), [*on, "_salt"]).drop("_salt")
 
 
 def _disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, term, share``: terms of a document that give away at least ``GENERALISE`` of one of its entities."""
-    each = found.select("doc_id", "digest", "bare", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    """``doc_id, digest, term, share``: terms of a document that give away at least ``GENERALISE`` of one of its entities.
+
+    Entities of the same documents are told by the same terms and count as one: a log of many addresses that was copied
+    gives its terms once, not once for each address. Texts wait until the entities of each document are known.
+    """
+    each = found.select("rid", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "rid").cast("decimal(20,0)"))
+    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), mark(1).alias("m1"), mark(2).alias("m2"))
     n = docs.count()
-    entities = written(entities.filter((F.col("n_e") >= SUPPORT) & (F.col("n_e") < n)), "entities")
-    meeting = _salted(each, entities.select("entity"), ["entity"])
-    meeting = meeting.select("doc_id", "digest", "entity", F.explode(_terms(F.col("bare"))).alias("term"))
-    pairs = meeting.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
+    entities = entities.filter((F.col("n_e") >= SUPPORT) & (F.col("n_e") < n))
+    same = F.md5(F.concat_ws(":", "n_e", "m1", "m2").cast("binary"))
+    entities = written(entities.select("entity", "n_e", same.alias("group")), "entities")
+    held = _salted(each, entities.select("entity", "group"), ["entity"]).groupBy("rid").agg(F.collect_set("group").alias("groups"))
+    meeting = found.select("rid", "doc_id", "digest", "bare").join(held, "rid")
+    meeting = written(meeting.select("rid", "doc_id", "digest", "groups", _terms(F.col("bare")).alias("terms")), "meeting")
+    meeting = meeting.select("rid", "doc_id", "digest", "groups", F.explode("terms").alias("term"))
+    meeting = meeting.select("rid", "doc_id", "digest", "term", F.explode("groups").alias("group"))
+    pairs = meeting.groupBy("group", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
     pairs = written(pairs, "pairs")
     # All texts are counted, each part of them before the shuffle.
     words = F.array_distinct(F.split(lower_ascii(F.col("text")), r"[^\p{L}\p{N}]+"))
@@ -202,9 +220,9 @@ def _disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
     terms = written(counted.join(pairs.select("term").distinct(), "term"), "term-counts")
     known = F.log2(F.lit(float(max(n, 1))) / F.col("n_e"))
     told = F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t").cast("double") * F.col("n_e")))
-    shares = pairs.join(entities, "entity").join(terms, "term").filter(known > 0)
-    shares = shares.select("entity", "term", (told / known).alias("share")).filter(F.col("share") >= GENERALISE)
-    told_in = _salted(meeting, written(shares, "disclosing"), ["entity", "term"])
+    shares = pairs.join(entities.select("group", "n_e").distinct(), "group").join(terms, "term").filter(known > 0)
+    shares = shares.select("group", "term", (told / known).alias("share")).filter(F.col("share") >= GENERALISE)
+    told_in = _salted(meeting, written(shares, "disclosing"), ["group", "term"])
     return written(told_in.groupBy("doc_id", "digest", "term").agg(F.max("share").alias("share")), "told")
 
 
@@ -219,7 +237,7 @@ def find_spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     base = with_base_spans(docs)
     found = written(
         base.filter(F.size("_base") > 0).select(
-            "doc_id", digest.alias("digest"), F.col("_base").alias("base"), *counts,
+            F.monotonically_increasing_id().alias("rid"), "doc_id", digest.alias("digest"), F.col("_base").alias("base"), *counts,
             _bare(F.col("_base"), F.col("_text")).alias("bare"),
         ), "spans",
     )
@@ -272,21 +290,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
     whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_whole"))
     found = find_spans(whole, keep=("_whole",))
     text = F.col("_whole")["text"]
-
-    def step(state, span):
-        start = F.greatest(span["start"], state["at"])
-        gap = F.substring(text, state["at"] + 1, start - state["at"])
-        original = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-        new = F.when(span["end"] <= state["at"], state["out"]).when(
-            span["start"] < state["at"], state["out"]
-        ).otherwise(F.concat(state["out"], gap, _replacement(span, original)))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), new.alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(
-        "spans", zero, step,
-        lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text) - state["at"])),
-    )
+    # What a span before it covers is not replaced once more.
+    new = lambda s, at, chunks: F.when(s["start"] < at, "").otherwise(
+        _replacement(s, _part(chunks, s["start"], s["end"])))
+    clean = _rewritten(text, F.col("spans"), new)
     cleaned = F.when(F.size("spans") > 0, clean).otherwise(text)
     return found.select(*(cleaned.alias(c) if c == "text" else F.col("_whole")[c].alias(c) for c in docs.columns))
 

@@ -103,3 +103,55 @@ def test_digest_columns(spark, tmp_path):
     for r in op8(spark, str(tmp_path)).collect():
         listed = ",".join(f"{k}:{a}:{b}" for k, a, b in brute(texts[r["doc_id"]] or ""))
         assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest() and r["spans"].startswith(listed)
+
+
+def test_many_spans_in_one_document(docs):
+    # Whole log: entities of the same documents count once, and masking is linear in the spans.
+    n = 10_000
+    log = "\n".join(f"u{i}@é{i % 7}x.org u{i}@x{i}.org +1 385 555 {i:05d} 😀" for i in range(n))
+    rows = [(1, log), (2, log + " Zorro"), (3, "é Zorro")] + [(i, f"w{i}") for i in range(10, 50)]
+    out = {r["doc_id"]: r for r in find_spans(docs(rows)).collect()}
+    want = brute(log)
+    assert [(s["kind"], s["start"], s["end"]) for s in out[1]["base"]] == want and len(want) > 1.9 * n
+    clean = {r["doc_id"]: r["text"] for r in sanitise(docs(rows)).collect()}
+    assert clean[1].count("[EMAIL]") == n and clean[1].count("[PHONE]") == n and "@x" not in clean[1] and clean[3] == rows[2][1]
+
+
+def test_overlapping_spans_are_covered_by_the_first(docs):
+    # A phone number that is a card number too, and an address that holds an IP address.
+    text = "é +4111 1111 1111 1111 x a.1.2.3.4@b.org " * 300
+    at, want = 0, []
+    for kind, a, b in brute(text):
+        if b <= at:
+            continue
+        if a >= at:
+            want += [text[at:a], f"[{kind.upper()}]"]
+        at = b
+    assert {r["text"] for r in sanitise(docs([(1, text), (2, "q")])).collect()} == {"".join(want) + text[at:], "q"}
+
+
+def test_terms_equal_pointwise_information_by_hand(docs):
+    rng = random.Random(5)
+    people = [f"p{i}@x.org" for i in range(12)] + ["p0@x.org", "10.0.0.1"]
+    rows = []
+    for i in range(300):
+        said = [f"t{int(40 * rng.random() ** 2)}" for _ in range(rng.randint(0, 12))]
+        said += rng.sample(people, rng.choice([0, 0, 1, 2, 3])) + [f"t{100 + rng.randint(0, 60)}"]
+        rng.shuffle(said)
+        rows.append((i, " ".join(said)))
+    rows += rows[:40] + [(None, rows[3][1])] * 2
+    held = [({w for w in t.split() if w in people}, {w for w in t.split() if w not in people}) for _, t in rows]
+    n, want = len(rows), {}
+    for e in people:
+        mine = [terms for who, terms in held if e in who]
+        for t in set().union(*mine) if 2 <= len(mine) < n else ():
+            n_te, n_t = sum(t in terms for terms in mine), sum(t in terms for _, terms in held)
+            share = math.log2(n_te * n / (n_t * len(mine))) / math.log2(n / len(mine))
+            if n_te >= 2 and share >= 0.8:
+                want[e, t] = share
+    assert len(want) > 5
+    for r in find_spans(docs(rows), keep=("doc_id", "text")).collect():
+        who = [w for w in r["text"].split() if w in people]
+        told = {t: max(want[e, t] for e in who if (e, t) in want) for t in r["text"].split() if any((e, t) in want for e in who)}
+        got = {s["value"]: pytest.approx(s["share"]) for s in r["spans"] if s["kind"] == "term"}
+        assert got == told
