@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filedrop import constants as C
+from filedrop.operators import packing
 from filedrop.sources import storage
 
 ROWS_PER_BATCH = 8192
@@ -24,6 +25,8 @@ MEMORY_BYTES = 128 << 20
 # core, as files and their compression differ.
 TASK_BYTES = 128 << 20
 TASKS_PER_CORE = 2
+# What a file weighs besides its bytes: the calls that open it.
+FILE_BYTES = 64 << 10
 # A gzip file is decoded by one task; the records of a file beyond this size are dealt out to others afterwards.
 LARGE_BYTES = 512 << 20
 
@@ -106,27 +109,29 @@ def decode_listed(
 ) -> DataFrame:
     """:func:`decode_files` for listed files (``path, length``), with the work spread by their sizes.
 
-    Paths are dealt out to tasks of about ``TASK_BYTES`` of input. A file above ``LARGE_BYTES``, which may hold most
-    of the records, still needs one task to decode, but what follows is shared: its records are exchanged in blocks.
+    Paths are packed into tasks of about ``TASK_BYTES`` of input: no task has more than its share and one file. A file
+    above ``LARGE_BYTES``, which may hold most of the records, still needs one task to decode, but what follows is
+    shared: its records are exchanged in blocks.
     """
-    length = F.coalesce("length", F.lit(0))
+    length = F.greatest(F.coalesce("length", F.lit(0)), F.lit(0))
     is_large = length > LARGE_BYTES
-    stats = files.agg(
-        F.count_if(~is_large).alias("n"),
-        F.sum(F.when(~is_large, length)).alias("bytes"),
-        F.count_if(is_large).alias("n_large"),
-        F.sum(F.when(is_large, length)).alias("bytes_large"),
-    ).first()
+    weight = length + FILE_BYTES
+    files = files.select("path", "length")
+    totals = packing.weigh(
+        files, "path", n=F.when(~is_large, 1), bytes=F.when(~is_large, length), weight=F.when(~is_large, weight),
+        n_large=F.when(is_large, 1), bytes_large=F.when(is_large, length), weight_large=F.when(is_large, weight),
+    )
+    n, n_bytes, n_large, large_bytes = (sum(totals[c]) for c in ("n", "bytes", "n_large", "bytes_large"))
     cores = files.sparkSession.sparkContext.defaultParallelism
     # Rows of paths are tiny: without a fixed number of partitions Spark would merge them into one task.
-    tasks = max(-(-(stats["bytes"] or 0) // TASK_BYTES), min(cores * TASKS_PER_CORE, stats["n"]), 1)
-    normal = files.filter(~is_large).repartition(int(tasks), "path")
+    tasks = max(-(-n_bytes // TASK_BYTES), min(cores * TASKS_PER_CORE, n), 1)
+    normal = packing.packed(files.filter(~is_large), "path", weight, totals["weight"], tasks)
     decoded = decode_files(normal, record_bytes, on_error, columns)
-    if not stats["n_large"]:
+    if not n_large:
         return decoded
-    large = files.filter(is_large).repartition(int(stats["n_large"]), "path")
+    large = packing.packed(files.filter(is_large), "path", weight, totals["weight_large"], n_large)
     numbered = tuple(columns) + tuple({"drop_file", "ord"} - set(columns))
-    shares = max(-(-stats["bytes_large"] // TASK_BYTES), cores)
+    shares = max(-(-large_bytes // TASK_BYTES), cores)
     block = F.floor(F.col("ord") / ROWS_PER_BATCH)
     dealt = decode_files(large, record_bytes, on_error, numbered).repartition(int(shares), "drop_file", block)
     return decoded.unionByName(dealt.select(*columns))

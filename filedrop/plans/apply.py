@@ -7,10 +7,13 @@ import datetime as dt
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from filedrop.operators import packing
 from filedrop.sources import storage
 
 SCHEMA = "source string, destination string, action string, reason string, status string, detail string"
-ROWS_PER_TASK = 1000
+# Work of a task: bytes to copy, and for each file the calls it takes, in bytes that take about as long.
+TASK_BYTES = 1 << 30
+FILE_BYTES = 1 << 20
 
 
 def apply_plan(plan: DataFrame, outcome_path: str, root: str = "", retries: int = 3) -> DataFrame:
@@ -26,15 +29,18 @@ def apply_plan(plan: DataFrame, outcome_path: str, root: str = "", retries: int
     file is that file's outcome and never stops the others.
     """
     spark = plan.sparkSession
-    n = plan.count()
-    # Rows are tiny but each is a remote call: fix the number of tasks, or Spark would merge them into one.
-    tasks = max(-(-n // ROWS_PER_TASK), min(n, spark.sparkContext.defaultParallelism), 1)
     known = "length" in plan.columns
     versions = [
         (F.col("length") if known else F.lit(None)).cast("bigint").alias("length"),
         (F.col("modificationTime") if known else F.lit(None)).cast("timestamp").alias("modificationTime"),
     ]
-    dealt = plan.select("source", "destination", "action", "reason", *versions).repartition(tasks, "source")
+    dealt = plan.select("source", "destination", "action", "reason", *versions)
+    weight = F.greatest(F.coalesce("length", F.lit(0)), F.lit(0)) + FILE_BYTES
+    totals = packing.weigh(dealt, "source", n=F.lit(1), weight=weight)
+    # Rows are tiny but each is a remote call: fix the number of tasks, or Spark would merge them into one.
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(-(-sum(totals["weight"]) // TASK_BYTES), min(sum(totals["n"]), cores), 1)
+    dealt = packing.packed(dealt, "source", weight, totals["weight"], tasks)
     dealt.mapInArrow(_mover(root, retries), SCHEMA).write.mode("errorifexists").parquet(outcome_path)
     return spark.read.schema(SCHEMA).parquet(outcome_path)
 

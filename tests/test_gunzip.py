@@ -2,6 +2,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from filedrop.operators import gunzip
 
@@ -123,3 +124,18 @@ def test_a_file_replaced_between_two_reads_fails_the_task(tmp_path, monkeypatch)
     assert sum(b.num_rows for b in read(lambda: (1, 1.0))) == 5
     with pytest.raises(OSError, match="replaced"):
         read(lambda: next(versions))
+
+
+def test_listed_files_are_packed_by_bytes(spark, tmp_path, monkeypatch):
+    # Four files of many records and 60 of one: the large ones are decoded by different tasks.
+    sizes = [(f"big{i}.gz", 4000 + i) for i in range(4)] + [(f"s{i}.gz", 1) for i in range(60)]
+    paths = []
+    for name, n in sizes:
+        (tmp_path / name).write_bytes(gzip.compress(b"".join(b"%06d" % i * 40 for i in range(n)), 1))
+        paths.append((str(tmp_path / name), (tmp_path / name).stat().st_size))
+    monkeypatch.setattr(gunzip, "FILE_BYTES", 1)
+    monkeypatch.setattr(gunzip, "TASK_BYTES", max(p[1] for p in paths) // 2)
+    files = spark.createDataFrame(paths, "path string, length bigint")
+    found = gunzip.decode_listed(files, 240, columns=gunzip.OUTCOME).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["drop_file"].rsplit("/", 1)[1], r["drop_records"]) for r in found) == sorted(sizes)
+    assert len({r["task"] for r in found if "/big" in r["drop_file"]}) == 4
