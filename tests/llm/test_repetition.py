@@ -82,3 +82,15 @@ def test_spans_count_code_points():
 
 def test_empty_table(docs):
     assert repetition_rules(docs([])).count() == 0
+
+
+def test_coverage_alone_rejects(docs):
+    # A block of 70 words four times in 1,000: under half of the words repeat, no repeat is long.
+    block = " ".join(f"b{i}" for i in range(70))
+    plain = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    page = " ".join(f"{block} {plain(k, 180)}" for k in range(4))
+    one = f"{block} {plain(0, 400)} {block} {plain(1, 460)}"
+    got = {r["doc_id"]: r for r in repetition_rules(docs([(1, page), (2, one)])).collect()}
+    assert (got[1]["n_words"], got[1]["covered_words"], got[1]["longest_repeat"]) == (1000, 280, 70)
+    assert not got[1]["base_failed"] and not got[1]["kept"]
+    assert got[2]["covered_words"] == 140 and got[2]["kept"]
