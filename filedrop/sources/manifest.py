@@ -1,21 +1,31 @@
 """Manifest of delivered files: path, modification time and size.
 
 Spark's own file sources skip zero-byte files, and end markers are usually empty, so the listing is a Python data
-source. The folders of ``depth`` levels are found while the query is planned and dealt to at most ``MAX_LISTING_TASKS``
-tasks, which list them one after the other; only their names are gathered. Files that lie flat in one folder are listed
-and streamed by one task: a store gives them in order, page by page. For tens of millions of files in one folder, hand the
-store's inventory table to :func:`from_inventory` and the manifest to the jobs.
+source. Nothing of it is held whole. While the query is planned, the folders of ``depth`` levels are looked at, up to
+``FIRST_ENTRIES`` entries of each, and dealt to at most ``MAX_LISTING_TASKS`` tasks. A folder that goes on after that is
+not read further by the driver: ``FLAT_TASKS`` tasks share it by a hash of the names in it. Each of them reads the names,
+which are cheap, and looks up times and sizes of its own share only, which are not. Stores that give times and sizes with
+the names are streamed by one task per folder. What is wanted (:class:`Wanted`) is told to the listing: a path prefix decides
+which folders are read at all, and a file is looked up only if its name fits. It is told by options and not by Spark's own
+filter pushdown for Python sources: there the filters of one query stay with the relation, and another query on the same
+DataFrame would get its rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import json
+import os
 import time
+import zlib
+from dataclasses import asdict, dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from filedrop import constants as C
 from filedrop.functions.formats import to_utc
 from filedrop.functions.names import _col, is_drop_file
 from filedrop.sources import storage
@@ -24,59 +34,133 @@ SCHEMA = "path string, modificationTime timestamp, length bigint"
 ROWS_PER_BATCH = 10_000
 #: More folders than this share tasks; none is left out.
 MAX_LISTING_TASKS = 10_000
+#: Entries of a folder that the driver looks at to plan.
+FIRST_ENTRIES = 10_000
+#: Tasks that share a folder with more entries.
+FLAT_TASKS = 32
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 #: Folder levels that a listing is split by unless told otherwise.
 DEPTH = 1
 
 
+@dataclass(frozen=True)
+class Wanted:
+    """Which files to list: a path prefix, any of some suffixes, and bounds of time (microseconds) and size, both inclusive."""
+
+    starts: str = ""
+    ends: tuple[str, ...] = ()
+    since: int | None = None
+    until: int | None = None
+    least: int | None = None
+    most: int | None = None
+
+    def path(self, path: str) -> bool:
+        return path.startswith(self.starts) and (not self.ends or path.endswith(self.ends))
+
+    def known(self, micros: int, size: int) -> bool:
+        bounds = (self.since, micros, self.until), (self.least, size, self.most)
+        return all((low is None or low <= x) and (high is None or x <= high) for low, x, high in bounds)
+
+    def options(self) -> dict[str, str]:
+        return {"wanted": json.dumps(asdict(self))}
+
+    @classmethod
+    def of(cls, options) -> Wanted:
+        given = json.loads(options.get("wanted", "{}"))
+        return cls(**{**given, "ends": tuple(given.get("ends", ()))})
+
+
 class Folders(InputPartition):
-    """Folders to list, each with or without what lies below it; times in seconds bound a streaming batch."""
+    """Folders to list: each with or without what lies below it, and which share of the names in it.
+
+    Times in seconds bound a streaming batch.
+    """
 
-    def __init__(self, folders: list[tuple[str, bool]], after: float | None = None, until: float | None = None):
+    def __init__(
+        self, folders: list[tuple[str, bool, tuple[int, int]]], after: float | None = None, until: float | None = None,
+        wanted: Wanted = Wanted(),
+    ):
         self.folders = folders
         self.after = after
         self.until = until
+        self.wanted = wanted
 
 
-def _folders(root: str, depth: int, *bounds) -> list[Folders]:
+def _leads_to(folder: str, starts: str) -> bool:
+    """Whether files below a folder can begin with ``starts``."""
+    inside = folder.rstrip("/") + "/"
+    return inside.startswith(starts) or starts.startswith(inside)
+
+
+def _name_starts(folder: str, starts: str) -> str:
+    """What the names in a folder must begin with."""
+    inside = folder.rstrip("/") + "/"
+    return starts[len(inside):].split("/")[0] if starts.startswith(inside) else ""
+
+
+def _folders(root: str, depth: int, after: float | None = None, until: float | None = None, wanted: Wanted = Wanted()) -> list[Folders]:
     """Split by folder, ``depth`` levels down; a folder split further is also listed for its own files."""
-    level, found = [storage.normalise(root)], []
+    starts, root = wanted.starts, storage.normalise(root)
+    if storage.is_local(root) and not os.path.isdir(root):
+        raise FileNotFoundError(f"there is no folder {root}")
+    level, found = [root] if _leads_to(root, starts) else [], []
     for _ in range(depth):
         below = []
         for folder in level:
-            children, has_files = storage.child_folders(folder)
-            if has_files:
-                found.append((folder, False))
-            below.extend(children)
+            first = list(itertools.islice(storage.entries(folder, _name_starts(folder, starts)), FIRST_ENTRIES + 1))
+            if len(first) > FIRST_ENTRIES:
+                tasks = FLAT_TASKS if storage.is_local(folder) else 1
+                found.extend((folder, True, (i, tasks)) for i in range(tasks))
+                continue
+            if any(not e.is_folder for e in first):
+                found.append((folder, False, (0, 1)))
+            children = sorted(storage.join(folder, e.name) for e in first if e.is_folder)
+            below.extend(c for c in children if _leads_to(c, starts))
         level = below
-    found += [(folder, True) for folder in level]
+    found += [(folder, True, (0, 1)) for folder in level]
     # Without any partition Spark would call read(None).
-    found = found or [(storage.normalise(root), False)]
-    tasks = min(len(found), MAX_LISTING_TASKS)
-    return [Folders(found[i::tasks], *bounds) for i in range(tasks)]
+    tasks = min(max(len(found), 1), MAX_LISTING_TASKS)
+    return [Folders(found[i::tasks], after, until, wanted) for i in range(tasks)]
+
+
+def _files(part: Folders):
+    """``(path, microseconds, size)`` of the wanted files of some folders, one by one."""
+    wanted, starts = part.wanted, part.wanted.starts
+    for top, recursive, (share, shares) in part.folders:
+        pending = [top]
+        while pending:
+            folder = pending.pop()
+            for name, is_folder, stat in storage.entries(folder, _name_starts(folder, starts)):
+                if folder == top and shares > 1 and zlib.crc32(os.fsencode(name)) % shares != share:
+                    continue
+                path = storage.join(folder, name)
+                if is_folder:
+                    if recursive and _leads_to(path, starts):
+                        pending.append(path)
+                    continue
+                known = stat() if wanted.path(path) else None
+                if known is None or part.until is not None and not part.after < known[0] <= part.until:
+                    continue
+                micros = int(known[0] * 1_000_000)
+                if wanted.known(micros, known[1]):
+                    yield path, micros, known[1]
 
 
 def _list(part: Folders):
     """Arrow batches of the files of some folders."""
-    batch = []
-    for uri, recursive in part.folders:
-        for row in storage.iter_files(uri, recursive):
-            if part.until is not None and not part.after < row[1] <= part.until:
-                continue
-            batch.append(row)
-            if len(batch) == ROWS_PER_BATCH:
-                yield _to_batch(batch)
-                batch = []
-    if batch:
+    files = _files(part)
+    while batch := list(itertools.islice(files, ROWS_PER_BATCH)):
         yield _to_batch(batch)
 
 
 class ManifestReader(DataSourceReader):
-    def __init__(self, root: str, depth: int):
+    def __init__(self, root: str, depth: int, wanted: Wanted):
         self.root = root
         self.depth = depth
+        self.wanted = wanted
 
     def partitions(self):
-        return _folders(self.root, self.depth)
+        return _folders(self.root, self.depth, wanted=self.wanted)
 
     def read(self, partition):
         return _list(partition)
@@ -112,7 +196,8 @@ class ManifestStreamReader(DataSourceStreamReader):
 class ManifestSource(DataSource):
     """``spark.read.format("file_manifest").load(root)``, also as ``readStream``.
 
-    Options: ``depth``, the folder levels to split the listing by; ``settle`` and ``overlap``, seconds, for streams.
+    Options: ``depth``, the folder levels to split the listing by; ``wanted``, see :class:`Wanted`, for batches; ``settle`` and
+    ``overlap``, seconds, for streams.
     """
 
     @classmethod
@@ -126,7 +211,7 @@ class ManifestSource(DataSource):
         return int(self.options.get("depth", str(DEPTH)))
 
     def reader(self, schema):
-        return ManifestReader(self.options["path"], self._depth())
+        return ManifestReader(self.options["path"], self._depth(), Wanted.of(self.options))
 
     def streamReader(self, schema):
         seconds = [float(self.options.get(k, v)) for k, v in (("settle", "5"), ("overlap", "0"))]
@@ -134,18 +219,27 @@ class ManifestSource(DataSource):
 
 
 def _to_batch(rows) -> pa.RecordBatch:
-    paths, times, sizes = zip(*rows)
-    micros = pa.array([int(t * 1_000_000) for t in times], pa.int64())
+    paths, micros, sizes = zip(*rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(paths, pa.string()), micros.cast(pa.timestamp("us", tz="UTC")), pa.array(sizes, pa.int64())],
+        [pa.array(paths, pa.string()), pa.array(micros, pa.int64()).cast(pa.timestamp("us", tz="UTC")), pa.array(sizes, pa.int64())],
         names=["path", "modificationTime", "length"],
     )
 
 
-def read_manifest(spark: SparkSession, root: str, depth: int = DEPTH) -> DataFrame:
-    """All files under a folder, recursively and without a page limit; see ``depth`` above for nested folders."""
+def read_manifest(
+    spark: SparkSession, root: str, depth: int = DEPTH, prefix: str = "", suffixes: tuple[str, ...] = (),
+    since: dt.datetime | None = None, until: dt.datetime | None = None,
+    least: int | None = None, most: int | None = None,
+) -> DataFrame:
+    """All files under a folder, recursively and without a page limit; see ``depth`` above for nested folders.
+
+    What else is given limits the listing itself: a path prefix, see :func:`below`, any of some suffixes, and bounds of the
+    modification time and the size, all inclusive.
+    """
+    micros = [None if t is None else (to_utc(t) - _EPOCH) // dt.timedelta(microseconds=1) for t in (since, until)]
+    wanted = Wanted(below(root, prefix) if prefix else "", tuple(suffixes), *micros, least, most)
     spark.dataSource.register(ManifestSource)
-    return spark.read.format("file_manifest").option("depth", depth).load(root)
+    return spark.read.format("file_manifest").option("depth", depth).options(**wanted.options()).load(root)
 
 
 def stream_manifest(
@@ -207,7 +301,7 @@ def list_prefix(spark: SparkSession, root: str, prefix: str = "", depth: int = D
     """Drop files whose path starts with a prefix; only the prefix's folder is listed, not the whole root."""
     full = below(root, prefix)
     folder = full[: full.rindex("/") + 1]
-    return with_prefix_and_suffix(read_manifest(spark, folder, depth), full)
+    return with_prefix_and_suffix(read_manifest(spark, folder, depth, full, (C.GZ_SUFFIX, C.END_SUFFIX)), full)
 
 
 def is_recent(as_of: dt.datetime, time="modificationTime", window: dt.timedelta = dt.timedelta(hours=1)) -> Column:

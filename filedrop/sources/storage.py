@@ -5,9 +5,16 @@ from __future__ import annotations
 import os
 import posixpath
 import uuid
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 from pyarrow import fs
 
+try:
+    import boto3
+except ImportError:
+    boto3 = None
+
 
 def normalise(uri: str) -> str:
     """One spelling per scheme: ``file:/x`` becomes ``/x``, ``s3a://`` and ``s3n://`` become ``s3://``."""
@@ -52,52 +59,66 @@ def join(root: str, name: str) -> str:
     return root.rstrip("/") + "/" + name
 
 
-def child_folders(uri: str) -> tuple[list[str], bool]:
-    """Folders directly below ``uri``, and whether ``uri`` also holds files."""
-    uri = normalise(uri)
-    if is_local(uri):
-        folders, has_files = [], False
-        with os.scandir(uri) as entries:
-            for entry in entries:
-                if entry.is_dir():
-                    folders.append(join(uri, entry.name))
-                else:
-                    has_files = True
-        return sorted(folders), has_files
-    store, path = resolve(uri)
-    infos = store.get_file_info(fs.FileSelector(path))
-    folders = sorted(join(uri, i.base_name) for i in infos if i.type == fs.FileType.Directory)
-    return folders, len(folders) < len(infos)
+class Entry(NamedTuple):
+    """A file or folder directly below a folder; ``stat`` gives a file's time and size, or None when it is gone."""
 
+    name: str
+    is_folder: bool
+    stat: Callable[[], tuple[float, int] | None] | None
 
-def iter_files(uri: str, recursive: bool):
-    """Yield ``(uri, mtime_seconds, size)`` of every file, zero-byte and underscore names included.
 
-    Local and mounted folders are streamed entry by entry; object stores are read one folder at a time.
+def entries(uri: str, starts: str = "") -> Iterator[Entry]:
+    """What lies directly below a folder and begins with ``starts``, one by one; nothing if there is no such folder.
+
+    Local and mounted folders are read as a stream of names, and only the files that ``stat`` is called for are looked at.
+    S3 is read page by page where boto3 is installed. Arrow gives a folder of any other store in one list.
     """
-    pending = [normalise(uri)]
-    while pending:
-        folder = pending.pop()
-        if is_local(folder):
-            with os.scandir(folder) as entries:
-                for entry in entries:
-                    if entry.is_dir():
-                        if recursive:
-                            pending.append(join(folder, entry.name))
-                        continue
-                    try:
-                        stat = entry.stat()
-                    except FileNotFoundError:
-                        continue
-                    yield join(folder, entry.name), stat.st_mtime, stat.st_size
-            continue
-        store, path = resolve(folder)
-        for info in store.get_file_info(fs.FileSelector(path)):
-            if info.type == fs.FileType.Directory:
-                if recursive:
-                    pending.append(join(folder, info.base_name))
-            else:
-                yield join(folder, info.base_name), info.mtime.timestamp(), info.size
+    uri = normalise(uri)
+    if is_local(uri):
+        return _local_entries(uri, starts)
+    if boto3 is not None and uri.startswith("s3://"):
+        return _s3_entries(uri, starts)
+    return _arrow_entries(uri, starts)
+
+
+def _local_entries(uri, starts):
+    def look(entry):
+        try:
+            stat = entry.stat()
+        except FileNotFoundError:
+            return None
+        return stat.st_mtime, stat.st_size
+
+    try:
+        found = os.scandir(uri)
+    except (FileNotFoundError, NotADirectoryError):
+        return
+    with found:
+        for entry in found:
+            if entry.name.startswith(starts):
+                yield Entry(entry.name, entry.is_dir(), lambda entry=entry: look(entry))
+
+
+def _s3_entries(uri, starts):
+    bucket, _, key = uri[len("s3://"):].partition("/")
+    base = key.rstrip("/") + "/" if key else ""
+    pages = boto3.client("s3").get_paginator("list_objects_v2")
+    for page in pages.paginate(Bucket=bucket, Prefix=base + starts, Delimiter="/"):
+        for folder in page.get("CommonPrefixes", ()):
+            yield Entry(folder["Prefix"][len(base):].rstrip("/"), True, None)
+        for item in page.get("Contents", ()):
+            # The key of the folder itself is no file in it.
+            if item["Key"] != base:
+                known = item["LastModified"].timestamp(), item["Size"]
+                yield Entry(item["Key"][len(base):], False, lambda known=known: known)
+
+
+def _arrow_entries(uri, starts):
+    store, path = resolve(uri)
+    for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+        if info.base_name.startswith(starts):
+            yield Entry(info.base_name, info.type == fs.FileType.Directory,
+                        lambda info=info: (info.mtime.timestamp(), info.size))
 
 
 def size_of(uri: str) -> int | None:

@@ -1,6 +1,9 @@
 import datetime as dt
 import os
+import tracemalloc
+import types
 
+import pytest
 from pyspark.sql import functions as F
 
 from filedrop.sources import manifest as m
@@ -49,6 +52,88 @@ def test_many_folders_share_tasks(spark, tmp_path, monkeypatch):
     assert len(rows) == len(set(rows)) == 12
 
 
+def test_a_flat_folder_is_shared_by_tasks_and_never_held(tmp_path, monkeypatch):
+    (tmp_path / "sub").mkdir()
+    for i in range(20_000):
+        (tmp_path / f"f{i:05d}").touch()
+    (tmp_path / "sub" / "g").write_bytes(b"x")
+    monkeypatch.setattr(m, "FIRST_ENTRIES", 100)
+    tracemalloc.start()
+    parts = m._folders(str(tmp_path), 3)
+    planned = tracemalloc.get_traced_memory()[1]
+    assert len(parts) == m.FLAT_TASKS and planned < 1 << 20
+    names, sizes = [], []
+    for part in parts:
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        got = [p for p, _, _ in m._files(part)]
+        assert tracemalloc.get_traced_memory()[1] - before < 1 << 20
+        sizes.append(len(got))
+        names += got
+    tracemalloc.stop()
+    assert len(names) == len(set(names)) == 20_001 and max(sizes) < 2 * 20_001 / m.FLAT_TASKS
+
+
+def test_a_missing_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="there is no folder"):
+        m.read_manifest(spark, str(tmp_path / "none")).collect()
+
+
+def test_what_is_wanted_reaches_the_listing(spark, tmp_path, monkeypatch):
+    make_tree(tmp_path)
+    os.utime(tmp_path / "x" / "b.gz", (AS_OF.timestamp(), AS_OF.timestamp()))
+    home = f"{tmp_path}/"
+    for given, want in [
+        ({"prefix": "x/b"}, ["x/b.gz", "x/b_END"]),
+        ({"prefix": f"file:{home}x"}, ["x/b.gz", "x/b_END", "x/y/c.gz"]),
+        ({"prefix": "nowhere/"}, []),
+        ({"prefix": "x", "suffixes": (".gz",)}, ["x/b.gz", "x/y/c.gz"]),
+        ({"suffixes": ("d_END", "c.gz")}, ["x/y/c.gz", "z/d_END"]),
+        ({"since": AS_OF, "until": AS_OF}, ["x/b.gz"]),
+        ({"until": AS_OF - dt.timedelta(microseconds=1)}, []),
+        ({"most": 0}, ["a_END", "x/b_END", "z/d_END"]),
+        ({"least": 1, "most": 3}, ["_hidden.gz", "a.gz"]),
+    ]:
+        for depth in (0, 2):
+            got = m.read_manifest(spark, str(tmp_path), depth, **given).collect()
+            assert sorted(r["path"][len(home):] for r in got) == sorted(want), given
+    parts = m._folders(str(tmp_path), 1, wanted=m.Wanted(f"{home}x/"))
+    assert [f for p in parts for f in p.folders] == [(f"{home}x", True, (0, 1))]
+    looked = []
+    names = m.storage._local_entries
+    monkeypatch.setattr(m.storage, "_local_entries", lambda uri, starts: (
+        e._replace(stat=lambda e=e: looked.append(e.name) or e.stat()) for e in names(uri, starts)))
+    part = m.Folders([(str(tmp_path), True, (0, 1))], wanted=m.Wanted(ends=("c.gz",)))
+    assert [p for p, _, _ in m._files(part)] == [f"{home}x/y/c.gz"] and looked == ["c.gz"]
+
+
+def test_a_store_is_read_page_by_page(monkeypatch):
+    asked = []
+
+    class Client:
+        def get_paginator(self, call):
+            return self
+
+        def paginate(self, Bucket, Prefix, Delimiter):
+            asked.append((Bucket, Prefix))
+            keys = ["raw/", "raw/a.gz", "raw/b.gz", "raw/sub/c.gz"]
+            for key in sorted(k for k in keys if k.startswith(Prefix)):
+                rest = key[len(Prefix):]
+                if Delimiter in rest:
+                    yield {"CommonPrefixes": [{"Prefix": Prefix + rest.split(Delimiter)[0] + Delimiter}]}
+                else:
+                    yield {"Contents": [{"Key": key, "LastModified": AS_OF, "Size": len(key)}]}
+
+    monkeypatch.setattr(m.storage, "boto3", types.SimpleNamespace(client=lambda service: Client()))
+    every = [f for part in m._folders("s3a://bucket/raw", 1) for f in m._files(part)]
+    micros = int(AS_OF.timestamp() * 1_000_000)
+    assert sorted(every) == [(f"s3://bucket/raw/{k}", micros, len(f"raw/{k}")) for k in ("a.gz", "b.gz", "sub/c.gz")]
+    asked.clear()
+    wanted = m.Wanted("s3://bucket/raw/b")
+    found = [p for part in m._folders("s3://bucket/raw", 1, wanted=wanted) for p, _, _ in m._files(part)]
+    assert found == ["s3://bucket/raw/b.gz"] and set(asked) == {("bucket", "raw/b")}
+
+
 def test_prefixes_are_spelled_like_listed_paths(spark, tmp_path):
     assert m.below("s3a://b/raw/", "202401/") == "s3://b/raw/202401/" == m.below("s3://b/raw", "s3n://b/raw/202401/")
     assert m.below("/raw", "") == "/raw/"

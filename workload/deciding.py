@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from filedrop import jobs
 from filedrop.functions import formats
 from filedrop.functions.names import with_position_parts
 from filedrop.operators import gunzip, pairing, summary, triage
@@ -240,3 +241,22 @@ def apply_plan(spark, sf):
         moves.basename("source").alias("name"), "action", "status",
         F.substring_index("destination", "/error-files/", -1).alias("destination"),
     ).join(there, "name", "left")
+
+
+@query("copy_run", f"""with {fx.DROPS_SQL}
+select name, 'copy' as action, 'done' as status, name as destination,
+  case when name like '%.gz' then case when content = 'ok' then n else 0 end end as n_records
+from (select *, base || '.gz' as name from drops where has_gz
+  union all select *, base || '_END' from drops where has_end)""")
+def copy_run(spark, sf):
+    """Copy a real folder as a whole job, listing included; what lies at the target is listed and decoded again."""
+    out = new_scratch(spark, "copy")
+    copied = jobs.copy_files(spark, fx.drop_folder(spark, sf), f"{out}/target", f"{out}/copies")
+    there = read_manifest(spark, f"{out}/target")
+    records = gunzip.decode_listed(there.filter(F.col("path").endswith(".gz")), columns=gunzip.OUTCOME)
+    found = there.select(moves.basename("path").alias("destination")).join(
+        records.select(moves.basename("drop_file").alias("destination"), F.col("drop_records").alias("n_records")),
+        "destination", "left")
+    return copied.select(
+        moves.basename("source").alias("name"), "action", "status", moves.basename("destination").alias("destination")
+    ).join(found, "destination")

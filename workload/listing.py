@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from filedrop.functions import formats, names
@@ -120,6 +122,20 @@ def manifest_all(spark, sf):
     return found.select(names.basename("path").alias("name"), (F.col("length") == 0).alias("is_zero"))
 
 
+@query("manifest_wanted", f"""with {fx.DROPS_SQL}
+select base || '.gz' as name from drops where has_gz and base like 'R5200002%' and content <> 'empty'""")
+def manifest_wanted(spark, sf):
+    """Data files of a real folder that begin with a prefix and were delivered with bytes in them.
+
+    Prefix, suffix, time and size are told to the listing, which reads one store's folder only. An empty delivery is a gzip
+    file of 20 bytes.
+    """
+    found = listing.read_manifest(
+        spark, fx.drop_folder(spark, sf), prefix="0002/R520", suffixes=(".gz",), since=dt.datetime(2000, 1, 1), least=21
+    )
+    return found.select(names.basename("path").alias("name"))
+
+
 @query("manifest_suffix", f"""{DROPS}
 select path, length from files where path like 'raw/resend/%' or path like 'raw/R520%'""")
 def manifest_suffix(spark, sf):
