@@ -1,6 +1,6 @@
 """Gunzip and cut into records: the one step that needs Python, done in Arrow batches.
 
-A file counts all or nothing: if any part of it cannot be decoded it gives no record. Each file also gives one
+Large files of several members are decoded by several tasks. A file counts all or nothing: if any part of it cannot be decoded it gives no record. Each file also gives one
 outcome row, so records and outcomes come from a single decoding pass.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from filedrop import constants as C
-from filedrop.operators import packing
+from filedrop.operators import members, packing
 from filedrop.sources import storage
 
 ROWS_PER_BATCH = 8192
@@ -27,8 +27,10 @@ TASK_BYTES = 128 << 20
 TASKS_PER_CORE = 2
 # What a file weighs besides its bytes: the calls that open it.
 FILE_BYTES = 64 << 10
-# A gzip file is decoded by one task; the records of a file beyond this size are dealt out to others afterwards.
-LARGE_BYTES = 512 << 20
+# Files above this size are searched for members, which other tasks can decode.
+INDEX_BYTES = 16 << 20
+# Records of one member that decodes to more than this are dealt out to other tasks afterwards.
+DEAL_BYTES = 512 << 20
 
 _TYPES = {
     "drop_kind": ("string", pa.string()),
@@ -106,35 +108,120 @@ def decode_listed(
     record_bytes: int = C.RECORD_BYTES,
     on_error: str = "skip",
     columns: tuple[str, ...] = BOTH,
+    index_bytes: int | None = None,
 ) -> DataFrame:
     """:func:`decode_files` for listed files (``path, length``), with the work spread by their sizes.
 
-    Paths are packed into tasks of about ``TASK_BYTES`` of input: no task has more than its share and one file. A file
-    above ``LARGE_BYTES``, which may hold most of the records, still needs one task to decode, but what follows is
-    shared: its records are exchanged in blocks.
+    Paths are packed into tasks of about ``TASK_BYTES`` of input: no task has more than its share and one file. Files above
+    ``index_bytes`` (``INDEX_BYTES`` by default) are searched for their members (:mod:`members`), and stretches of members are packed into tasks by what
+    they decode to. A single member needs one task to decode, but if it decodes to more than ``DEAL_BYTES`` its records are
+    exchanged in blocks, so that what follows is shared. Large files that are no whole chain of members are read from the
+    start by one task, which tells what is wrong with them. Paths are listed once.
     """
     length = F.greatest(F.coalesce("length", F.lit(0)), F.lit(0))
-    is_large = length > LARGE_BYTES
-    weight = length + FILE_BYTES
+    is_large = length > (INDEX_BYTES if index_bytes is None else index_bytes)
     files = files.select("path", "length")
-    totals = packing.weigh(
-        files, "path", n=F.when(~is_large, 1), bytes=F.when(~is_large, length), weight=F.when(~is_large, weight),
-        n_large=F.when(is_large, 1), bytes_large=F.when(is_large, length), weight_large=F.when(is_large, weight),
-    )
-    n, n_bytes, n_large, large_bytes = (sum(totals[c]) for c in ("n", "bytes", "n_large", "bytes_large"))
-    cores = files.sparkSession.sparkContext.defaultParallelism
-    # Rows of paths are tiny: without a fixed number of partitions Spark would merge them into one task.
-    tasks = max(-(-n_bytes // TASK_BYTES), min(cores * TASKS_PER_CORE, n), 1)
-    normal = packing.packed(files.filter(~is_large), "path", weight, totals["weight"], tasks)
-    decoded = decode_files(normal, record_bytes, on_error, columns)
-    if not n_large:
+    normal, large = files.filter(~is_large), files.filter(is_large)
+    sizes = packing.weigh(files, "path", n=F.when(~is_large, 1), bytes=F.when(~is_large, length), large=F.when(is_large, 1))
+    decoded = decode_files(_by_bytes(normal, sizes, length), record_bytes, on_error, columns)
+    if not sum(sizes["large"]):
+        return decoded
+    found = members.index(large)
+    others = large.join(found.select("path").distinct(), "path", "left_anti")
+    sizes = packing.weigh(others, "path", n=F.lit(1), bytes=length)
+    if sum(sizes["n"]):
+        decoded = decoded.unionByName(decode_files(_by_bytes(others, sizes, length), record_bytes, on_error, columns))
+    if "drop_status" in columns:
+        whole = found.groupBy("path").agg(F.first("total").alias("total"))
+        values = {
+            "drop_kind": F.lit("outcome"), "drop_file": F.col("path"),
+            "drop_status": F.when(F.col("total") > 0, "ok").otherwise("empty"),
+            "drop_records": F.ceil(F.col("total") / record_bytes),
+        }
+        none = F.lit(None)
+        decoded = decoded.unionByName(whole.select(*(values.get(c, none).cast(_TYPES[c][0]).alias(c) for c in columns)))
+    if "rec" not in columns:
         return decoded
-    large = packing.packed(files.filter(is_large), "path", weight, totals["weight_large"], n_large)
-    numbered = tuple(columns) + tuple({"drop_file", "ord"} - set(columns))
-    shares = max(-(-large_bytes // TASK_BYTES), cores)
-    block = F.floor(F.col("ord") / ROWS_PER_BATCH)
-    dealt = decode_files(large, record_bytes, on_error, numbered).repartition(int(shares), "drop_file", block)
-    return decoded.unionByName(dealt.select(*columns))
+    is_long = F.col("decoded") > DEAL_BYTES
+    some = _decode_stretches(found.filter(~is_long), record_bytes, columns)
+    if some is not None:
+        decoded = decoded.unionByName(some)
+    numbered = tuple(columns) + tuple(c for c in ("drop_file", "ord") if c not in columns)
+    long = _decode_stretches(found.filter(is_long), record_bytes, numbered)
+    if long is not None:
+        n_bytes = found.filter(is_long).agg(F.sum("decoded")).first()[0]
+        block = F.floor(F.col("ord") / ROWS_PER_BATCH)
+        decoded = decoded.unionByName(long.repartition(_tasks(n_bytes, n_bytes, files), "drop_file", block).select(*columns))
+    return decoded
+
+
+def _tasks(n_bytes: int, most: int, rows: DataFrame) -> int:
+    """Tasks for so much input: at least some per core, at most ``most``."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(-(-n_bytes // TASK_BYTES), min(cores * TASKS_PER_CORE, most), 1)
+
+
+def _by_bytes(files: DataFrame, sizes: dict[str, list[int]], length) -> DataFrame:
+    # Rows of paths are tiny: without a fixed number of partitions Spark would merge them into one task.
+    tasks = _tasks(sum(sizes["bytes"]), sum(sizes["n"]), files)
+    weights = [b + n * FILE_BYTES for b, n in zip(sizes["bytes"], sizes["n"])]
+    return packing.packed(files, "path", length + FILE_BYTES, weights, tasks)
+
+
+def _decode_stretches(found: DataFrame, record_bytes: int, columns: tuple[str, ...]) -> DataFrame | None:
+    """Record rows of stretches of members; None if there are no stretches.
+
+    A record belongs to the stretch in which it begins; the next member is read on to its end.
+    """
+    named = found.select("*", F.concat_ws("#", F.lpad(F.col("start").cast("string"), 20, "0"), "path").alias("at"))
+    weight = F.col("decoded") + FILE_BYTES
+    sizes = packing.weigh(named, "at", n=F.lit(1), weight=weight)
+    n = sum(sizes["n"])
+    if not n:
+        return None
+    spread = packing.packed(named, "at", weight, sizes["weight"], _tasks(sum(sizes["weight"]), n, found))
+
+    def decode(batches):
+        for batch in batches:
+            for row in batch.select(["path", "modified", "start", "end", "first", "decoded", "total"]).to_pylist():
+                yield from _stretch(row, record_bytes, columns)
+
+    return spread.mapInArrow(decode, ", ".join(f"{c} {_TYPES[c][0]}" for c in columns))
+
+
+def _stretch(row, record_bytes, columns):
+    path, last = row["path"], row["first"] + row["decoded"]
+    done, until = -(-row["first"] // record_bytes), -(-last // record_bytes)
+    skip, wanted = done * record_bytes - row["first"], min(until * record_bytes, row["total"]) - done * record_bytes
+    if wanted <= 0:
+        return
+    size, held = record_bytes * ROWS_PER_BATCH, bytearray()
+    # Members are at the places found only in the version that was searched.
+    if storage.modified(path) != row["modified"]:
+        raise OSError(f"{path} was replaced while it was read")
+    with storage.open_binary(path) as file:
+        slabs = members.Slabs(file, storage.size_of(path))
+        try:
+            for piece in _members_from(slabs, row["start"]):
+                held += piece[skip:skip + wanted - len(held)]
+                skip = max(skip - len(piece), 0)
+                while held and (len(held) >= size or len(held) == wanted):
+                    out = _records(path, bytes(held[:size]), done, record_bytes, columns)
+                    wanted -= min(len(held), size)
+                    del held[:size]
+                    done += out.num_rows
+                    yield out
+                if not wanted:
+                    return
+        except (EOFError, zlib.error) as e:
+            raise OSError(f"{path} was replaced while it was read") from e
+    raise OSError(f"{path} was replaced while it was read")
+
+
+def _members_from(slabs, pos):
+    """Decoded bytes of all members from ``pos`` on."""
+    while pos < slabs.size:
+        pos = yield from members.inflate(slabs, pos)
 
 
 def _decode_one(path, source, record_bytes, on_error, columns, version=None):

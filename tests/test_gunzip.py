@@ -1,5 +1,6 @@
 import gzip
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,7 +96,8 @@ def test_records_of_a_large_file_are_shared_out(spark, tmp_path, monkeypatch):
     (tmp_path / "small.gz").write_bytes(gzip.compress(REC))
     listing = [(str(p), p.stat().st_size) for p in tmp_path.iterdir()]
     files = spark.createDataFrame(listing, "path string, length bigint")
-    monkeypatch.setattr(gunzip, "LARGE_BYTES", 10_000)
+    monkeypatch.setattr(gunzip, "INDEX_BYTES", 10_000)
+    monkeypatch.setattr(gunzip, "DEAL_BYTES", 10_000)
     decoded = gunzip.decode_listed(files, columns=("rec",))
     assert decoded.columns == ["rec"] and decoded.count() == 40_001
     per_task = [len(p) for p in decoded.rdd.glom().collect()]
@@ -105,6 +107,56 @@ def test_records_of_a_large_file_are_shared_out(spark, tmp_path, monkeypatch):
     assert both.filter("drop_kind = 'record'").select("drop_file", "ord").distinct().count() == 40_001
 
 
+def test_members_of_one_file_are_decoded_by_several_tasks(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    inner = gzip.compress(bytes(rng.randrange(256) for _ in range(3000)))
+    bodies = [bytes(rng.choices(b"abc \x1f\x8b\x08\x00", k=rng.choice([0, 1, 519, 520, 521, 3000, 9000]))) for _ in range(60)]
+    # A gzip file stored in a member holds headers, checksums and all; its copy at the end of a stored block too.
+    bodies[7:7] = [inner, b"x" * 100 + inner + inner[:50]]
+    files = {
+        "many": b"".join(gzip.compress(b, 0 if i % 3 == 0 else 6) for i, b in enumerate(bodies)),
+        "single": gzip.compress(b"".join(bodies) * 3),
+        "empty": gzip.compress(b"") * 900,
+        "padded": gzip.compress(bodies[5] * 9, 0) + gzip.compress(bodies[-1], 0) + b"\0" * 20_000,
+    }
+    files["cut"] = files["many"][:-5]
+    files["garbage"] = files["many"] + b"no gzip"
+    files["flipped"] = files["many"][:9000] + bytes([files["many"][9000] ^ 255]) + files["many"][9001:]
+    files["plain"] = bytes(20_000)
+    files["inner"] = b"no gzip" * 900 + inner * 5
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    listing = [(str(tmp_path / n), len(c)) for n, c in files.items()] + [(str(tmp_path / "gone"), 50_000)]
+    listed = spark.createDataFrame(listing, "path string, length bigint")
+    for step, chunk, deal in ((4999, 4000, 8000), (1 << 20, 1, 1 << 30)):
+        monkeypatch.setattr(gunzip, "INDEX_BYTES", 1000)
+        monkeypatch.setattr(gunzip, "DEAL_BYTES", deal)
+        monkeypatch.setattr(gunzip.members, "RANGE_BYTES", step)
+        monkeypatch.setattr(gunzip.members, "CHUNK_BYTES", chunk)
+        whole = {os.path.basename(r["path"]) for r in gunzip.members.index(listed).collect()}
+        assert whole == {"many", "single", "empty"}
+        for on_error in ("skip", "raw"):
+            decoded = gunzip.decode_listed(listed, on_error=on_error).withColumn("task", F.spark_partition_id())
+            rows = decoded.collect()
+            one = gunzip.decode_files(listed, on_error=on_error).collect()
+            key = lambda r: (r["drop_kind"], r["drop_file"], r["ord"], bytes(r["rec"] or b""), r["drop_status"], r["drop_records"])
+            assert sorted(map(repr, map(key, rows))) == sorted(map(repr, map(key, one)))
+        assert len({r["task"] for r in rows if r["drop_file"].endswith("many")}) > 3
+    # Fewer columns come from the same index.
+    assert gunzip.decode_listed(listed, columns=("rec",)).count() == gunzip.decode_files(listed, columns=("rec",)).count()
+    assert gunzip.decode_listed(listed, columns=gunzip.OUTCOME).count() == len(listing)
+
+
+def test_a_file_replaced_after_its_search_fails_the_task(spark, tmp_path):
+    path = tmp_path / "a.gz"
+    path.write_bytes(gzip.compress(REC) * 9)
+    row = gunzip.members.index(spark.createDataFrame([(str(path), path.stat().st_size)], "path string, length bigint")).first()
+    assert sum(b.num_rows for b in gunzip._stretch(row, 520, gunzip.BOTH)) == 9
+    os.utime(path, (1, 1))
+    with pytest.raises(OSError, match="replaced"):
+        list(gunzip._stretch(row, 520, gunzip.BOTH))
+
+
 def test_both_rows_come_from_one_pass(spark):
     df = spark.createDataFrame([("a", bytearray(GOOD))], "path string, content binary")
     rows = gunzip.decode_files(df).collect()

@@ -253,6 +253,29 @@ def _pack(batches):
         })
 
 
+def member_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the records as gzip files of many members, one file per Arrow batch; members end anywhere in a record."""
+    folder = new_scratch(spark, "members")
+    records(spark, sf_dir).mapInArrow(_member_writer(f"{folder}/in"), "path string").write.parquet(f"{folder}/log")
+    return f"{folder}/in"
+
+
+def _member_writer(folder: str, member_bytes: int = 100_000):
+    def write(batches):
+        part, seq = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            body = b"".join(batch.column("rec").to_pylist())
+            members = [gzip.compress(body[i:i + member_bytes], 1) for i in range(0, len(body), member_bytes)]
+            path = f"{folder}/R520{part:012d}{seq:06d}.gz"
+            storage.write_bytes(path, b"".join(members))
+            seq += 1
+            yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    return write
+
+
 # --- texts ------------------------------------------------------------------------------------------------------
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

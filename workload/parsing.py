@@ -17,6 +17,7 @@ from filedrop.sinks import tables
 from filedrop.sources import storage
 from filedrop.sources.binary import scan_binary
 from filedrop.sources.layout import load_layout
+from filedrop.sources.manifest import read_manifest
 from filedrop.streaming import pairing as streaming, settling
 from workload import fixtures as fx
 from workload.deciding import HOURLY
@@ -43,6 +44,21 @@ def gunzip_records(spark, sf):
     return out.select(F.md5("rec").alias("digest"), F.octet_length("rec").alias("n_bytes"))
 
 
+@query("gunzip_members", f"""{RECORDS}
+select 'record' as kind, md5(rec) as digest, 520 as n_bytes, cast(null as varchar) as status from records""")
+def gunzip_members(spark, sf):
+    """All records of real gzip files of many members, which are found first and decoded by stretches.
+
+    Files that do not come out whole are rows too.
+    """
+    listed = read_manifest(spark, fx.member_folder(spark, sf))
+    out = gunzip.decode_listed(listed, index_bytes=0).filter("drop_kind = 'record' or drop_status <> 'ok'")
+    return out.select(
+        F.col("drop_kind").alias("kind"), F.md5("rec").alias("digest"), F.octet_length("rec").alias("n_bytes"),
+        F.col("drop_status").alias("status"),
+    )
+
+
 @query("chunk_native", f"""{CHUNKS}
 select doc_id, ord, octet_length(rec) as n_bytes, md5(rec) as digest from cuts""")
 def chunk_native(spark, sf):
