@@ -7,13 +7,13 @@ import time
 import uuid
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from filedrop import constants as C
 from filedrop.functions.formats import run_slot, to_utc
 from filedrop.functions.names import basename, is_valid_name
 from filedrop.functions.records import slice_fields
-from filedrop.operators import audit
+from filedrop.operators import audit, claims
 from filedrop.operators.gunzip import OUTCOME, decode_files, decode_listed
 from filedrop.operators.naming import invalid_files
 from filedrop.operators.pairing import check_shape, orphan_keys, pair_files
@@ -156,6 +156,27 @@ def _triage(manifest: DataFrame, as_of: dt.datetime, grace: dt.timedelta | None)
         "gz_time", F.when(F.col("gz_key").isNotNull(), F.col("_time"))).drop("_time")
 
 
+def _claim_key() -> Column:
+    """What a claim is made for: the version of the data file, or the path of a lone marker."""
+    return claims.key_of(
+        F.coalesce("gz_key", "end_key").alias("path"), F.col("gz_length"), F.unix_micros("gz_time").alias("time"))
+
+
+def _claimed(triaged: DataFrame, mine: DataFrame) -> DataFrame:
+    """The triage, with the status ``claimed`` where another run has the claim."""
+    joined = triaged.withColumn("key", _claim_key()).join(mine, "key")
+    return joined.withColumn("status", F.when(F.col("claimed"), F.col("status")).otherwise("claimed")).select(*triaged.columns)
+
+
+def _give_back(spark: SparkSession, work: str, claimed_at: str, run: str) -> None:
+    """Release the claims of what this run did not move away; if it never came to moving, all."""
+    keys = spark.read.parquet(f"{work}/triage").withColumn("key", _claim_key())
+    if exists(spark, f"{work}/moves/_SUCCESS"):
+        moved = spark.read.parquet(f"{work}/moves").filter("status = 'done'").select(F.col("source").alias("path"))
+        keys = keys.withColumn("path", F.coalesce("gz_key", "end_key")).join(moved, "path", "left_anti")
+    claims.release(keys, claimed_at, run)
+
+
 def _superseded(manifest: DataFrame, triaged: DataFrame, as_of: dt.datetime, grace: dt.timedelta | None) -> DataFrame:
     """``file_key`` of recent files that lost to another copy of their name."""
     window = dt.timedelta(hours=1) + (grace or dt.timedelta())
@@ -174,6 +195,7 @@ def hourly_run(
     depth: int = DEPTH,
     manifest: DataFrame | None = None,
     grace: dt.timedelta | None = None,
+    lease: dt.timedelta | None = None,
 ) -> DataFrame:
     """List, check names, pair, triage, parse, archive or quarantine, check the table, audit.
 
@@ -186,6 +208,10 @@ def hourly_run(
     judged at the hour's end. Every listed file gets one route. A file whose records an earlier run of these hours has put
     into the table is not parsed again, only moved, so a run may be repeated after any failure. The audit is written even
     when the run fails; misnamed files are quarantined even when nothing is recent.
+
+    Runs may overlap in time if all of them are given a ``lease``, longer than any run takes: each data file version, with its
+    marker, then belongs to the run that claimed it first, and has the status ``claimed`` in the others, which leave it alone.
+    Claims of files that stay in the raw zone are given back when the run ends; those of a run that died end with the lease.
     """
     prepare(spark)
     zones = zones.qualified(spark)
@@ -193,6 +219,7 @@ def hourly_run(
     run = uuid.uuid4().hex
     work = f"{zones.work.rstrip('/')}/run-{run}"
     slot = run_slot(as_of)
+    claimed_at = f"{zones.work.rstrip('/')}/claims"
     logs: list[DataFrame] = []
     events = [("DEBUG", f"run {run}: {len(layout)} fields into {zones.table}/date={slot[0]}/hour={slot[1]}")]
     try:
@@ -200,6 +227,10 @@ def hourly_run(
         listed = materialise(listed, f"{work}/manifest")
         invalid = invalid_files(listed)
         triaged = materialise(_triage(listed, as_of, grace), f"{work}/triage")
+        if lease:
+            mine = claims.claim(triaged.select(_claim_key().alias("key")), claimed_at, run, lease)
+            triaged = _claimed(triaged, materialise(mine, f"{work}/claims"))
+            triaged = materialise(triaged, f"{work}/triage-claimed")
         superseded = materialise(_superseded(listed, triaged, as_of, grace), f"{work}/superseded")
         valid = valid_pairs(triaged)
         logs += [audit.audit_invalid(invalid, as_of), audit.audit_triage(triaged, as_of),
@@ -243,7 +274,7 @@ def hourly_run(
         else:
             failed = with_outcome.filter(F.col("decoded").isin("empty", "corrupt"))
             plans = [archive_plan(with_outcome.filter(good), zones.archive), error_plan(failed, zones.quarantine)]
-        lone = triaged.filter(F.col("status") != "waiting")
+        lone = triaged.filter(~F.col("status").isin("waiting", "claimed"))
         stay = superseded.select(F.col("file_key").alias("source"), F.lit(None).cast("string").alias("destination"),
                                  F.lit("none").alias("action"), F.lit("superseded").alias("reason"))
         plans += [quarantine_plan(orphan_keys(lone), zones.quarantine, "orphan"),
@@ -255,6 +286,8 @@ def hourly_run(
         events.append(("CRITICAL", f"run failed: {type(e).__name__}: {str(e)[:500]}"))
         raise
     finally:
+        if lease and exists(spark, f"{work}/triage/_SUCCESS"):
+            _give_back(spark, work, claimed_at, run)
         events.append(("INFO", f"run time {_elapsed(time.monotonic() - started)}"))
         append_audit(audit.union_audit([*logs, audit.audit_run(spark, as_of, events)]), zones.audit)
 

@@ -19,6 +19,7 @@ TRIAGE = {
     "missing_gz": ("ERROR", "data file missing for: "),
     "invalid_name": ("ERROR", "name fails the check: "),
     "waiting": ("INFO", "waiting for its partner: "),
+    "claimed": ("INFO", "another run has claimed: "),
 }
 DECODED = {
     "ok": ("INFO", "parsed: "),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -12,13 +13,32 @@ from filedrop.sources.layout import Layout
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
+@contextmanager
+def pending_apart(spark: SparkSession, root: str):
+    """Options for an append below ``root`` that may run at the same time as others.
+
+    Until it commits, Hadoop's committer keeps a write in ``_temporary/<attempt>`` of the target. All writes would share
+    attempt 0, take each other's files for their own, and remove the whole folder when they are done. Here each has an
+    attempt of its own and removes only that.
+    """
+    attempt = 1 + uuid.uuid4().int % (2**31 - 1)
+    try:
+        yield {"mapreduce.job.application.attempt.id": str(attempt),
+               "mapreduce.fileoutputcommitter.cleanup.skipped": "true"}
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_temporary/{attempt}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def append_partitioned(df: DataFrame, root: str, by: tuple[str, ...] = ("date", "hour")) -> int:
     """Append below ``root`` in ``date=/hour=`` folders; returns the rows written.
 
     The count is observed by the write itself. Run date and hour are constants, so no sort is planned.
     """
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").partitionBy(*by).parquet(root)
+    with pending_apart(df.sparkSession, root) as options:
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("append").options(**options).partitionBy(*by).parquet(root)
     return seen.get["rows"]
 
 
@@ -43,8 +63,9 @@ def append_parsed(tagged: DataFrame, root: str) -> None:
 
     They lie in ``drop_kind=record`` and ``drop_kind=outcome`` below ``root``.
     """
-    with concurrent_writers(tagged.sparkSession, 2):
-        tagged.write.mode("append").partitionBy("drop_kind", "date", "hour").parquet(root)
+    spark = tagged.sparkSession
+    with concurrent_writers(spark, 2), pending_apart(spark, root) as options:
+        tagged.write.mode("append").options(**options).partitionBy("drop_kind", "date", "hour").parquet(root)
 
 
 def _parsed_schema(layout: Layout) -> T.StructType:
@@ -122,9 +143,10 @@ def append_audit(audit: DataFrame, root: str) -> None:
     Rebalancing gives each zone few files and lets Spark split a zone that holds most rows.
     """
     columns = [f.name for f in T.StructType.fromDDL(AUDIT_SCHEMA)]
-    audit.select(*columns).hint("rebalance", "zone", "log_date").write.mode("append").partitionBy(
-        "zone", "log_date"
-    ).parquet(root)
+    with pending_apart(audit.sparkSession, root) as options:
+        audit.select(*columns).hint("rebalance", "zone", "log_date").write.mode("append").options(**options).partitionBy(
+            "zone", "log_date"
+        ).parquet(root)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:

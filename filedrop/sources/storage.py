@@ -183,3 +183,35 @@ def write_bytes(uri: str, data: bytes) -> None:
     else:
         with store.open_output_stream(path) as out:
             out.write(data)
+
+
+def create_new(uri: str, data: bytes) -> bool:
+    """Write a small file unless there is one of this name; of several writers one gets True.
+
+    Only local and mounted folders, and S3 where boto3 is installed, can tell.
+    """
+    uri = normalise(uri)
+    if is_local(uri):
+        os.makedirs(posixpath.dirname(uri), exist_ok=True)
+        partial = f"{uri}.{uuid.uuid4().hex}.partial"
+        with open(partial, "wb") as out:
+            out.write(data)
+        try:
+            # Unlike a rename, a link never replaces a file, and the name appears with all its bytes.
+            os.link(partial, uri)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(partial)
+    if boto3 is None or not uri.startswith("s3://"):
+        raise NotImplementedError(f"no way to create {uri} only if it is absent")
+    bucket, _, key = uri[len("s3://"):].partition("/")
+    client = boto3.client("s3")
+    try:
+        client.put_object(Bucket=bucket, Key=key, Body=data, IfNoneMatch="*")
+        return True
+    except client.exceptions.ClientError as e:
+        if e.response["ResponseMetadata"]["HTTPStatusCode"] in (409, 412):
+            return False
+        raise

@@ -1,12 +1,15 @@
 import datetime as dt
 import gzip
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from filedrop import jobs
+from filedrop.operators import claims
 from filedrop.session import qualify
 from filedrop.sinks import tables
+from filedrop.sources import storage
 from filedrop.sources.layout import Layout
 
 LAYOUT = Layout([("n", 1, 5)])
@@ -245,3 +248,70 @@ def test_whole_record_round_trip_in_both_modes(spark, tmp_path):
     bytes_ = jobs.parse_batch(df, layout, now(), mode="bytes").first()
     assert (chars["a"], chars["b"]) == (text[:7], text[7:10])
     assert (bytes_["a"], bytes_["b"]) == (rec[:7].decode("utf-8", "ignore"), rec[7:10].decode("utf-8", "ignore"))
+
+
+HOUR = dt.timedelta(hours=1)
+
+
+def test_a_run_inside_another_leaves_its_files_alone(spark, tmp_path, monkeypatch):
+    """The second run begins after the first has listed and claimed, and ends before the first parses."""
+    deliver(tmp_path / "raw")
+    z, inner, parse = zones(tmp_path), {}, jobs.parse_and_append
+
+    def parse_late(*args):
+        monkeypatch.setattr(jobs, "parse_and_append", parse)
+        (tmp_path / "raw" / f"{BASES['0005']}.gz").write_bytes(body(7, 8))
+        (tmp_path / "raw" / f"{BASES['0005']}_END").write_bytes(b"")
+        inner.update(stages(jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR)))
+        return parse(*args)
+
+    monkeypatch.setattr(jobs, "parse_and_append", parse_late)
+    outer = stages(jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR))
+    assert inner[("triage", "claimed")] == 5 and inner[("triage", "valid")] == 1 and inner[("records", "written")] == 2
+    assert outer[("records", "written")] == 3 and ("triage", "claimed") not in outer and outer[("move", "done")] == 6
+    got = sorted(r["n"] for r in tables.read_records(spark, z.table, LAYOUT).collect())
+    assert got == ["00001", "00002", "00003", "00007", "00008"]
+    assert tree(tmp_path / "raw") == ["bad name.gz", "bad name_END"]
+
+
+def test_claims_of_a_failed_run_are_given_back_and_those_of_a_dead_one_end(spark, tmp_path, monkeypatch):
+    raw, z = tmp_path / "raw", zones(tmp_path)
+    raw.mkdir()
+    (raw / f"{BASES['0001']}.gz").write_bytes(body(1, 2, 3))
+    (raw / f"{BASES['0001']}_END").write_bytes(b"")
+
+    def broken(*args):
+        raise RuntimeError("no table")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "parse_and_append", broken)
+        with pytest.raises(RuntimeError, match="no table"):
+            jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR)
+    assert tree(f"{z.work}/claims") == []
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "parse_and_append", broken)
+        m.setattr(jobs, "_give_back", lambda *args: None)  # as if the process had died
+        with pytest.raises(RuntimeError):
+            jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR)
+    dead, = tree(f"{z.work}/claims")
+    assert dead.endswith(".0")
+    blocked = stages(jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR))
+    assert blocked[("triage", "claimed")] == 1 and blocked[("records", "written")] == 0
+    os.utime(f"{z.work}/claims/{dead}", (1, 1))
+    after = stages(jobs.hourly_run(spark, z, LAYOUT, now(), lease=HOUR))
+    assert after[("records", "written")] == 3 and after[("move", "done")] == 2 and tree(raw) == []
+    assert sorted(tree(f"{z.work}/claims")) == sorted([dead, dead[:-1] + "1"])
+
+
+def test_one_of_many_gets_a_claim(spark, tmp_path):
+    keys = spark.createDataFrame([(f"{i:04d}",) for i in range(300)], "key string")
+    folder = str(tmp_path / "claims")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda run: {r["key"] for r in claims.claim(keys, folder, run, HOUR).collect() if r["claimed"]}, "abcd"))
+    assert sum(map(len, got)) == 300 and len(set().union(*got)) == 300
+    # A task that is repeated finds its own claims.
+    assert {r["key"] for r in claims.claim(keys, folder, "a", HOUR).collect() if r["claimed"]} == got[0]
+    assert claims.release(keys, folder, "a") == len(got[0])
+    assert claims.claim(keys, folder, "b", HOUR).filter("claimed").count() == len(got[0]) + len(got[1])
+    with pytest.raises(NotImplementedError):
+        storage.create_new("gs://bucket/claim", b"")

@@ -1,5 +1,7 @@
 import datetime as dt
 import gzip
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -85,3 +87,17 @@ def test_audit_log_by_zone(spark, tmp_path):
     assert back.groupBy("zone", "log_date").count().count() == 2 and back.count() == 100
     assert back.columns[:3] == ["timestamp", "level", "message"]
     assert tables.preview(back).count() == 5
+
+
+def test_appends_at_the_same_time_keep_apart(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def append(i):
+        rows = spark.range(i * 1000, i * 1000 + 1000, 1, 4 + i % 3).selectExpr("id", "'20240115' as date", f"'{i % 2:02}' as hour")
+        return tables.append_partitioned(rows, root)
+
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(append, range(12))) == [1000] * 12
+    got = tables.read_partitioned(spark, root, "id bigint, date string, hour string")
+    assert got.count() == got.select("id").distinct().count() == 12_000
+    assert os.listdir(f"{root}/_temporary") == []

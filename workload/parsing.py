@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Window, functions as F
 
@@ -304,13 +305,16 @@ def hourly_run(spark, sf):
     return jobs.hourly_run(spark, zones, fx.EVENT_LAYOUT, as_of)
 
 
-@query("hourly_run_twice", """
+EVENTS_IN_TABLE = """
 select lpad(cast(event_id as varchar), 12, '0') as event, lpad(cast(user_id as varchar), 8, '0') as "user",
   strftime(ts, '%Y%m%d%H%M%S') as stamp, lpad(cast(cast(round(value * 100) as bigint) as varchar), 12, '0') as cents
 from events
 where not (event_type = 'purchase' and strftime(ts, '%H') = '07') and not (event_type = 'signup' and strftime(ts, '%H') = '03')
   and not (event_type = 'view' and strftime(ts, '%H') = '04')
-  and not (event_type = 'error' and strftime(ts, '%H') in ('05', '06'))""")
+  and not (event_type = 'error' and strftime(ts, '%H') in ('05', '06'))"""
+
+
+@query("hourly_run_twice", EVENTS_IN_TABLE)
 def hourly_run_twice(spark, sf):
     """The table after a run that could not archive anything, and its repetition."""
     zones = _zones(spark, sf)
@@ -321,6 +325,21 @@ def hourly_run_twice(spark, sf):
     return tables.read_records(spark, zones.table, fx.EVENT_LAYOUT).drop("date", "hour")
 
 
+@query("hourly_run_overlapping", EVENTS_IN_TABLE)
+def hourly_run_overlapping(spark, sf):
+    """The table after three runs that worked on the same folder at the same time."""
+    zones = _zones(spark, sf)
+    as_of = dt.datetime.now(dt.timezone.utc) + dt.timedelta(minutes=1)
+
+    def run(session):
+        return jobs.hourly_run(session, zones, fx.EVENT_LAYOUT, as_of, lease=dt.timedelta(hours=6)).count()
+
+    # A session has settings of its own, which a write changes while it lasts.
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(run, [spark.newSession() for _ in range(3)]))
+    return tables.read_records(spark, zones.table, fx.EVENT_LAYOUT).drop("date", "hour")
+
+
 @query("targeted_run", f"""with {fx.DROPS_SQL},
 triaged as (
   select *, substring(base, 9, 8) as d, substring(base, 17, 2) as h,
