@@ -27,15 +27,23 @@ def qualify(spark: SparkSession, root: str) -> str:
     """One meaning for a folder: the URI that Spark's own default file system gives it.
 
     A path without a scheme would otherwise be Spark's shared store in one place and each machine's own disk in another.
-    Machine-local folders are refused unless the master is local.
+    Machine-local folders are refused unless the master is local, or they lie below ``spark.checkpoint.dir``: that one is
+    shared, as a mounted folder if it is a ``file:`` path.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") or "/")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    found = _with_scheme(spark, root)
     if found.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{root} is a folder of each machine's own; name one that all executors share")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        home = _with_scheme(spark, shared).rstrip("/") + "/" if shared else None
+        if home is None or not (found + "/").startswith(home) or ".." in found.split("/"):
+            raise ValueError(f"{root} is a folder of each machine's own; name one that all executors share")
     return found
 
 
+def _with_scheme(spark: SparkSession, root: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/") or "/")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -217,6 +217,17 @@ def test_folders_mean_what_spark_says(spark, monkeypatch):
             qualify(spark, "/a/b")
 
 
+def test_folders_below_the_shared_one_are_shared(spark, monkeypatch):
+    """On a cluster whose shared folder is mounted, a run may work below it, and nowhere else on a machine's disk."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://elsewhere:7077")
+    assert qualify(spark, f"{shared}/run/TDZ") == qualify(spark, f"file://{shared}/run/TDZ/") == f"file:{shared}/run/TDZ"
+    for other in ("/a/b", f"{shared}-2/run", f"{shared}/../run"):
+        with pytest.raises(ValueError, match="machine's own"):
+            qualify(spark, other)
+
+
+
 def test_copies_of_one_name_are_all_copied(spark, tmp_path):
     for i, folder in enumerate(("a", "b")):
         (tmp_path / "raw" / folder).mkdir(parents=True)
