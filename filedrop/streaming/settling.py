@@ -10,7 +10,10 @@ Spark drops rows behind its watermark before a processor sees them, which is why
 lags ``RETENTION`` behind the clock, and timers are set that much earlier: nothing is dropped, and lateness is the
 processor's decision.
 
-State is one file for each waiting base. The rows of a base are exchanged and handled together, as a stream of batches.
+State is one file for each waiting base. Every look at it and every timer is a call from Python to the JVM, so bases share state:
+they are dealt to ``BUCKETS`` groups by a hash, and a group with new files reads what waits in it once, writes it once, and has one
+timer, for the file that has waited longest. The rows of a group are exchanged and handled together, as a stream of batches; held
+of a batch are the greatest file of each kind and base of one group.
 """
 
 from __future__ import annotations
@@ -34,11 +37,15 @@ RETENTION = dt.timedelta(days=3650)
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-_FILE = "path string, kind string, length bigint, ms bigint"
+#: Groups of bases that share state and a timer. A checkpoint goes on only with the number it was begun with.
+BUCKETS = 1024
+
+# One element for each base that waits.
+_FILES = "base array<string>, path array<string>, kind array<string>, length array<bigint>, ms array<bigint>"
 
 
 class Settling(StatefulProcessor):
-    """State of a base: the file that waits, of either kind."""
+    """State of a group of bases: the file that waits, of either kind, for each of them."""
 
     def __init__(self, grace: dt.timedelta):
         self.grace = grace // dt.timedelta(milliseconds=1)
@@ -46,61 +53,90 @@ class Settling(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", _FILE)
+        self.waiting = handle.getValueState("waiting", _FILES)
 
     def close(self):
         pass
 
-    def _rows(self, base, files, status, partners=(None, None)):
+    def _rows(self, files):
+        """A frame of ``(base, file, status, partner)``."""
+        bases, found, status, partners = zip(*files)
+        path, kind, length, ms = zip(*found)
         return pd.DataFrame({
-            "base": [base] * len(files), "path": [f[0] for f in files], "kind": [f[1] for f in files],
-            "length": pd.array([f[2] for f in files], "Int64"),
-            "modificationTime": pd.to_datetime([f[3] for f in files], unit="ms"), "status": [status] * len(files),
-            "partner": list(partners[: len(files)]) + [None] * (len(files) - len(partners)),
+            "base": bases, "path": path, "kind": kind, "length": pd.array(length, "Int64"),
+            "modificationTime": pd.to_datetime(ms, unit="ms"), "status": status,
+            "partner": pd.Series(partners, dtype=object),
         })
 
+    def _held(self) -> dict[str, tuple]:
+        """What waits, by base."""
+        columns = self.waiting.get()
+        return {row[0]: row[1:] for row in zip(*columns)} if columns is not None else {}
+
+    def _hold(self, held: dict[str, tuple], before: int | None) -> None:
+        """Write what waits, and set the timer for the first of it; ``before`` is the timer that stands."""
+        if held:
+            self.waiting.update(tuple(map(list, zip(*((base, *file) for base, file in held.items())))))
+        else:
+            self.waiting.clear()
+        timer = self._timer(held)
+        if timer != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            if timer is not None:
+                self.handle.registerTimer(timer)
+
+    def _timer(self, held: dict[str, tuple]) -> int | None:
+        return min(file[3] for file in held.values()) + self.grace - self.lag if held else None
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        (base,) = key
-        old = self.waiting.get()
-        old = tuple(old) if old is not None else None
-        best = {old[1]: old} if old else {}
+        held = self._held()
+        before, changed = self._timer(held), False
+        best: dict[str, dict[str, tuple]] = {}
         for frame in rows:
             out = []
-            for file in zip(frame["path"], frame["kind"], frame["length"], frame["ms"]):
-                file = (file[0], file[1], None if pd.isna(file[2]) else int(file[2]), int(file[3]))
-                other = best.get(file[1])
+            lengths = [None if gone else int(n) for n, gone in zip(frame["length"], frame["length"].isna())]
+            files = zip(frame["path"], frame["kind"], lengths, frame["ms"].tolist())
+            for base, file in zip(frame["base"], files):
+                kinds = best.get(base)
+                if kinds is None:
+                    old = held.get(base)
+                    kinds = best[base] = {old[1]: old} if old else {}
+                other = kinds.get(file[1])
                 if other is None or file[0] > other[0]:
-                    best[file[1]] = file
-                    out += [other] if other else []
+                    kinds[file[1]] = file
+                    out += [(base, other, "superseded", None)] if other else []
                 else:
-                    out.append(file)
+                    out.append((base, file, "superseded", None))
             if out:
-                yield self._rows(base, out, "superseded")
-        if old and (len(best) == 2 or best[old[1]] != old):
-            self.handle.deleteTimer(self._timer(old))
-        if len(best) == 2:
-            self.waiting.clear()
-            yield self._rows(base, [best["gz"], best["end"]], "paired", (best["end"][0], best["gz"][0]))
-            return
-        (file,) = best.values()
-        if file == old:
-            return
+                yield self._rows(out)
         watermark = timerValues.getCurrentWatermarkInMs()
-        if watermark > 0 and file[3] + self.grace < watermark + self.lag:
-            self.waiting.clear()
-            yield self._rows(base, [file], "late")
-            return
-        self.waiting.update(file)
-        self.handle.registerTimer(self._timer(file))
-
-    def _timer(self, file) -> int:
-        return file[3] + self.grace - self.lag
+        out = []
+        for base, kinds in best.items():
+            if len(kinds) == 2:
+                changed |= held.pop(base, None) is not None
+                out += [(base, kinds["gz"], "paired", kinds["end"][0]), (base, kinds["end"], "paired", kinds["gz"][0])]
+                continue
+            (file,) = kinds.values()
+            if file == held.get(base):
+                continue
+            if watermark > 0 and file[3] + self.grace < watermark + self.lag:
+                changed |= held.pop(base, None) is not None
+                out.append((base, file, "late", None))
+            else:
+                changed, held[base] = True, file
+        if changed:
+            self._hold(held, before)
+        if out:
+            yield self._rows(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        file = self.waiting.get()
-        if file is not None:
-            self.waiting.clear()
-            yield self._rows(key[0], [tuple(file)], "missing_end" if file[1] == "gz" else "missing_gz")
+        held, clock = self._held(), timerValues.getCurrentWatermarkInMs() + self.lag
+        # As Spark's timers, at the clock's time too; Spark removes the timer that has expired, and that of the others is later.
+        over = {base: file for base, file in held.items() if file[3] + self.grace <= clock}
+        self._hold({base: file for base, file in held.items() if base not in over}, None)
+        if over:
+            yield self._rows([(b, f, "missing_end" if f[1] == "gz" else "missing_gz", None) for b, f in over.items()])
 
 
 def settle_stream(
@@ -116,8 +152,8 @@ def settle_stream(
         base_key(basename("path"), replace_all).alias("base"), "path", file_kind("path").alias("kind"), "length",
         F.unix_millis(time).alias("ms"), time.alias("clock"),
     )
-    timed = keyed.withWatermark("clock", f"{RETENTION.days} days")
-    return timed.groupBy("base").transformWithStateInPandas(Settling(grace), RESULT, "Append", "EventTime")
+    timed = keyed.withWatermark("clock", f"{RETENTION.days} days").withColumn("bucket", F.pmod(F.xxhash64("base"), F.lit(BUCKETS)))
+    return timed.groupBy("bucket").transformWithStateInPandas(Settling(grace), RESULT, "Append", "EventTime")
 
 
 def write_settled(settled: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

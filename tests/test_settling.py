@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from filedrop.sources.manifest import SCHEMA
+from filedrop.streaming import settling
 from filedrop.streaming.settling import RESULT, settle_stream, statuses, write_settled
 
 T0 = dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
@@ -70,3 +71,21 @@ def test_three_runs_equal_a_model(spark, tmp_path):
         assert {p: s for p, s, _ in got} == want | {p: "waiting" for [(p, _)] in waiting.values()}
     assert {s: list(want.values()).count(s) > 5 for s in want.values()} == {
         s: True for s in ("paired", "late", "missing_end", "missing_gz")}
+
+
+def test_bases_share_state_and_a_timer(spark, tmp_path, monkeypatch):
+    """All bases in one group: its timer goes on from file to file, and what waits does not make a state for each base."""
+    monkeypatch.setattr(settling, "BUCKETS", 1)
+    _, got = run(spark, tmp_path, [(f"f{i:02}.gz", at(i), i) for i in range(40)] + [("f05_END", at(39), 0)])
+    assert [s for _, s, _ in got] == ["missing_end"] * 5 + ["paired"] * 2 + ["missing_end"] * 24 + ["waiting"] * 10
+    later = spark.createDataFrame([("f35_END", at(45), 0), ("x/f36.gz", at(46), 0), ("f02_END", at(2), 0)], SCHEMA)
+    later.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    settled = settle_stream(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), GRACE)
+    query = write_settled(settled, f"{tmp_path}/out", f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) < 10
+    out = spark.read.schema(RESULT).parquet(f"{tmp_path}/out")
+    got = {r["path"]: r["status"] for r in out.collect()}
+    assert out.count() == len(got) and "x/f36.gz" not in got and "f37.gz" not in got
+    assert [got.get(p) for p in ("f02.gz", "f02_END", "f30.gz", "f35.gz", "f35_END", "f36.gz")] == [
+        "missing_end", "late", "missing_end", "paired", "paired", "superseded"]
