@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from contextlib import nullcontext
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -25,7 +26,9 @@ from filedrop.plans.moves import (
     unique_destinations, with_versions,
 )
 from filedrop.session import exists, prepare, qualify
-from filedrop.sinks.tables import append_audit, append_parsed, materialise, read_outcomes, reconcile
+from filedrop.sinks.tables import (
+    append_audit, append_parsed, contents_apart, materialise, read_outcomes, reconcile,
+)
 from filedrop.sources.layout import Layout
 from filedrop.sources.manifest import DEPTH, below, list_prefix, read_manifest, recent_files, with_prefix_and_suffix
 
@@ -97,7 +100,8 @@ def parse_and_append(
     tagged = tagged.select(
         "*", F.lit(run).alias("drop_run"), F.lit(date).alias("date"), F.lit(hour).alias("hour")
     )
-    append_parsed(tagged, table)
+    with contents_apart(files.sparkSession) if "content" in files.columns else nullcontext():
+        append_parsed(tagged, table)
     counts = seen.get
     return {"rows": counts["all"] - counts["files"], "files": counts["files"], "files_ok": counts["files_ok"]}
 

@@ -19,6 +19,8 @@ from filedrop.operators import members, packing
 from filedrop.sources import storage
 
 ROWS_PER_BATCH = 8192
+# Pieces joined to one batch: those of files with a row or two would cost more memory than their rows.
+PIECES_PER_BATCH = 512
 # Decoded bytes of one file kept in memory. Longer files are decoded twice, first only to check them.
 MEMORY_BYTES = 128 << 20
 # Compressed bytes per task when files are opened inside the tasks. Less input is still cut into two tasks per
@@ -83,9 +85,12 @@ def decode_files(
                 for out in _decode_one(path, source, record_bytes, on_error, columns, version):
                     pending.append(out)
                     rows += out.num_rows
-                    if rows >= ROWS_PER_BATCH:
+                    if rows >= ROWS_PER_BATCH or len(pending) >= PIECES_PER_BATCH:
                         yield pending[0] if len(pending) == 1 else pa.concat_batches(pending)
                         pending, rows = [], 0
+                    del out
+            # Nothing of a batch is held while the next one is read.
+            batch = paths = contents = buffer = source = None
         if pending:
             yield pa.concat_batches(pending)
 

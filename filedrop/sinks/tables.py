@@ -11,6 +11,9 @@ from filedrop.operators.audit import SCHEMA as AUDIT_SCHEMA
 from filedrop.sources.layout import Layout
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whole contents that go to Python at once. By default it would be as many as a task has, up to 10,000.
+CONTENTS_PER_BATCH = 500
 
 
 @contextmanager
@@ -47,6 +50,17 @@ def read_partitioned(spark: SparkSession, root: str, schema: T.StructType | str)
     return spark.read.schema(schema).parquet(root)
 
 
+@contextmanager
+def contents_apart(spark: SparkSession):
+    """While a write lasts, rows go to Python few at a time: rows of whole files are as large as the files are."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(CONTENTS_PER_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 @contextmanager
 def concurrent_writers(spark: SparkSession, n: int):
     """Let a task keep ``n`` partition files open, so that rows need no sort by partition before the write."""

@@ -3,6 +3,7 @@ import gzip
 import os
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 import pytest
 
 from filedrop import jobs
@@ -11,6 +12,7 @@ from filedrop.session import qualify
 from filedrop.sinks import tables
 from filedrop.sources import storage
 from filedrop.sources.layout import Layout
+from workload import fixtures
 
 LAYOUT = Layout([("n", 1, 5)])
 BASES = {s: f"R520{s}20240115120000" for s in ("0001", "0002", "0003", "0004", "0005")}
@@ -326,3 +328,21 @@ def test_one_of_many_gets_a_claim(spark, tmp_path):
     assert claims.claim(keys, folder, "b", HOUR).filter("claimed").count() == len(got[0]) + len(got[1])
     with pytest.raises(NotImplementedError):
         storage.create_new("gs://bucket/claim", b"")
+
+
+def test_contents_go_to_python_few_at_a_time(spark, tmp_path, monkeypatch):
+    """Whole contents: small batches while they are parsed and written, and only then; a slice of a batch is packed at once."""
+    files = spark.createDataFrame([(f"raw/{i}.gz", bytearray(body(i))) for i in range(3)], "path string, content binary")
+    seen, default, write = [], spark.conf.get(tables.BATCH_ROWS), jobs.append_parsed
+
+    def append(tagged, table):
+        seen.append(int(spark.conf.get(tables.BATCH_ROWS)))
+        write(tagged, table)
+
+    monkeypatch.setattr(jobs, "append_parsed", append)
+    assert jobs.parse_and_append(files, LAYOUT, now(), f"{tmp_path}/t", "r")["rows"] == 3
+    assert seen[0] <= 500 and spark.conf.get(tables.BATCH_ROWS) == default
+    texts = pa.RecordBatch.from_pydict({"path": [str(i) for i in range(1000)], "body": [b"x"] * 1000, "how": ["plain"] * 1000})
+    packed = list(fixtures._pack_texts([texts, texts.slice(0, 0)]))
+    assert max(b.num_rows for b in packed) <= 256
+    assert [p for b in packed for p in b.column("path").to_pylist()] == texts.column("path").to_pylist()

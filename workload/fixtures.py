@@ -296,15 +296,19 @@ def text_files(spark: SparkSession, sf_dir: str, damage: dict[str, str]) -> Data
     return docs.mapInArrow(_pack_texts, "path string, content binary")
 
 
-def _pack_texts(batches):
+def _pack_texts(batches, rows: int = 256):
+    # Texts are long: besides the batch itself only a slice of it is held, and nothing while the next one is read.
     for batch in batches:
-        contents = [
-            _packed(body, how)
-            for body, how in zip(batch.column("body").to_pylist(), batch.column("how").to_pylist())
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), pa.array(contents, pa.binary())], names=["path", "content"]
-        )
+        for at in range(0, batch.num_rows, rows):
+            yield _pack_slice(batch.slice(at, rows))
+        del batch
+
+
+def _pack_slice(batch):
+    contents = [
+        _packed(body, how) for body, how in zip(batch.column("body").to_pylist(), batch.column("how").to_pylist())
+    ]
+    return pa.RecordBatch.from_arrays([batch.column("path"), pa.array(contents, pa.binary())], names=["path", "content"])
 
 
 def _packed(body: bytes, how: str) -> bytes:
